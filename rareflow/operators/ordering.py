@@ -18,6 +18,8 @@ from rareflow.session import range_count
 
 SUB = 1 << 20
 SMALL_GROUP = 100_000
+PER_CUT = 100
+COARSE = 32
 
 
 def range_bounds(df: DataFrame, key: str, n: int) -> list[float]:
@@ -66,42 +68,55 @@ def ordered_ranges(df: DataFrame, key: str, tie: str, n: int | None = None) -> D
     return ranged.withColumn("_range", F.col("_main").cast("long") * SUB + sub).drop("_main")
 
 
-def _with_ranges(df: DataFrame, order: str, by: Sequence[str], n: int, small: int) -> DataFrame | None:
-    """Adds ``_range`` inside each group; None when every group is small enough for one task.
+def _locate(x: Column, cuts: Column, coarse: Column) -> Column:
+    """How many cut points are <= x: first among every ``COARSE``-th, then inside one block."""
+    block = F.size(F.filter(coarse, lambda c: c <= x))
+    fine = F.slice(cuts, (block - 1) * COARSE + 1, F.lit(COARSE))
+    return F.when(block == 0, F.lit(0)).otherwise(
+        (block - 1) * COARSE + F.size(F.filter(fine, lambda c: c <= x))
+    )
 
-    Only groups above ``small`` rows and above 1/n of all rows are cut, so their
-    number is below n and their cut points fit a broadcast.
+
+def grouped_ranges(
+    df: DataFrame, order: Sequence[str], by: Sequence[str], n: int, total: int
+) -> DataFrame:
+    """Adds ``_range`` inside each group, so that no (group, range) holds much over 1/n of all rows.
+
+    Cut points are every ``PER_CUT``-th row of a small hashed sample of the group's
+    rows; the sample has about ``PER_CUT`` * n rows in all. Small groups get no cut
+    points and stay whole. Ranges follow ``order``, ties included.
     """
-    probs = [i / n for i in range(1, n)]
-    acc = F.lit(max(10000, 20 * n))
-    if not by:
-        row = df.agg(
-            F.count(F.lit(1)).alias("c"),
-            F.percentile_approx(F.col(order).cast("double"), probs, acc).alias("q"),
-        ).first()
-        return None if row.c <= small else assign_range(df, order, row.q)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_c"))
-    total = df.count()
-    if total <= small:
-        return None
-    big = sizes.where(F.col("_c") > max(small, total // n))
-    if not big.take(1):
-        return None
-    big = F.broadcast(big.withColumn("_stride", F.greatest(F.lit(1), F.floor(F.lit(total) / F.col("_c")))))
+    every = max(1, total // (PER_CUT * n))
+    point = F.struct(*order)
+    sample = df.where(F.pmod(F.xxhash64(*by, *order), F.lit(every)) == 0)
     cuts = (
-        df.join(big, list(by))
-        .groupBy(*by, "_stride")
-        .agg(F.percentile_approx(F.col(order).cast("double"), probs, acc).alias("_q"))
-        .select(*by, F.filter("_q", lambda x, i: i % F.col("_stride") == 0).alias("_cuts"))
+        sample.groupBy(*by)
+        .agg(F.sort_array(F.collect_list(point)).alias("_s"))
+        .select(*by, F.filter("_s", lambda x, i: i % PER_CUT == PER_CUT - 1).alias("_cuts"))
+        .where(F.size("_cuts") > 0)
+        .withColumn("_coarse", F.filter("_cuts", lambda x, i: i % COARSE == 0))
     )
-    at = F.size(F.filter("_cuts", lambda x: x <= F.col(order)))
+    at = _locate(point, F.col("_cuts"), F.col("_coarse"))
     return (
-        df.join(F.broadcast(cuts), list(by), "left")
-        .withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at).cast("double"))
-        .drop("_cuts")
+        df.join(F.broadcast(cuts), list(by), "left")  # at most n groups have cut points
+        .withColumn("_range", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at).cast("bigint"))
+        .drop("_cuts", "_coarse")
     )
 
 
+def _with_ranges(df: DataFrame, order: str, by: Sequence[str], n: int, small: int) -> DataFrame | None:
+    """Adds ``_range``; None when the whole input is small enough for one task."""
+    if by:
+        total = df.count()
+        return None if total <= small else grouped_ranges(df, [order], by, n, total)
+    probs = [i / n for i in range(1, n)]
+    row = df.agg(
+        F.count(F.lit(1)).alias("c"),
+        F.percentile_approx(F.col(order).cast("double"), probs, F.lit(max(10000, 20 * n))).alias("q"),
+    ).first()
+    return None if row.c <= small else assign_range(df, order, row.q)
+
+
 def prefix_sums(
     df: DataFrame,
     order: str,
