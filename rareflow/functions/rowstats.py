@@ -1,99 +1,82 @@
-"""Statistics across one row's numeric family, held as ``array<double>``.
+"""Statistics across one row's numeric family.
 
-Higher-order functions only: no shuffle and no Python in the row path.
+Plain arithmetic over the named columns: it compiles into the scan stage, with
+no shuffle, no lambda and no Python per row. The row mean and the central
+moments are computed once and shared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def total(v: Column) -> Column:
-    return F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+from collections.abc import Callable, Sequence
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-def mean(v: Column) -> Column:
-    return total(v) / F.size(v)
-
+NAMES = (
+    "V_mean", "V_sum", "V_std", "V_min", "V_max", "V_range", "V_median", "V_skew", "V_kurt",
+    "V_high_count", "V_entropy", "V_mad", "V_neg_count", "V_pos_count", "V_zero_count",
+)
+EPS = "1e-8D"
 
-def _moment(v: Column, m: Column, power: int) -> Column:
-    def step(a, x):
-        d = x - m
-        p = d
-        for _ in range(power - 1):
-            p = p * d
-        return a + p
 
-    return F.aggregate(v, F.lit(0.0), step)
+def _sum(cols: Sequence[str], term: Callable[[str], str]) -> Column:
+    return F.expr(" + ".join(term(c) for c in cols))
 
 
-def std(v: Column) -> Column:
-    """Sample standard deviation, in two passes over the row."""
-    return F.sqrt(_moment(v, mean(v), 2) / (F.size(v) - 1))
+def _count(cols: Sequence[str], cond: str) -> Column:
+    return _sum(cols, lambda c: f"CAST({cond.format(c)} AS INT)")
 
 
-def median(v: Column) -> Column:
-    s = F.array_sort(v)
-    n = F.size(v)
-    lo = F.floor((n + 1) / 2).cast("int")
-    hi = F.floor(n / 2).cast("int") + 1
-    return (F.element_at(s, lo) + F.element_at(s, hi)) / 2.0
+def _median(cols: Sequence[str]) -> Column:
+    s, n = F.sort_array(F.array(*cols)), len(cols)
+    return (F.element_at(s, (n + 1) // 2) + F.element_at(s, n // 2 + 1)) / 2.0
 
 
-def skewness(v: Column) -> Column:
+def _skew(n: int) -> Column:
     """Bias-corrected G1; null when the row is constant."""
-    n = F.size(v).cast("double")
-    m = mean(v)
-    m2, m3 = _moment(v, m, 2) / n, _moment(v, m, 3) / n
-    g1 = F.try_divide(m3, m2 * F.sqrt(m2))
-    return g1 * F.sqrt(n * (n - 1)) / (n - 2)
+    m2, m3 = F.col("_s2") / n, F.col("_s3") / n
+    return F.try_divide(m3, m2 * F.sqrt(m2)) * (n * (n - 1)) ** 0.5 / (n - 2)
 
 
-def kurtosis(v: Column) -> Column:
+def _kurt(n: int) -> Column:
     """Bias-corrected excess G2; null when the row is constant."""
-    n = F.size(v).cast("double")
-    m = mean(v)
-    m2, m4 = _moment(v, m, 2) / n, _moment(v, m, 4) / n
+    m2, m4 = F.col("_s2") / n, F.col("_s4") / n
     g2 = F.try_divide(m4, m2 * m2) - 3.0
-    return (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6.0)
-
-
-def count_where(v: Column, cond) -> Column:
-    return F.size(F.filter(v, cond))
-
-
-def entropy(v: Column, eps: float = 1e-8) -> Column:
-    """-sum p ln(p + eps) with p the share of each absolute value."""
-    size = F.aggregate(v, F.lit(0.0), lambda a, x: a + F.abs(x)) + F.lit(eps)
-    return F.aggregate(
-        v,
-        F.lit(0.0),
-        lambda a, x: a - (F.abs(x) / size) * F.ln(F.abs(x) / size + F.lit(eps)),
-    )
-
-
-def mean_abs_deviation(v: Column) -> Column:
-    m = mean(v)
-    return F.aggregate(v, F.lit(0.0), lambda a, x: a + F.abs(x - m)) / F.size(v)
-
-
-def all_statistics(v: Column, high: float = 2.0) -> dict[str, Column]:
-    lo, hi = F.array_min(v), F.array_max(v)
-    return {
-        "V_mean": mean(v),
-        "V_sum": total(v),
-        "V_std": std(v),
-        "V_min": lo,
-        "V_max": hi,
-        "V_range": hi - lo,
-        "V_median": median(v),
-        "V_skew": skewness(v),
-        "V_kurt": kurtosis(v),
-        "V_high_count": count_where(v, lambda x: F.abs(x) > high),
-        "V_entropy": entropy(v),
-        "V_mad": mean_abs_deviation(v),
-        "V_neg_count": count_where(v, lambda x: x < 0),
-        "V_pos_count": count_where(v, lambda x: x > 0),
-        "V_zero_count": count_where(v, lambda x: x == 0),
+    return ((n + 1) * g2 + 6.0) * ((n - 1) / ((n - 2) * (n - 3)))
+
+
+def add_row_statistics(
+    df: DataFrame, cols: Sequence[str], names: Sequence[str] = NAMES, high: float = 2.0
+) -> DataFrame:
+    n = len(cols)
+    want = set(names)
+    temps = ["_sum", "_mean"]
+    df = df.withColumn("_sum", _sum(cols, str)).withColumn("_mean", F.col("_sum") / float(n))
+    powers = {"V_std": [2], "V_skew": [2, 3], "V_kurt": [2, 4]}
+    moments = sorted({p for name in want & set(powers) for p in powers[name]})
+    second = {
+        f"_s{p}": _sum(cols, lambda c, p=p: "*".join([f"({c} - _mean)"] * p)) for p in moments
+    }
+    if "V_entropy" in want:
+        second["_abs"] = _sum(cols, lambda c: f"abs({c})") + F.expr(EPS)
+    if second:
+        df = df.withColumns(second)
+        temps += list(second)
+    out = {
+        "V_mean": lambda: F.col("_mean"),
+        "V_sum": lambda: F.col("_sum"),
+        "V_std": lambda: F.sqrt(F.col("_s2") / float(n - 1)),
+        "V_min": lambda: F.least(*cols),
+        "V_max": lambda: F.greatest(*cols),
+        "V_range": lambda: F.greatest(*cols) - F.least(*cols),
+        "V_median": lambda: _median(cols),
+        "V_skew": lambda: _skew(n),
+        "V_kurt": lambda: _kurt(n),
+        "V_high_count": lambda: _count(cols, f"abs({{}}) > {high}D"),
+        "V_entropy": lambda: -_sum(cols, lambda c: f"abs({c})/_abs * ln(abs({c})/_abs + {EPS})"),
+        "V_mad": lambda: _sum(cols, lambda c: f"abs({c} - _mean)") / float(n),
+        "V_neg_count": lambda: _count(cols, "{} < 0D"),
+        "V_pos_count": lambda: _count(cols, "{} > 0D"),
+        "V_zero_count": lambda: _count(cols, "{} = 0D"),
     }
+    return df.withColumns({k: out[k]() for k in names}).drop(*temps)

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rareflow.functions import rowstats
 from rareflow.functions.shape import V_COLS
@@ -43,13 +42,13 @@ RAW = [*V_COLS, "Amount"]
 
 
 def _derived(df: DataFrame, s: Switches, p: fitted.AmountParams) -> DataFrame:
+    if s.row_statistics:
+        df = rowstats.add_row_statistics(df, V_COLS)
     cols = {}
     if s.time:
         cols.update(fitted.time_columns(p))
     if s.amount:
         cols.update(fitted.amount_columns(p))
-    if s.row_statistics:
-        cols.update(rowstats.all_statistics(F.array(*V_COLS)))
     if s.interactions:
         cols.update(fitted.interaction_columns(p))
     df = df.withColumns(cols)

@@ -11,6 +11,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,13 +34,15 @@ def exact_quantiles(
     accuracy: int = 10000,
 ) -> dict[str, list[float]]:
     """Quantiles of several column expressions; nulls are skipped."""
-    cols = df.select(*[e.cast("double").alias(c) for c, e in exprs.items()])
+    names = {f"q{i}": c for i, c in enumerate(exprs)}
+    cols = df.select(*[e.cast("double").alias(f"q{i}") for i, e in enumerate(exprs.values())])
     if df.count() * len(exprs) <= small:
         row = cols.agg(
-            *[F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c in exprs]
+            *[F.percentile(q, F.array(*[F.lit(float(p)) for p in probs])).alias(q) for q in names]
         ).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in exprs}
-    return _selected(cols, list(exprs), list(probs), inside_limit, accuracy)
+        return {c: list(row[q]) if row[q] is not None else [None] * len(probs) for q, c in names.items()}
+    found = _selected(cols, list(names), list(probs), inside_limit, accuracy)
+    return {c: found[q] for q, c in names.items()}
 
 
 @dataclass
@@ -65,18 +68,42 @@ class _Slot:
 
 
 def _count_brackets(cols: DataFrame, slots: list[_Slot]) -> None:
-    aggs = []
-    for i, s in enumerate(slots):
-        c = F.col(s.col)
-        aggs += [
-            F.count_if(c < s.lo).alias(f"b{i}"),
-            F.count_if(c == s.lo).alias(f"l{i}"),
-            F.count_if((c > s.lo) & (c < s.hi)).alias(f"i{i}"),
-            F.count_if((c == s.hi) & (F.lit(s.hi) > F.lit(s.lo))).alias(f"h{i}"),
+    """Rows below, at and between the bracket ends, for all slots in one aggregate.
+
+    Every end opens a region that holds only the end itself, so counting rows per
+    region answers every slot.
+    """
+    edges: dict[str, set[float]] = {}
+    for s in slots:
+        for e in (s.lo, s.hi):
+            edges.setdefault(s.col, set()).update((e, math.nextafter(e, math.inf)))
+    names = list(edges)
+    splits = {c: [-math.inf, *sorted(v), math.inf] for c, v in edges.items()}
+    regions = Bucketizer(
+        splitsArray=[splits[c] for c in names], inputCols=names,
+        outputCols=[f"_r{i}" for i in range(len(names))], handleInvalid="keep",
+    ).transform(cols.select(*names))
+    rows = F.array(
+        *[
+            F.struct(F.lit(i).alias("col"), F.col(f"_r{i}").cast("int").alias("region"))
+            for i in range(len(names))
         ]
-    row = cols.agg(*aggs).first()
-    for i, s in enumerate(slots):
-        s.below, s.at_lo, s.inside, s.at_hi = row[f"b{i}"], row[f"l{i}"], row[f"i{i}"], row[f"h{i}"]
+    )
+    counted = (
+        regions.select(F.inline(rows))
+        .groupBy("col", "region").agg(F.count(F.lit(1)).alias("n")).collect()
+    )
+    n: dict[str, dict[int, int]] = {c: {} for c in names}
+    for r in counted:
+        if r.region < len(splits[names[r["col"]]]) - 1:  # the last region holds nulls
+            n[names[r["col"]]][r.region] = r.n
+    for s in slots:
+        at = n[s.col]
+        lo, hi = splits[s.col].index(s.lo), splits[s.col].index(s.hi)
+        s.below = sum(v for k, v in at.items() if k < lo)
+        s.at_lo = at.get(lo, 0)
+        s.inside = sum(v for k, v in at.items() if lo < k < hi)
+        s.at_hi = at.get(hi, 0) if hi > lo else 0
 
 
 def _selected(cols, names, probs, inside_limit, accuracy):

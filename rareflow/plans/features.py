@@ -206,8 +206,13 @@ _TV = {"source": transactions, "cte": T, "table": "t"}
 _A = V_ARRAY
 
 
-def _row(name, sql_cols, pick):
-    _project(name, sql_cols, lambda: {k: rowstats.all_statistics(F.array(*V_COLS))[k] for k in pick}, **_TV)
+def _row(name, sql_cols, pick, cte=T, table="t"):
+    sql = f"WITH {cte} SELECT txn_id, " + ", ".join(f"{e} AS {n}" for n, e in sql_cols.items()) + f" FROM {table}"
+
+    @query(name, sql)
+    def _(spark, sf):
+        df = rowstats.add_row_statistics(transactions(spark, sf), V_COLS, pick)
+        return rounded(df.select("txn_id", *pick))
 
 
 _row("V1_mean_sum", {"V_mean": R(f"list_avg({_A})"), "V_sum": R(f"list_sum({_A})")}, ["V_mean", "V_sum"])
@@ -224,26 +229,20 @@ _row("V7_high_count", {"V_high_count": f"CAST(len(list_filter({_A}, lambda x: AB
 _ABS = f"list_sum(list_transform({_A}, lambda x: ABS(x)))"
 
 
-@query(
+_row(
     "V8_entropy",
-    f"WITH {T}, s AS (SELECT txn_id, {_A} AS v, {_ABS} + 1e-8 AS tot FROM t) SELECT txn_id, "
-    + R("-list_sum(list_transform(v, lambda x: (ABS(x)/tot)*ln(ABS(x)/tot + 1e-8)))") + " AS V_entropy FROM s",
+    {"V_entropy": R("-list_sum(list_transform(v, lambda x: (ABS(x)/tot)*ln(ABS(x)/tot + 1e-8)))")},
+    ["V_entropy"],
+    cte=f"{T}, s AS (SELECT txn_id, {_A} AS v, {_ABS} + 1e-8 AS tot FROM t)",
+    table="s",
 )
-def _(spark, sf):
-    v = F.array(*V_COLS)
-    return rounded(transactions(spark, sf).select("txn_id", rowstats.entropy(v).alias("V_entropy")))
-
-
-@query(
+_row(
     "V9_mean_abs_deviation",
-    f"WITH {T}, s AS (SELECT txn_id, {_A} AS v, list_avg({_A}) AS m FROM t) SELECT txn_id, "
-    + R("list_avg(list_transform(v, lambda x: ABS(x-m)))") + " AS V_mad FROM s",
+    {"V_mad": R("list_avg(list_transform(v, lambda x: ABS(x-m)))")},
+    ["V_mad"],
+    cte=f"{T}, s AS (SELECT txn_id, {_A} AS v, list_avg({_A}) AS m FROM t)",
+    table="s",
 )
-def _(spark, sf):
-    v = F.array(*V_COLS)
-    return rounded(transactions(spark, sf).select("txn_id", rowstats.mean_abs_deviation(v).alias("V_mad")))
-
-
 _row(
     "V10_sign_counts",
     {

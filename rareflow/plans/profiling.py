@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rareflow.functions import rowstats, timeparts
 from rareflow.functions.bands import amount_band
 from rareflow.functions.shape import V_COLS, stats_by_feature
 from rareflow.operators import evaluation as ev
@@ -323,23 +324,21 @@ def _(spark, sf):
     f"{R('AVG(vm)')} AS v_mean, {R('AVG(vs)')} AS v_std FROM f GROUP BY ALL",
 )
 def _(spark, sf):
-    from rareflow.functions import rowstats, timeparts
-
-    v = F.array(*V_COLS)
-    df = transactions(spark, sf).select(
+    wide = rowstats.add_row_statistics(transactions(spark, sf), V_COLS, ["V_mean", "V_std"])
+    df = wide.select(
         "Class",
         F.floor(timeparts.hour_of_day("Time")).cast("int").alias("hour"),
         "Amount",
         F.log1p("Amount").alias("lg"),
-        rowstats.mean(v).alias("vm"),
-        rowstats.std(v).alias("vs"),
+        "V_mean",
+        "V_std",
     )
     return rounded(
         df.groupBy("Class", "hour").agg(
             F.count(F.lit(1)).alias("n"),
             F.avg("Amount").alias("amount_mean"),
             F.avg("lg").alias("amount_log_mean"),
-            F.avg("vm").alias("v_mean"),
-            F.avg("vs").alias("v_std"),
+            F.avg("V_mean").alias("v_mean"),
+            F.avg("V_std").alias("v_std"),
         )
     )
