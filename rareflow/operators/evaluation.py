@@ -349,3 +349,31 @@ def business_impact(
         - F.lit(float(cost_fp)) * F.col("false_alarms")
         - F.col("missed_amount"),
     )
+
+
+def full_evaluation(df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """One row: basic and cost metrics, areas, recall at 1 % FPR and best thresholds."""
+    pts = _with_totals(running_counts(df), df, ())
+    neg_same = F.col("cnt") - F.col("pos")
+    neg_below = F.col("N") - F.col("fp")
+    fpr, tpr = ratio(F.col("fp"), F.col("N")), ratio(F.col("tp"), F.col("P"))
+    pos = F.col("pos").cast("double")
+    curve = pts.agg(
+        (F.sum(pos * (neg_below + neg_same / 2.0)) / F.max(F.col("P").cast("double") * F.col("N"))).alias("roc_auc"),
+        (F.sum(pos * F.col("tp") / F.col("flagged")) / F.max("P")).alias("pr_auc"),
+        F.coalesce(F.max(F.when(fpr <= 0.01, tpr)), F.lit(0.0)).alias("recall_at_fpr_1pct"),
+    ).first()
+    sweep = threshold_sweep(df)
+    best = sweep.agg(
+        F.max_by("threshold", F.struct("f1_score", -F.col("threshold"))).alias("f1"),
+        F.min_by("threshold", F.struct("total_cost", "threshold")).alias("cost"),
+    ).first()
+    cells = confusion(binarize(df, threshold))
+    out = cost_metrics(basic_metrics(cells)).drop("tn", "fp", "fn", "tp", "n", "positives")
+    return out.withColumns(
+        {
+            **{k: F.lit(v) for k, v in curve.asDict().items()},
+            "best_f1_threshold": F.lit(best.f1),
+            "best_cost_threshold": F.lit(best.cost),
+        }
+    )
