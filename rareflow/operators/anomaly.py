@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from rareflow.functions.keys import perm_key
 from rareflow.functions.shape import stats_by_feature
 from rareflow.operators import evaluation as ev
-from rareflow.operators.pca import PcaParams, fit_pca, reconstruction_error
+from rareflow.operators.pca import PcaParams, fit_pca, with_reconstruction_error
 from rareflow.operators.quantiles import exact_quantiles
+from rareflow.operators.sampling import class_ranks
 
 CONTAMINATION = 0.002
 
@@ -87,8 +88,6 @@ def fit_isolation_forest(
     size = min(sample, total)
     want = min(total, trees * size)
     picked = df.select(key, *cols).orderBy(perm_key(key, seed), key).limit(want)
-    from rareflow.operators.sampling import class_ranks
-
     numbered = class_ranks(picked, key, seed)
     copies = -(-trees * size // want)
     numbered = numbered.select(
@@ -157,14 +156,15 @@ def fit_reconstruction(
     """Learn the normal rows only; the threshold is their (1 - contamination) quantile."""
     normal = df.where(F.col(target) == 0)
     p = fit_pca(normal, cols, k, standardize=True)
-    cut = exact_quantiles(normal, {"e": reconstruction_error(p)}, [1.0 - contamination])["e"][0]
+    errors = with_reconstruction_error(normal, p, "_e")
+    cut = exact_quantiles(errors, {"e": F.col("_e")}, [1.0 - contamination])["e"][0]
     return Reconstruction(p, cut)
 
 
 def score_reconstruction(df: DataFrame, model: Reconstruction) -> DataFrame:
     error = F.col("reconstruction_error")
     cut = F.lit(model.threshold)
-    return df.withColumn("reconstruction_error", reconstruction_error(model.components)).withColumns(
+    return with_reconstruction_error(df, model.components, "reconstruction_error").withColumns(
         {
             "anomaly_score": F.least(F.lit(1.0), F.greatest(F.lit(0.0), error / (cut * 2.0))),
             "is_anomaly": (error > cut).cast("int"),

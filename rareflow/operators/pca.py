@@ -38,17 +38,15 @@ def fit_pca(df: DataFrame, cols: Sequence[str], k: int, standardize: bool = Fals
 
 
 def component_columns(p: PcaParams) -> list[Column]:
-    out = []
-    for j in range(p.loadings.shape[1]):
-        terms = [
-            (F.col(c) - F.lit(m)) / F.lit(s) * F.lit(float(p.loadings[i, j]))
-            for i, (c, m, s) in enumerate(zip(p.columns, p.mean, p.scale))
-        ]
-        expr = terms[0]
-        for t in terms[1:]:
-            expr = expr + t
-        out.append(expr)
-    return out
+    return [
+        F.expr(
+            " + ".join(
+                f"({c} - {m!r}D) / {s!r}D * {float(p.loadings[i, j])!r}D"
+                for i, (c, m, s) in enumerate(zip(p.columns, p.mean, p.scale))
+            )
+        )
+        for j in range(p.loadings.shape[1])
+    ]
 
 
 def apply_pca(df: DataFrame, p: PcaParams, prefix: str = "PCA_") -> DataFrame:
@@ -63,26 +61,18 @@ def project_components(
     return out.withColumns({f"explained_{j}": F.lit(float(p.explained[j])) for j in range(k)})
 
 
-def reconstruction_error(p: PcaParams) -> Column:
-    """Mean squared residual of the standardized row after keeping the components."""
-    z = [
-        (F.col(c) - F.lit(m)) / F.lit(s) for c, m, s in zip(p.columns, p.mean, p.scale)
-    ]
-    comps = F.array(*component_columns(p))
-    back = [
-        F.aggregate(
-            F.zip_with(
-                comps,
-                F.array(*[F.lit(float(x)) for x in p.loadings[i]]),
-                lambda a, b: a * b,
-            ),
-            F.lit(0.0),
-            lambda a, x: a + x,
-        )
-        for i in range(len(z))
-    ]
-    sq = [(a - b) * (a - b) for a, b in zip(z, back)]
-    out = sq[0]
-    for s in sq[1:]:
-        out = out + s
-    return out / F.lit(float(len(z)))
+def with_reconstruction_error(df: DataFrame, p: PcaParams, out: str) -> DataFrame:
+    """Mean squared residual of the standardized row after keeping the components.
+
+    The loadings are orthonormal, so the residual is what the components leave of
+    the row's squared length.
+    """
+    k = p.loadings.shape[1]
+    length = " + ".join(
+        f"({c} - {m!r}D) / {s!r}D * (({c} - {m!r}D) / {s!r}D)"
+        for c, m, s in zip(p.columns, p.mean, p.scale)
+    )
+    staged = apply_pca(df, p, "_pc").withColumn("_len", F.expr(length))
+    kept = " + ".join(f"_pc{j} * _pc{j}" for j in range(k))
+    error = F.greatest(F.lit(0.0), (F.col("_len") - F.expr(kept)) / float(len(p.columns)))
+    return staged.withColumn(out, error).drop("_len", *[f"_pc{j}" for j in range(k)])
