@@ -169,10 +169,12 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def average_ranks(
+    df: DataFrame, value: str, by: Sequence[str] = (), small: int = SMALL_GROUP
+) -> DataFrame:
     """One row per value: ``n`` rows share it and ``rank`` is their mean 1-based rank."""
     counts = value_counts(df, value, by).withColumn("cum", F.col("n"))
-    cum = prefix_sums(counts, value, {"cum": "cum"}, by)
+    cum = prefix_sums(counts, value, {"cum": "cum"}, by, small=small)
     return cum.withColumn("rank", F.col("cum") - F.col("n") + (F.col("n") + 1) / 2.0)
 
 

@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rareflow.operators.ordering import prefix_sums, value_counts
+from rareflow.operators.ordering import SMALL_GROUP, prefix_sums, value_counts
 
 SMALL_VALUES = 4_000_000
 INSIDE_LIMIT = 50_000
@@ -95,7 +95,7 @@ def _count_brackets(cols: DataFrame, slots: list[_Slot]) -> None:
     )
     n: dict[str, dict[int, int]] = {c: {} for c in names}
     for r in counted:
-        if r.region < len(splits[names[r["col"]]]) - 1:  # the last region holds nulls
+        if r.region is not None and r.region < len(splits[names[r["col"]]]) - 1:  # last: NaN
             n[names[r["col"]]][r.region] = r.n
     for s in slots:
         at = n[s.col]
@@ -219,7 +219,8 @@ def _finish(cols, slots):
 
 
 def grouped_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float]
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float],
+    small: int = SMALL_GROUP,
 ) -> DataFrame:
     """Exact quantiles per group for any number of groups, hot groups included.
 
@@ -228,7 +229,7 @@ def grouped_quantiles(
     """
     counts = value_counts(df, value, by).withColumn("cum", F.col("n"))
     sizes = counts.groupBy(*by).agg(F.sum("n").alias("_size"))
-    cum = prefix_sums(counts, value, {"cum": "cum"}, by).join(sizes, list(by))
+    cum = prefix_sums(counts, value, {"cum": "cum"}, by, small=small).join(sizes, list(by))
     aggs = []
     for name, p in probs.items():
         pos = F.lit(float(p)) * (F.col("_size") - 1)

@@ -32,7 +32,9 @@ def r6(c: Column | str) -> Column:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[r6(F.col(c)).alias(c) if t == "double" else c for c, t in df.dtypes])
+    return df.selectExpr(
+        *[f"round(`{c}`, 6) + 0D AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes]
+    )
 
 
 # ---- oracle text -----------------------------------------------------------

@@ -11,33 +11,50 @@ EPOCH = "2024-01-01 00:00:00"
 DRIFT_CUT = "2024-01-16 00:00:00"
 
 
+# Declared, so that reading starts no job to look at file footers.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def seconds_since_epoch(ts="ts") -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', {ts}) / 1000000D")
 
 
+LABEL = "CASE WHEN event_type = 'error' AND user_id % 10 = 0 THEN 1 ELSE 0 END"
+
+
 def label_column() -> Column:
-    return F.when(
-        (F.col("event_type") == "error") & (F.col("user_id") % 10 == 0), F.lit(1)
-    ).otherwise(F.lit(0))
+    return F.expr(LABEL)
 
 
 def labelled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions without the V family: for jobs that only need time, amount and label."""
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("txn_id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS txn_id",
         "user_id",
         "ts",
-        seconds_since_epoch().alias("Time"),
-        F.col("value").alias("Amount"),
-        label_column().alias("Class"),
+        f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', ts) / 1000000D AS Time",
+        "value AS Amount",
+        f"{LABEL} AS Class",
         "event_type",
     )
 
 
+def v_columns(embeddings: DataFrame, key: str = "vkey") -> DataFrame:
+    """The V family of every vector, scaled to a standard deviation near one."""
+    return embeddings.selectExpr(
+        f"vec_id AS {key}",
+        *[f"8.0D * CAST(element_at(embedding, {i}) AS DOUBLE) AS {c}" for i, c in enumerate(V_COLS, 1)],
+    )
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``txn_id, user_id, ts, Time, V1..V28, Amount, Class``.
 
@@ -45,16 +62,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     is left to the optimizer's own size check.
     """
     emb = table(spark, sf_dir, "embeddings")
-    n = emb.count()
-    ev = labelled_events(spark, sf_dir).withColumn("vkey", F.col("txn_id") % F.lit(n))
-    vs = emb.select(
-        F.col("vec_id").alias("vkey"),
-        *[
-            (F.lit(8.0) * F.element_at("embedding", i + 1).cast("double")).alias(c)
-            for i, c in enumerate(V_COLS)
-        ],
-    )
-    return ev.join(vs, "vkey").select(
+    ev = labelled_events(spark, sf_dir).selectExpr("*", f"txn_id % {emb.count()}L AS vkey")
+    return ev.join(v_columns(emb), "vkey").select(
         "txn_id", "user_id", "ts", "Time", *V_COLS, "Amount", "Class"
     )
 
