@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +43,24 @@ def unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame
     return df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(ids), list(cols), "feature", "value"
     ).where(F.col("value").isNotNull())
+
+
+def edge_codes(
+    df: DataFrame, edges: Mapping[str, Sequence[float]], right_closed: bool = True, prefix: str = "_code_"
+) -> DataFrame:
+    """Adds, per column, how many distinct edges lie below the value (at or below, if not right-closed).
+
+    A binary search per value keeps the compiled code small however many edges there are.
+    """
+    names = list(edges)
+    cuts = {c: sorted({math.nextafter(e, math.inf) if right_closed else e for e in edges[c]}) for c in names}
+    doubles = df.withColumns({f"{prefix}{c}_in": F.col(c).cast("double") for c in names})
+    coded = Bucketizer(
+        splitsArray=[[-math.inf, *cuts[c], math.inf] for c in names],
+        inputCols=[f"{prefix}{c}_in" for c in names],
+        outputCols=[f"{prefix}{c}_out" for c in names],
+        handleInvalid="keep",
+    ).transform(doubles)
+    return coded.select(
+        *df.columns, *[F.col(f"{prefix}{c}_out").cast("int").alias(f"{prefix}{c}") for c in names]
+    )

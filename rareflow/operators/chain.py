@@ -69,7 +69,9 @@ def fit_features(df: DataFrame, switches: Switches = Switches()) -> FittedFeatur
     scaler = {}
     if switches.scale:
         wide = _derived(df, switches, amounts)
-        scaler = scaling.fit_scaler(wide, _scaled_columns(wide), switches.scaler)
+        wide = wide.select(*_scaled_columns(wide)).persist()  # read by every quantile pass
+        scaler = scaling.fit_scaler(wide, wide.columns, switches.scaler)
+        wide.unpersist()
     return FittedFeatures(switches, amounts, bounds, components, scaler)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rareflow.functions.bands import drift_severity
-from rareflow.functions.shape import numeric_columns, stats_by_feature
+from rareflow.functions.shape import edge_codes, numeric_columns, stats_by_feature
 from rareflow.operators.ordering import prefix_sums
 from rareflow.operators.quantiles import exact_quantiles
 
@@ -126,23 +126,15 @@ def psi_equal_width(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> Data
     return binned_shares(ref, cur, cols).groupBy("feature").agg(psi_sum().alias("psi"))
 
 
-def decile_bins(ref: DataFrame, cols: Sequence[str], buckets: int = 10) -> dict[str, Column]:
+def psi_deciles(ref: DataFrame, cur: DataFrame, cols: Sequence[str], buckets: int = 10) -> DataFrame:
     """Right-closed bins on the reference quantiles; the outer bins are open."""
-    q = exact_quantiles(ref, {c: F.col(c) for c in cols}, [i / buckets for i in range(1, buckets)])
-    out = {}
-    for c in cols:
-        code = F.lit(0)
-        for e in sorted(set(q[c])):
-            code = code + (F.col(c) > F.lit(e)).cast("int")
-        out[c] = code
-    return out
+    edges = exact_quantiles(ref, {c: F.col(c) for c in cols}, [i / buckets for i in range(1, buckets)])
+    exprs = {c: F.col(f"_code_{c}") for c in cols}
 
+    def counts(df):
+        return bin_counts(edge_codes(df.select(*cols), edges), exprs)
 
-def psi_deciles(ref: DataFrame, cur: DataFrame, cols: Sequence[str], buckets: int = 10) -> DataFrame:
-    exprs = decile_bins(ref, cols, buckets)
-    shares = _shares(
-        bin_counts(ref, exprs), bin_counts(cur, exprs), ref.count(), cur.count(), ["feature", "bin"]
-    )
+    shares = _shares(counts(ref), counts(cur), ref.count(), cur.count(), ["feature", "bin"])
     return shares.groupBy("feature").agg(psi_sum().alias("psi"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rareflow.functions import timeparts as tp
 from rareflow.functions.bands import AMOUNT_BINS_4, AMOUNT_BINS_6, right_closed_bins
 from rareflow.functions.interactions import safe_ratio
-from rareflow.operators.ordering import average_ranks, lookup_by_value
+from rareflow.operators.ordering import average_ranks, fits_broadcast, lookup_by_value
 from rareflow.operators.quantiles import exact_quantiles
 
 DECILES = tuple(i / 10 for i in range(11))
@@ -111,7 +111,8 @@ def percentile_rank(df: DataFrame, value: str = "Amount", out: str = "Amount_per
     ranks = average_ranks(df.select(value), value).select(
         value, "n", (F.col("rank") / F.lit(float(total))).alias(out)
     )
-    return lookup_by_value(df, ranks, value, total).drop("n")
+    small = fits_broadcast(df, value)
+    return lookup_by_value(df, ranks, value, total, broadcast=small).drop("n")
 
 
 def interaction_columns(p: AmountParams) -> dict[str, Column]:

@@ -18,6 +18,7 @@ from rareflow.session import range_count
 
 SUB = 1 << 20
 SMALL_GROUP = 100_000
+BROADCAST_VALUES = 500_000
 PER_CUT = 100
 COARSE = 32
 
@@ -178,13 +179,24 @@ def average_ranks(
     return cum.withColumn("rank", F.col("cum") - F.col("n") + (F.col("n") + 1) / 2.0)
 
 
-def lookup_by_value(df: DataFrame, looked_up: DataFrame, value: str, total: int, share: int = 1000) -> DataFrame:
+def fits_broadcast(df: DataFrame, value: str, limit: int = BROADCAST_VALUES) -> bool:
+    """Whether a table with one row per distinct value is small enough to broadcast."""
+    return df.agg(F.approx_count_distinct(value)).first()[0] <= limit
+
+
+def lookup_by_value(
+    df: DataFrame, looked_up: DataFrame, value: str, total: int, share: int = 1000,
+    broadcast: bool = False,
+) -> DataFrame:
     """Join per-value results (with their row count ``n``) back to the rows.
 
-    Values holding more than 1/share of the rows number fewer than ``share``:
-    they are broadcast, so no task receives a hot value. The rest is an
-    ordinary join in which every value is small.
+    ``broadcast`` is for a ``looked_up`` whose size was checked. Otherwise only the
+    values holding more than 1/share of the rows, fewer than ``share`` of them, are
+    broadcast, so no task receives a hot value; the rest is an ordinary join in which
+    every value is small.
     """
+    if broadcast:
+        return df.join(F.broadcast(looked_up), value)
     limit = F.lit(max(1, total // share))
     hot = F.broadcast(looked_up.where(F.col("n") > limit))
     cold = looked_up.where(F.col("n") <= limit)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rareflow.operators.ordering import SMALL_GROUP, prefix_sums, value_counts
 
-SMALL_VALUES = 4_000_000
+SMALL_VALUES = 6_000_000
 INSIDE_LIMIT = 50_000
 
 

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rareflow.functions.shape import stats_by_feature
-from rareflow.operators.ordering import average_ranks, lookup_by_value
+from rareflow.functions.shape import edge_codes, stats_by_feature
+from rareflow.operators.ordering import average_ranks, fits_broadcast, lookup_by_value
 from rareflow.operators.profile import correlation_matrix
 from rareflow.operators.quantiles import exact_quantiles
+from rareflow.session import shared_dir
 
 
 def variances(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -58,12 +59,20 @@ def _pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
 
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of average ranks; hot values never reach one task."""
+    """Pearson correlation of average ranks; hot values never reach one task.
+
+    The table is written out after a column whose ranks are too many to broadcast, as
+    the next column would otherwise repeat that join.
+    """
     total = df.count()
     ranked = df.select(*cols)
     for c in cols:
         ranks = average_ranks(df.select(c), c).select(c, "n", F.col("rank").alias(f"rank_{c}"))
-        ranked = lookup_by_value(ranked, ranks, c, total).drop("n")
+        small = fits_broadcast(df, c)
+        ranked = lookup_by_value(ranked, ranks, c, total, broadcast=small).drop("n")
+        if not small:
+            shared_dir(df.sparkSession)
+            ranked = ranked.checkpoint()
     row = ranked.agg(
         *[F.corr(f"rank_{a}", f"rank_{b}").alias(f"{a}__{b}") for a, b in _pairs(cols)]
     ).first()
@@ -87,11 +96,8 @@ def value_codes(df: DataFrame, cols: Sequence[str], most: int = 256) -> DataFram
         q = exact_quantiles(df, {c: F.col(c) for c in rest}, [i / most for i in range(1, most)])
         cuts.update({c: sorted(set(q[c])) for c in rest})
 
-    def code(c):
-        edges = F.array(*[F.lit(float(e)) for e in cuts[c]])
-        return F.size(F.filter(edges, lambda e: e <= F.col(c).cast("double")))
-
-    return df.select(*[code(c).alias(c) for c in cols])
+    coded = edge_codes(df.select(*cols), {c: cuts[c] for c in cols}, right_closed=False)
+    return coded.select(*[F.col(f"_code_{c}").alias(c) for c in cols])
 
 
 def kendall_pairs(df: DataFrame, cols: Sequence[str], most: int = 256) -> DataFrame:
@@ -168,14 +174,11 @@ def mutual_information(
     """Mutual information (nats) between quantile bins and the class."""
     q = exact_quantiles(df, {c: F.col(c) for c in cols}, [i / buckets for i in range(1, buckets)])
 
-    def code(c):
-        out = F.lit(0)
-        for e in sorted(set(q[c])):
-            out = out + (F.col(c) > F.lit(e)).cast("int")
-        return out
-
-    rows = F.array(*[F.struct(F.lit(c).alias("feature"), code(c).alias("bin")) for c in cols])
-    cells = df.select(target, F.inline(rows)).groupBy("feature", "bin", target).agg(
+    coded = edge_codes(df.select(target, *cols), {c: q[c] for c in cols})
+    rows = F.array(
+        *[F.struct(F.lit(c).alias("feature"), F.col(f"_code_{c}").alias("bin")) for c in cols]
+    )
+    cells = coded.select(target, F.inline(rows)).groupBy("feature", "bin", target).agg(
         F.count(F.lit(1)).cast("double").alias("n")
     )
     total = F.sum("n").over(Window.partitionBy("feature"))
