@@ -42,6 +42,8 @@ RAW = [*V_COLS, "Amount"]
 
 
 def _derived(df: DataFrame, s: Switches, p: fitted.AmountParams) -> DataFrame:
+    if s.rolling:  # needs raw columns only, so it moves the narrow rows
+        df = rolling.rolling(df)
     if s.row_statistics:
         df = rowstats.add_row_statistics(df, V_COLS)
     cols = {}
@@ -51,8 +53,7 @@ def _derived(df: DataFrame, s: Switches, p: fitted.AmountParams) -> DataFrame:
         cols.update(fitted.amount_columns(p))
     if s.interactions:
         cols.update(fitted.interaction_columns(p))
-    df = df.withColumns(cols)
-    return rolling.rolling(df) if s.rolling else df
+    return df.withColumns(cols)
 
 
 def _scaled_columns(df: DataFrame) -> list[str]:
@@ -76,7 +77,10 @@ def fit_features(df: DataFrame, switches: Switches = Switches()) -> FittedFeatur
 
 
 def apply_features(df: DataFrame, f: FittedFeatures) -> DataFrame:
-    """time, amount, row statistics, interactions, rolling, outliers, PCA, scaling."""
+    """Derived columns, then outliers, PCA and scaling.
+
+    Rolling features read raw columns only, so computing them first changes no value.
+    """
     out = _derived(df, f.switches, f.amounts)
     if f.switches.outliers:
         out = outliers.outlier_totals(outliers.iqr_flags(out, f.bounds))

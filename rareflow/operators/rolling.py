@@ -60,14 +60,17 @@ def rolling(
     reach = max(sizes) - 1 + lag
     to = halo_links(ranged, by, reach)
     tail = Window.partitionBy(*by, "_range").orderBy(F.col(time).desc(), F.col(key).desc())
+    narrow = ranged.select(*by, *{time, key, value, target} - set(by), "_range")
     halo = (
-        ranged.withColumn("_back", F.row_number().over(tail))
+        narrow.withColumn("_back", F.row_number().over(tail))
         .where(F.col("_back") <= reach)
         .join(F.broadcast(to), [*by, "_range"])  # about one link per range of a cut group
         .where(F.col("_back") <= F.col("_need"))
-        .select(*df.columns, F.col("_to").alias("_range"), F.lit(True).alias("_halo"))
+        .drop("_range", "_back", "_need")
+        .withColumnRenamed("_to", "_range")
+        .withColumn("_halo", F.lit(True))
     )
-    both = ranged.withColumn("_halo", F.lit(False)).unionByName(halo)
+    both = ranged.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
     w = Window.partitionBy(*by, "_range").orderBy(time, key)
     return (
         both.withColumns(_all_sizes(w, sizes, lag, value, target))
