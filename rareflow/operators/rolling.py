@@ -59,13 +59,13 @@ def rolling(
     )
     reach = max(sizes) - 1 + lag
     to = halo_links(ranged, by, reach)
-    tail = Window.partitionBy(*by, "_range").orderBy(F.col(time).desc(), F.col(key).desc())
+    # only ranges that some later range looks back to take part, with their narrow columns
+    tail = Window.partitionBy(*by, "_range", "_to").orderBy(F.col(time).desc(), F.col(key).desc())
     narrow = ranged.select(*by, *{time, key, value, target} - set(by), "_range")
     halo = (
-        narrow.withColumn("_back", F.row_number().over(tail))
-        .where(F.col("_back") <= reach)
-        .join(F.broadcast(to), [*by, "_range"])  # about one link per range of a cut group
-        .where(F.col("_back") <= F.col("_need"))
+        narrow.join(F.broadcast(to), [*by, "_range"])  # about one link per range of a cut group
+        .withColumn("_back", F.row_number().over(tail))
+        .where((F.col("_back") <= reach) & (F.col("_back") <= F.col("_need")))
         .drop("_range", "_back", "_need")
         .withColumnRenamed("_to", "_range")
         .withColumn("_halo", F.lit(True))

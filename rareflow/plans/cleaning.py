@@ -112,12 +112,13 @@ def _(spark, sf):
 
 @query(
     "Q5_schema_errors",
-    "SELECT column_name, 'missing required column ' || column_name AS error FROM "
+    f"WITH {T} SELECT column_name, 'missing required column ' || column_name AS error, (SELECT COUNT(*) FROM t) AS rows_affected FROM "
     "(VALUES ('Class'), ('V28')) x(column_name)",
 )
 def _(spark, sf):
     df = transactions(spark, sf).drop("Class", "V28")
-    return quality.schema_errors(df, ["Time", *V_COLS, "Amount", "Class"])
+    errors = quality.schema_errors(df, ["Time", *V_COLS, "Amount", "Class"])
+    return errors.withColumn("rows_affected", F.lit(df.count()))
 
 
 @query(

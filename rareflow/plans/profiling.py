@@ -38,15 +38,19 @@ _TYPES = (
 
 @query(
     "P1_column_groups",
-    "SELECT column_name, type_name, CASE WHEN column_name='Class' THEN 'target' "
+    f"WITH {T}, n AS (SELECT COUNT(*) AS present FROM t) SELECT column_name, type_name, present, CASE WHEN column_name='Class' THEN 'target' "
     "WHEN regexp_matches(column_name, '^V[0-9]+$') THEN 'v family' "
     "WHEN column_name LIKE 'Time%' THEN 'time' WHEN column_name LIKE 'Amount%' THEN 'amount' "
     "ELSE 'other' END AS name_group FROM (VALUES "
     + ", ".join(f"('{c}','{t}')" for c, t in _TYPES)
-    + ") x(column_name, type_name)",
+    + ") x(column_name, type_name), n",
 )
 def _(spark, sf):
-    return pr.column_groups(transactions(spark, sf))
+    df = transactions(spark, sf)
+    present = stats_by_feature(df, df.columns, {"present": F.count})
+    return pr.column_groups(df).join(
+        present.withColumnRenamed("feature", "column_name"), "column_name"
+    )
 
 
 @query(

@@ -90,14 +90,21 @@ def _(spark, sf):
     return rounded(out.withColumn("Time_Amount_ratio", F.round("Time_Amount_ratio", 2)))
 
 
-@query("SC6_schema_match", "SELECT 'raw' AS source, false AS matches UNION ALL SELECT 'aligned', true")
+@query(
+    "SC6_schema_match",
+    f"WITH {T} SELECT 'raw' AS source, false AS matches, COUNT(*) AS n_rows FROM t UNION ALL SELECT 'aligned', true, COUNT(*) FROM t",
+)
 def _(spark, sf):
     df = transactions(spark, sf)
-    rows = [
-        ("raw", scaling.matches_schema(df)),
-        ("aligned", scaling.matches_schema(scaling.align_to_schema(df))),
-    ]
-    return spark.createDataFrame(rows, "source string, matches boolean")
+    parts = {"raw": df, "aligned": scaling.align_to_schema(df)}
+    out = None
+    for name, part in parts.items():
+        one = part.agg(
+            F.lit(name).alias("source"), F.lit(scaling.matches_schema(part)).alias("matches"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("SC7_assembled_vectors")
