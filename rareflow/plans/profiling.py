@@ -17,7 +17,6 @@ from rareflow.sources.views import labelled_events, scored, transactions, with_m
 
 FEATURES = [*V_COLS, "Amount"]
 WIDE = [*V_COLS, "Time", "Amount"]
-U = f"u AS (UNPIVOT (SELECT txn_id, Class, {V_LIST}, Amount FROM t) ON {V_LIST}, Amount INTO NAME feature VALUE value)"
 UT = f"u AS (UNPIVOT (SELECT txn_id, Class, {V_LIST}, Time, Amount FROM t) ON {V_LIST}, Time, Amount INTO NAME feature VALUE value)"
 
 

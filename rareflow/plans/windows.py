@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from rareflow.functions.shape import V_COLS
 from rareflow.operators import evaluation as ev
 from rareflow.operators.rolling import rolling
