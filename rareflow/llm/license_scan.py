@@ -1,8 +1,8 @@
 """Licence notices in paragraphs, by a trained classifier and a comparison with templates.
 
-A paragraph is a line with a word. Its words and pairs of words, hashed, feed a sparse
-multinomial logistic regression whose classes are the licence families and ``none``. It
-is trained on variants of short notices of each family and on paragraphs of the corpus.
+A paragraph is a line with a word. Its words and pairs of words feed a sparse multinomial
+logistic regression whose classes are the licence families and ``none``. It is trained on
+variants of short notices of each family and on paragraphs of the corpus.
 Notices of families that it never saw set the chance below which a paragraph that looks
 like a licence is ``unknown``; a family must also share most words of one of its
 templates. Runs on DataFrame functions and Spark's own JVM-side models only.
@@ -12,9 +12,8 @@ from __future__ import annotations
 
 import random
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +76,10 @@ FOREIGN = [
 NONE, UNKNOWN = "none", "unknown"
 #: Paragraphs of the corpus in the training rows, and variants of each notice.
 BACKGROUND_ROWS, VARIANTS = 3000, 24
-BUCKETS = 2**14
+#: N-grams that fewer training rows have are left out; most n-grams that are kept.
+LEAST_ROWS, MOST_GRAMS = 3, 20_000
+ITERATIONS = 25
+TRAIN_TASKS = 4
 SEED = 2
 #: The share of a template's words that confirms its family.
 CONFIRMING = 0.6
@@ -87,20 +89,24 @@ def paragraph_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def once(value: Column) -> Column:
+    """``value`` behind a generator, which filters are not pushed below, so it is worked out once a row."""
+    return F.explode(F.array(value))
+
+
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, paragraph, words): every line with a word, numbered from 0 over all lines."""
     lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(whole(docs[text_col]), "\n")).alias("paragraph", "line"))
-    rows = lines.select("id", F.col("paragraph").cast("long").alias("paragraph"), paragraph_words(F.col("line")).alias("words"))
+    rows = lines.select("id", F.col("paragraph").cast("long").alias("paragraph"), once(paragraph_words(F.col("line"))).alias("words"))
     return rows.where(F.size("words") > 0)
 
 
-def _with_features(rows: DataFrame) -> DataFrame:
+def grams(words: Column) -> Column:
+    """The words and the pairs of words of a paragraph."""
     pairs = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i))
+        F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i))
     )
-    grams = F.when(F.size("words") > 1, F.concat("words", pairs)).otherwise(F.col("words"))
-    hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=BUCKETS, binary=True)
-    return hashed.transform(rows.withColumn("grams", grams)).drop("grams")
+    return F.when(F.size(words) > 1, F.concat(words, pairs)).otherwise(words)
 
 
 def _variants(notices: list[str], draw: random.Random) -> list[str]:
@@ -139,19 +145,36 @@ def _looks_like_a_notice(words: Column) -> Column:
 
 
 class LicenceModel:
-    """The regression, its class names, and the chance that a known family must reach."""
-
-    def __init__(self, model: LogisticRegressionModel, names: list[str], least: float):
-        self.model, self.names, self.least = model, names, least
+    """Class names, each class's constant, the n-grams with a weight in some class, the chance to reach."""
+
+    def __init__(self, names: list[str], constants: list[float], weights: dict[str, list[float]], least: float = 0.0):
+        self.names, self.constants, self.weights, self.least = names, constants, weights, least
+
+    def _raw(self) -> Column:
+        """Each class's linear score: its constant and the weights of the n-grams that have some."""
+        start = F.array(*map(F.lit, self.constants))
+        if not self.weights:
+            return start
+        table = F.create_map(*(c for g, w in self.weights.items() for c in (F.lit(g), F.array(*map(F.lit, w)))))
+        hits = F.filter(F.array_distinct(grams(F.col("words"))), lambda g: g.isin(list(self.weights)))
+        return F.aggregate(
+            hits, start, lambda total, g: F.zip_with(total, F.element_at(table, g), lambda a, b: a + b)
+        )
 
     def chances(self, rows: DataFrame) -> DataFrame:
         """Adds family (the likeliest but none), chance, and none (the chance of no licence)."""
-        p = self.model.transform(_with_features(rows)).withColumn("p", vector_to_array("probability"))
-        known = F.slice("p", 1, len(self.names) - 1)
-        p = p.withColumns({"chance": F.array_max(known), "none": F.get("p", F.lit(len(self.names) - 1))})
+        known = F.slice("raw", 1, len(self.names) - 1)
+        out = rows.select("*", once(self._raw()).alias("raw"))
+        out = out.withColumn("top", F.array_max(known))
+        total = F.aggregate("raw", F.lit(0.0), lambda t, x: t + F.exp(x - F.col("top")))
+        out = out.withColumn("total", total)
         names = F.array(*map(F.lit, self.names))
-        p = p.withColumn("family", F.get(names, (F.array_position("p", F.col("chance")) - 1).cast("int")))
-        return p.select(*rows.columns, "family", "chance", "none")
+        return out.select(
+            *rows.columns,
+            F.get(names, (F.array_position("raw", F.col("top")) - 1).cast("int")).alias("family"),
+            (1 / F.col("total")).alias("chance"),
+            (F.exp(F.get("raw", F.lit(len(self.names) - 1)) - F.col("top")) / F.col("total")).alias("none"),
+        )
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenceModel:
@@ -172,9 +195,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     made += [("lorem ipsum dolor", none), ("sit amet", none), ("consectetur", none)]
     some = docs.select(F.col(id_col), F.col(text_col)).where(F.pmod(F.xxhash64(id_col, F.lit(SEED)), F.lit(997)) < _share(docs))
     lines = paragraphs(some, id_col, text_col).where(~_looks_like_a_notice(F.col("words"))).select("words", F.lit(none).alias("label"))
-    rows = written(_table(spark, made).unionByName(lines), "licence-train")
-    learner = LogisticRegression(maxIter=40, regParam=2e-4, elasticNetParam=0.5, family="multinomial")
-    model = LicenceModel(learner.fit(_with_features(rows).select("features", "label")), names, 0.0)
+    rows = _table(spark, made).unionByName(lines).select(grams(F.col("words")).alias("grams"), "label")
+    rows = written(rows, "licence-train").coalesce(TRAIN_TASKS)
+    counter = CountVectorizer(
+        inputCol="grams", outputCol="features", vocabSize=MOST_GRAMS, minDF=LEAST_ROWS, binary=True
+    ).fit(rows)
+    learner = LogisticRegression(maxIter=ITERATIONS, regParam=2e-4, elasticNetParam=0.5, family="multinomial")
+    fitted = learner.fit(counter.transform(rows).select("features", "label"))
+    matrix = fitted.coefficientMatrix.toArray()
+    weights = {
+        gram: [float(w) for w in matrix[:, i]] for i, gram in enumerate(counter.vocabulary) if matrix[:, i].any()
+    }
+    model = LicenceModel(names, [float(c) for c in fitted.interceptVector.toArray()], weights)
     got = model.chances(_table(spark, checked)).where("none < 0.5").select("chance", "label").collect()
     model.least = _threshold([(r["chance"], r["label"] > 0) for r in got])
     return model
