@@ -31,10 +31,10 @@ def _slot(length: Column, prefix: Column) -> Column:
 
 def _survivors(rows: DataFrame) -> DataFrame:
     """Bitmaps (bitmap, bits) of the (length, prefix hash) that more than one row has."""
-    keys = written(rows.select("length", "prefix"), "dedup-keys")
-    lengths = keys.groupBy("length").count().where("count > 1").select("length")
-    left = keys.join(lengths, "length", "left_semi")
-    left = left.groupBy("length", "prefix").count().where("count > 1")
+    # rows are counted before any join, so that many copies of one text are one row from here on
+    keys = written(rows.groupBy("length", "prefix").count(), "dedup-keys")
+    lengths = keys.groupBy("length").agg(F.sum("count").alias("rows")).where("rows > 1").select("length")
+    left = keys.join(lengths, "length", "left_semi").where("count > 1")
     slot = left.select(_slot(F.col("length"), F.col("prefix")).alias("slot"))
     return slot.groupBy((F.col("slot") / BITMAP_BITS).cast("int").alias("bitmap")).agg(
         F.bitmap_construct_agg(F.col("slot") % BITMAP_BITS).alias("bits")
