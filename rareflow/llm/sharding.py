@@ -55,7 +55,10 @@ def _round(rows: DataFrame, shards: int, bits: int) -> DataFrame | None:
         F.max(F.struct("count", F.xxhash64("part", "shard").alias("draw"), "shard")).alias("top")
     )
     best = best.select("part", F.col("top.shard").alias("goal"))
-    asked = written(rows.join(best, "part", "left"), "shard-asked")
+    # rows without a part stay out of the join, where null would be one key for most of them
+    linked = rows.where("part is not null").join(best, "part").select(*rows.columns, "goal")
+    alone = rows.where("part is null").withColumn("goal", F.lit(None).cast("int"))
+    asked = written(linked.unionByName(alone), "shard-asked")
     moving = asked.where("goal <> shard")
     wanted = {(r["shard"], r["goal"]): r["count"] for r in moving.groupBy("shard", "goal").count().collect()}
     spare = {r["shard"]: r["count"] for r in asked.where("part is null").groupBy("shard").count().collect()}
