@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from rareflow.session import fresh_path
 
 #: White space as the contracts define it: a blank and the control codes 9 to 13.
-BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 #: Rows that one task of a ranked window should hold, and the most buckets of a group.
@@ -36,8 +35,7 @@ def whole(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text as an array, JVM side."""
-    flat = F.translate(whole(text), BLANKS, " " * len(BLANKS))
-    return F.filter(F.split(flat, " "), lambda w: w != "")
+    return F.array_remove(F.split(whole(text), BLANK_RUN), "")
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -14,34 +14,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.llm.common import BLANKS, whole, words
+from rareflow.llm.common import whole, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+SEPARATORS = ("|", "<", ">", "•", "-")
 WINDOW = 5
 #: Rows of the sample that costs and selectivities come from.
 SAMPLE_ROWS = 1000
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+def _count(text: Column, chars: str) -> Column:
+    """How many characters of ``text`` are in the character class ``chars``."""
+    return (F.length(text) - F.length(F.regexp_replace(text, chars, ""))).cast("long")
 
 
-def symbol_count(text: Column) -> Column:
-    return (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long")
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(_without(text, BLANKS)).cast("long")
-
-
-def _lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda line: F.length(_without(line, BLANKS)) > 0)
-
-
-def duplicate_lines(text: Column) -> Column:
-    """Lines with a word that equal an earlier line."""
-    lines = _lines(text)
-    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+def lines_with_words(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
 
 
 def window_hashes(w: Column) -> Column:
@@ -73,22 +61,23 @@ def covered_words(places: Column) -> Column:
 
 
 def base_columns(rows: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) to (id, text).
+    """Adds words, n_lines and the base counts (long) to (id, text).
 
     The steps are columns of their own, so that a lambda refers to a finished array
     instead of working it out again for every element. Only texts with an equal pair of
     window hashes have their windows sorted.
     """
-    text = F.col("text")
-    out = rows.withColumns(
+    out = rows.withColumns({"words": words(F.col("text")), "lines": lines_with_words(F.col("text"))})
+    out = out.withColumns(
         {
-            "word_chars": word_chars(text),
-            "n_symbols": symbol_count(text),
-            "n_dup_lines": duplicate_lines(text),
-            "w": words(text),
+            "n_words": F.size("words").cast("long"),
+            "word_chars": F.length(F.array_join("words", "")).cast("long"),
+            "n_symbols": _count(F.col("text"), SYMBOLS),
+            "n_lines": F.size("lines").cast("long"),
+            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+            "hashes": window_hashes(F.col("words")),
         }
-    )
-    out = out.withColumns({"n_words": F.size("w").cast("long"), "hashes": window_hashes(F.col("w"))}).drop("w")
+    ).drop("lines")
     again = F.size(F.array_distinct("hashes")) < F.size("hashes")
     out = out.withColumn("pairs", F.when(again, sorted_windows(F.col("hashes")))).drop("hashes")
     out = out.withColumn("places", repeated_places(F.col("pairs"))).drop("pairs")
@@ -100,20 +89,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-#: name -> whether the text is rejected. Words are counted by the blanks between them.
-def rules() -> dict[str, Callable[[Column], Column]]:
-    def word_count(t: Column) -> Column:
-        return F.size(words(t))
-
-    return {
-        "symbols": lambda t: symbol_count(t) * 4 > word_chars(t),
-        "separators": lambda t: F.size(F.filter(words(t), lambda w: w.isin("|", "<", ">", "•", "-"))) * 4
-        > word_count(t),
-        "capitals": lambda t: F.length(_without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")) * 2 < F.length(t),
-        "exclamations": lambda t: (F.length(t) - F.length(_without(t, "!"))) > word_count(t),
-        "duplicate_lines": lambda t: duplicate_lines(t) * 2 > F.size(_lines(t)),
-        "word_length": lambda t: (word_chars(t) < 2 * word_count(t)) | (word_chars(t) > 25 * word_count(t)),
-    }
+#: name -> whether a text is rejected, on its words and base counts.
+RULES: dict[str, Callable[[], Column]] = {
+    "symbols": lambda: F.col("n_symbols") * 4 > F.col("word_chars"),
+    "separators": lambda: F.size(F.filter("words", lambda w: w.isin(*SEPARATORS))) * 4 > F.col("n_words"),
+    "capitals": lambda: _count(F.col("text"), "[A-Z]") * 2 > F.length("text"),
+    "exclamations": lambda: _count(F.col("text"), "!") > F.col("n_words"),
+    "duplicate_lines": lambda: F.col("n_dup_lines") * 2 > F.col("n_lines"),
+    "word_length": lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 25 * F.col("n_words")),
+}
 
 
 def ordered_rules(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
@@ -121,25 +105,24 @@ def ordered_rules(docs: DataFrame, text_col: str = "text", sample_rows: int = SA
 
     An empty table keeps the order in which the rules are written.
     """
-    sample = docs.select(whole(docs[text_col]).alias("t")).limit(sample_rows).persist()
+    sample = base_columns(docs.select(whole(docs[text_col]).alias("text")).limit(sample_rows)).persist()
     try:
         n = sample.count()
         gain = {}
-        for name, rule in rules().items():
+        for name, rule in RULES.items():
             begun = time.perf_counter()
-            rejected = sample.agg(F.sum(F.when(rule(F.col("t")), 1).otherwise(0))).first()[0] or 0
+            rejected = sample.agg(F.sum(F.when(rule(), 1).otherwise(0))).first()[0] or 0
             gain[name] = (rejected / max(n, 1)) / (time.perf_counter() - begun)
     finally:
         sample.unpersist()
     return sorted(gain, key=lambda k: -gain[k])
 
 
-def rejected(text: Column, order: list[str]) -> Column:
+def rejected(order: list[str]) -> Column:
     """The cascade: true at the first rule in ``order`` that rejects."""
-    all_rules = rules()
     verdict = F.lit(False)
     for name in reversed(order):
-        verdict = F.when(all_rules[name](whole(text)), F.lit(True)).otherwise(verdict)
+        verdict = F.when(RULES[name](), F.lit(True)).otherwise(verdict)
     return verdict
 
 
@@ -155,5 +138,5 @@ def judge(
     order = ordered_rules(docs, text_col) if order is None else order
     rows = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
     out = base_columns(rows).withColumn("base_failed", base_failed())
-    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected(F.col("text"), order))
-    return out.withColumn("kept", kept).drop("text").withColumnRenamed("id", id_col)
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected(order))
+    return out.withColumn("kept", kept).drop("text", "words", "n_lines").withColumnRenamed("id", id_col)
