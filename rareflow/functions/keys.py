@@ -6,12 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KEY_SPACE = 4294967296
+#: Odd factors below 2**31, so that products of 32-bit numbers fit a long, and shifts.
+ROUNDS = ((1103515245, 15), (2146121005, 13), (1540483477, 16))
+SEED_STEP = 2654435769
 
 
 def perm_key(row_id, seed: int = 42) -> Column:
-    """Integer permutation of ``row_id``: an order that looks random and never changes."""
+    """Integer key of ``row_id``: an order that looks random and never changes.
+
+    Rounds of multiplying and xor-shifting 32 bits, with the seed mixed into each, so
+    that different seeds give unrelated orders. Ids of one 32-bit range have different keys.
+    """
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
-    return (row_id % F.lit(2147483648) * F.lit(2654435761) + F.lit(seed)) % F.lit(KEY_SPACE)
+    key = (row_id + F.lit(seed * SEED_STEP)) % F.lit(KEY_SPACE)
+    for factor, shift in ROUNDS:
+        key = (key * F.lit(factor) + F.lit(seed * SEED_STEP % KEY_SPACE)) % F.lit(KEY_SPACE)
+        key = key.bitwiseXOR(F.shiftright(key, shift))
+    return key
 
 
 def unit_draw(row_id, seed: int = 42) -> Column:

@@ -66,7 +66,7 @@ def fit_features(df: DataFrame, switches: Switches = Switches()) -> FittedFeatur
     """Learn every threshold on training rows."""
     amounts = fitted.fit_amount_time(df, V_COLS)
     bounds = outliers.iqr_bounds(df, RAW) if switches.outliers else {}
-    components = pca.fit_pca(df, RAW, 5, standardize=True) if switches.pca else None
+    components = pca.fit_pca(df, V_COLS, 5, standardize=True) if switches.pca else None
     scaler = {}
     if switches.scale:
         wide = _derived(df, switches, amounts)

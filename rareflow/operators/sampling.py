@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rareflow.functions.keys import KEY_SPACE, perm_key
+from rareflow.functions.keys import KEY_SPACE, perm_key, unit_draw
 
 SLICES = 4096
 SLICE_WIDTH = KEY_SPACE // SLICES
@@ -204,20 +204,23 @@ def class_ranks(df: DataFrame, key: str = "txn_id", seed: int = 42) -> DataFrame
     )
 
 
-def bootstrap_weights(df: DataFrame, seed: int, out: str = "weight", max_draws: int = 12) -> DataFrame:
-    """Poisson(1) row weights: the large-n form of drawing n rows with replacement."""
+def bootstrap_weights(df: DataFrame, seed: int, out: str = "weight", key: str = "txn_id") -> DataFrame:
+    """Poisson(1) row weights: the large-n form of drawing n rows with replacement.
+
+    The draw comes from the row's key, so it does not depend on partitions. The inverse
+    of the distribution goes on until it reaches one in double precision.
+    """
     import math
 
-    u = F.rand(seed)
-    cum, w = 0.0, F.lit(float(max_draws))
-    steps = []
-    for k in range(max_draws):
-        cum += math.exp(-1.0) / math.factorial(k)
-        steps.append((cum, float(k)))
-    df = df.withColumn("_u", u)
-    for c, k in reversed(steps):
-        w = F.when(F.col("_u") < c, F.lit(k)).otherwise(w)
-    return df.withColumn(out, w).drop("_u")
+    steps, reached, chance = [], 0.0, math.exp(-1.0)
+    while reached + chance > reached:
+        reached += chance
+        steps.append(reached)
+        chance /= len(steps)
+    w = F.lit(float(len(steps)))
+    for k, edge in reversed(list(enumerate(steps))):
+        w = F.when(F.col("_u") < F.lit(edge), F.lit(float(k))).otherwise(w)
+    return df.withColumn("_u", unit_draw(key, seed)).withColumn(out, w).drop("_u")
 
 
 def balanced_weights(df: DataFrame, target: str = "Class", out: str = "weight") -> DataFrame:

@@ -48,14 +48,14 @@ def fit_minmax(df: DataFrame, cols: Sequence[str]) -> Params:
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "robust") -> Params:
-    """``standard``, ``minmax``, ``robust_wide`` (1-99 %); anything else is ``robust``."""
+    """``standard``, ``minmax``, ``robust`` (25-75 %); anything else is ``robust_wide`` (1-99 %)."""
     if kind == "standard":
         return fit_standard(df, cols)
     if kind == "minmax":
         return fit_minmax(df, cols)
-    if kind == "robust_wide":
-        return fit_robust(df, cols, 0.01, 0.99)
-    return fit_robust(df, cols)
+    if kind == "robust":
+        return fit_robust(df, cols)
+    return fit_robust(df, cols, 0.01, 0.99)
 
 
 def scalable_columns(df: DataFrame, skip: Sequence[str] = ("Class", "Time", "txn_id", "user_id")) -> list[str]:

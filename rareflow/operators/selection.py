@@ -25,13 +25,11 @@ def low_variance_filter(df: DataFrame, cols: Sequence[str], threshold: float = 0
 def greedy_correlation_drop(
     cols: Sequence[str], corr, variance: Mapping[str, float], threshold: float = 0.95
 ) -> list[str]:
-    """For each pair in column order above the threshold, drop the lower-variance column."""
+    """For each pair above the threshold, drop the lower-variance column, also if one is dropped already."""
     dropped: set[str] = set()
     for i, a in enumerate(cols):
         for j in range(i + 1, len(cols)):
             b = cols[j]
-            if a in dropped or b in dropped:
-                continue
             if abs(corr[i][j]) > threshold:
                 dropped.add(a if variance[a] < variance[b] else b)
     return [c for c in cols if c not in dropped]

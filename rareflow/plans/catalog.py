@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rareflow.functions.keys import KEY_SPACE, ROUNDS, SEED_STEP
 from rareflow.functions.shape import V_COLS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,4 +75,9 @@ def I(expr: str) -> str:  # noqa: E743
 
 
 def pk_sql(col: str = "txn_id", seed: int = 42) -> str:
-    return f"((({col} % 2147483648) * 2654435761 + {seed}) % 4294967296)"
+    """The arithmetic of ``functions.keys.perm_key``."""
+    key = f"((CAST({col} AS BIGINT) + {seed * SEED_STEP}) % {KEY_SPACE})"
+    for factor, shift in ROUNDS:
+        key = f"(({key} * {factor} + {seed * SEED_STEP % KEY_SPACE}) % {KEY_SPACE})"
+        key = f"xor({key}, {key} >> {shift})"
+    return key

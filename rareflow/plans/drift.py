@@ -25,9 +25,9 @@ _DRIFTED = ", ".join(
     {"V1": "V1*1.1+0.1 AS V1", "V2": "V2*0.9-0.2 AS V2"}.get(c, c) for c in MONITORED
 )
 _LIST = ", ".join(MONITORED)
-# ref, and ref with known drift as the current side
+# the reference half, and the current half with known drift
 BOTH = (
-    f"{T}, r AS (SELECT {_LIST} FROM t WHERE ts < {CUT}), c AS (SELECT {_DRIFTED} FROM t WHERE ts < {CUT}), "
+    f"{T}, r AS (SELECT {_LIST} FROM t WHERE ts < {CUT}), c AS (SELECT {_DRIFTED} FROM t WHERE ts >= {CUT}), "
     f"z AS (SELECT 0 AS side, {_LIST} FROM r UNION ALL SELECT 1 AS side, {_LIST} FROM c), "
     f"u AS (UNPIVOT z ON {_LIST} INTO NAME feature VALUE value), "
     "n AS (SELECT feature, COUNT(*) FILTER (side=0) AS nr, COUNT(*) FILTER (side=1) AS nc FROM u GROUP BY feature)"
@@ -55,8 +55,8 @@ SEVERITY = "CASE WHEN psi > 0.25 THEN 'Major drift' WHEN psi > 0.1 THEN 'Minor d
 
 
 def _sides(spark, sf):
-    ref, _ = reference_and_current(transactions(spark, sf))
-    return ref, with_drift(ref)
+    ref, cur = reference_and_current(transactions(spark, sf))
+    return ref, with_drift(cur)
 
 
 @query(

@@ -329,8 +329,8 @@ _project(
 )
 _project(
     "N6_powers",
-    {k: R(e) for c in ix.POLYNOMIALS[:5] for k, e in ((f"{c}_squared", f"{c}*{c}"), (f"{c}_cubed", f"{c}*{c}*{c}"))},
-    lambda: ix.powers(ix.POLYNOMIALS[:5]),
+    {k: R(e) for c in ix.POLYNOMIALS for k, e in ((f"{c}_squared", f"{c}*{c}"), (f"{c}_cubed", f"{c}*{c}*{c}"))},
+    lambda: ix.powers(ix.POLYNOMIALS),
     **_TV,
 )
 _NAMED = ("V1_V2_interaction", "V4_V11_interaction", "Amount_V14_interaction", "Time_Amount_ratio", "V3_cubed", "V14_squared")

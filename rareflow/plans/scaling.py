@@ -8,11 +8,11 @@ from rareflow.functions.shape import V_COLS
 from rareflow.operators import anomaly, outliers, scaling
 from rareflow.operators.pca import apply_pca, fit_pca
 from rareflow.operators.sampling import stratified_split
-from rareflow.plans.catalog import R, T, query, rounded
+from rareflow.plans.catalog import R, T, pk_sql, query, rounded
 from rareflow.sources.views import transactions
 
-COLS = ["V1", "V2", "V3", "Amount"]
 ALL = [*V_COLS, "Amount"]
+COLS = ALL
 
 
 def _scaled_sql(center, spread, cols=COLS):
@@ -39,7 +39,7 @@ _register("SC4_minmax", "minmax", _scaled_sql(lambda c: f"MIN({c})", lambda c: f
 
 # the 80/20 split used below, in permutation order per class
 SPLIT_80 = (
-    "o AS (SELECT t.*, ROW_NUMBER() OVER (PARTITION BY Class ORDER BY ((txn_id % 2147483648) * 2654435761 + 42) % 4294967296, txn_id) AS rn, "
+    "o AS (SELECT t.*, ROW_NUMBER() OVER (PARTITION BY Class ORDER BY " + pk_sql() + ", txn_id) AS rn, "
     "COUNT(*) OVER (PARTITION BY Class) AS n FROM t), "
     "sp AS (SELECT *, CASE WHEN rn <= CAST(floor(n*0.8 + 1e-9) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM o)"
 )
@@ -47,7 +47,7 @@ SPLIT_80 = (
 
 @query(
     "SC5_fit_train_apply_all",
-    f"WITH {T}, {SPLIT_80}, p AS (SELECT " + ", ".join(f"{_q(c, 0.5)} AS c_{c}, {_q(c, 0.75)}-{_q(c, 0.25)} AS s_{c}" for c in COLS)
+    f"WITH {T}, {SPLIT_80}, p AS (SELECT " + ", ".join(f"{_q(c, 0.5)} AS c_{c}, {_q(c, 0.99)}-{_q(c, 0.01)} AS s_{c}" for c in COLS)
     + " FROM sp WHERE split='train') SELECT txn_id, split, Class, " + ", ".join(R(f"({c}-c_{c})/s_{c}") + f" AS {c}" for c in COLS)
     + ", CASE WHEN Amount > 400 THEN 1 ELSE 0 END AS is_large FROM sp, p",
 )
@@ -116,11 +116,11 @@ def _(spark, sf):
 
 @query(
     "SC8_stored_mean_scale",
-    _scaled_sql(lambda c: f"AVG({c})", lambda c: f"STDDEV_POP({c})", ["V1", "V2", "Amount"]),
+    _scaled_sql(lambda c: f"AVG({c})", lambda c: f"STDDEV_POP({c})", ALL),
 )
 def _(spark, sf):
-    df = transactions(spark, sf).select("txn_id", "V1", "V2", "Amount")
-    stored = scaling.params_frame(spark, scaling.fit_standard(df, ["V1", "V2", "Amount"]))
+    df = transactions(spark, sf).select("txn_id", *ALL)
+    stored = scaling.params_frame(spark, scaling.fit_standard(df, ALL))
     return rounded(scaling.apply_scaler(df, scaling.params_from_frame(stored)))
 
 
@@ -172,7 +172,7 @@ def _(spark, sf):
 def _(spark, sf):
     df = transactions(spark, sf)
     split = stratified_split(df, (("train", 0.8), ("test", 0.2)))
-    p = fit_pca(split.where("split = 'train'"), ALL, min(5, len(ALL)))
+    p = fit_pca(split.where("split = 'train'"), V_COLS, min(5, len(V_COLS)))
     out = apply_pca(split, p).select("txn_id", "split", *[f"PCA_{j}" for j in range(5)])
     return out.withColumn("explained", F.lit(float(sum(p.explained))))
 

@@ -11,10 +11,11 @@ from rareflow.plans.windows import ANOVA
 from rareflow.sources.views import table, transactions
 
 ALL = [*V_COLS, "Amount"]
-# V1 to V4, a constant, a shrunken copy of V1 and an exact combination
-MIXED = ["V1", "V2", "V3", "V4", "almost_constant", "half_v1", "v2_plus"]
+# V1 to V4, a constant, a shrunken copy of V1, an exact combination, and a chain: chain_b is
+# close to chain_a and to chain_c, which are not close to each other
+MIXED = ["V1", "V2", "V3", "V4", "almost_constant", "half_v1", "v2_plus", "chain_a", "chain_b", "chain_c"]
 _MIX = (
-    "mx AS (SELECT Class, V1, V2, V3, V4, 1.0 + V5*0.001 AS almost_constant, V1*0.5 AS half_v1, V2 + V3*0.01 AS v2_plus FROM t)"
+    "mx AS (SELECT Class, V1, V2, V3, V4, 1.0 + V5*0.001 AS almost_constant, V1*0.5 AS half_v1, V2 + V3*0.01 AS v2_plus, 2.0*V6 AS chain_a, 1.5*V6 + 0.42*V7 AS chain_b, 0.9*V6 + 0.51*V7 AS chain_c FROM t)"
 )
 
 
@@ -24,6 +25,9 @@ def _mixed(spark, sf):
         (F.lit(1.0) + F.col("V5") * 0.001).alias("almost_constant"),
         (F.col("V1") * 0.5).alias("half_v1"),
         (F.col("V2") + F.col("V3") * 0.01).alias("v2_plus"),
+        (F.col("V6") * 2.0).alias("chain_a"),
+        (F.col("V6") * 1.5 + F.col("V7") * 0.42).alias("chain_b"),
+        (F.col("V6") * 0.9 + F.col("V7") * 0.51).alias("chain_c"),
     )
 
 
@@ -47,8 +51,7 @@ def _greedy_sql(pairs, cols):
             i += 1
             cur = f"d{i}"
             ctes.append(
-                f"{cur} AS (SELECT CASE WHEN list_contains(dropped, '{a}') OR list_contains(dropped, '{b}') THEN dropped "
-                f"WHEN ABS({pairs(a, b)}) > 0.95 THEN list_append(dropped, CASE WHEN vr.v_{a} < vr.v_{b} THEN '{a}' ELSE '{b}' END) ELSE dropped END AS dropped FROM {prev}, cr, vr)"
+                f"{cur} AS (SELECT CASE WHEN ABS({pairs(a, b)}) > 0.95 THEN list_append(dropped, CASE WHEN vr.v_{a} < vr.v_{b} THEN '{a}' ELSE '{b}' END) ELSE dropped END AS dropped FROM {prev}, cr, vr)"
             )
             prev = cur
     kept = ", ".join(f"('{c}')" for c in cols)
@@ -63,7 +66,7 @@ def _corr_cte(cols, fn="corr", source="mx"):
 
 
 _VR = "vr AS (SELECT " + ", ".join(f"VAR_POP({c}) AS v_{c}" for c in MIXED) + " FROM mx)"
-_FILTERED = ["V1", "V2", "V3", "half_v1", "v2_plus"]
+_FILTERED = ["V1", "V2", "V3", "half_v1", "v2_plus", "chain_a", "chain_b", "chain_c"]
 
 
 @query(

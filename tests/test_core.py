@@ -203,7 +203,7 @@ def test_sized_split(skewed):
 
 
 def test_bootstrap_weights_average_one(spark):
-    w = sm.bootstrap_weights(spark.range(20000), 3).agg(F.avg("weight"), F.variance("weight")).first()
+    w = sm.bootstrap_weights(spark.range(20000), 3, key="id").agg(F.avg("weight"), F.variance("weight")).first()
     assert abs(w[0] - 1) < 0.05 and abs(w[1] - 1) < 0.1
 
 

@@ -198,6 +198,23 @@ def test_greedy_drop_keeps_the_higher_variance():
     assert kept == ["c"]
 
 
+def test_greedy_drop_judges_pairs_of_dropped_columns():
+    corr = [[1, 0.99, 0.1], [0.99, 1, 0.97], [0.1, 0.97, 1]]
+    kept = sel.greedy_correlation_drop(["a", "b", "c"], corr, {"a": 3.0, "b": 2.0, "c": 1.0})
+    assert kept == ["a"]
+
+
+def test_keys_of_two_seeds_are_unrelated(spark):
+    from rareflow.functions.keys import perm_key, unit_draw
+
+    ids = spark.range(20_000)
+    pdf = ids.select("id", perm_key("id", 42).alias("a"), perm_key("id", 43).alias("b"), unit_draw("id", 42).alias("u"), unit_draw("id", 43).alias("v")).toPandas()
+    assert pdf.a.is_unique and pdf.b.is_unique
+    first = [set(pdf.nsmallest(4000, c).id) for c in ("a", "b")]
+    assert 700 < len(first[0] & first[1]) < 900
+    assert abs(pdf.u.corr(pdf.v)) < 0.03 and abs(pdf.u.mean() - 0.5) < 0.01
+
+
 # ---- models -----------------------------------------------------------------
 
 COLS = ["V1", "V2", "V3", "Amount"]
