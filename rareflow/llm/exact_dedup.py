@@ -109,7 +109,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     twice = verdict.where("not kept and (keep_id <=> {0})".format(f"`{id_col}`")).limit(1).count()
     full = F.sha2(normalised(docs[text_col]), 256)
-    left = docs.join(doomed, docs[id_col].eqNullSafe(F.col("_id")) & (full == F.col("_of")), "left_anti")
+    left = docs.join(doomed, docs[id_col].eqNullSafe(doomed["_id"]) & (full == doomed["_of"]), "left_anti")
     if not twice:
         return left
-    return left.withColumn("_full", full).dropDuplicates([id_col, "_full"]).drop("_full")
+    return left.withColumn("__full", full).dropDuplicates([id_col, "__full"]).drop("__full")

@@ -143,11 +143,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     told apart by their place in the table, which must not change while this runs.
     """
     rows, pieces = mix(docs, id_col, text_col, source_col)
-    times = pieces.where("start = 0").groupBy("line").agg(F.countDistinct("pass").alias("_times"))
+    times = pieces.where("start = 0").groupBy("line").agg(F.countDistinct("pass").alias("__times"))
     often = rows.select("line", "size").join(times, "line", "left").select(
-        F.col("line").alias("_line"),
-        F.when(F.col("size") > 0, F.coalesce("_times", F.lit(0))).otherwise(1).cast("int").alias("_times"),
+        F.col("line").alias("__line"),
+        F.when(F.col("size") > 0, F.coalesce("__times", F.lit(0))).otherwise(1).cast("int").alias("__times"),
     )
-    numbered = docs.withColumn("_line", F.monotonically_increasing_id())
-    out = numbered.join(often.where("_times > 0"), "_line")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_line", "_times", "_copy")
+    numbered = docs.withColumn("__line", F.monotonically_increasing_id())
+    out = numbered.join(often.where("__times > 0"), "__line")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__line", "__times", "__copy")

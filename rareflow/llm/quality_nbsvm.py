@@ -248,9 +248,8 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, fold:
     total = known.count()
     if total > train_rows:
         known = known.where(F.xxhash64("_id", F.lit(SEED)) < F.lit(int(-(2**63) + train_rows / total * 2**64)))
-    return docs.join(F.broadcast(known), docs[id_col] == F.col("_id")).select(
-        "label", whole(docs[text_col]).alias("text")
-    )
+    texts = docs.select(F.col(id_col).alias("_id"), whole(docs[text_col]).alias("text"))
+    return texts.join(F.broadcast(known), "_id").select("label", "text")
 
 
 def train(

@@ -282,4 +282,4 @@ def similar_documents(
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with the row of smallest id of each group of similar documents, all columns kept."""
     groups = similar_documents(docs, id_col, text_col, **how).where("id <> root").select(F.col("id").alias("_id"))
-    return docs.join(groups, docs[id_col] == F.col("_id"), "left_anti")
+    return docs.join(groups, docs[id_col] == groups["_id"], "left_anti")

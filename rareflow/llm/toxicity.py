@@ -259,9 +259,8 @@ def train(
     total = known.count()
     if total > train_rows:
         known = known.where(F.xxhash64("_id", F.lit(SEED)) < F.lit(int(-(2**63) + train_rows / total * 2**64)))
-    rows = docs.join(F.broadcast(known), docs[id_col] == F.col("_id")).select(
-        "label", whole(docs[text_col]).alias("text")
-    )
+    texts = docs.select(F.col(id_col).alias("_id"), whole(docs[text_col]).alias("text"))
+    rows = texts.join(F.broadcast(known), "_id").select("label", "text")
     return fit(sorted((int(r["label"] > 0), r["text"]) for r in rows.collect()))
 
 
