@@ -41,6 +41,7 @@ CHUNK = 65_536
 #: Document similarity: bands of minimum hashes, and the bits that no pair of documents
 #: at the least similarity differs in (about ten on average, three each way as spread).
 BANDS, ROWS = 12, 3
+CENTRES = 4
 WIDE_RADIUS = 24
 
 
@@ -241,42 +242,48 @@ def similar_documents(
 ) -> DataFrame:
     """(id, root) of the rows that a chain of similar texts links to another; root is the smallest id.
 
-    In each band's bucket all rows are compared with the smallest one; those not similar
-    to it stay and are compared with the next smallest, until buckets have one row left.
-    So a bucket of n copies gives n pairs, and no pair of a bucket is left out unless its
-    rows are linked already. Ids must be unique longs; rows with a null id take no part.
+    A bucket of a band with at most ``SMALL`` rows gives all its pairs. In a larger one all
+    rows are compared with ``CENTRES`` of them; those similar to none stay for the next
+    round, until the bucket is small. So a bucket of n copies gives n pairs a centre, and
+    no pair of a bucket is left out unless its rows are linked by way of a centre. Ids must
+    be unique longs; rows with a null id take no part.
     """
     rows = written(_band_rows(docs.where(F.col(id_col).isNotNull()), id_col, text_col, size), "similar-rows")
     narrow = with_pivots(rows.select("id", "fp"))
+    bucket, pair = ["band", "key"], ["u", "v"]
     open_ = rows.select("id", F.posexplode("bands").alias("band", "key"))
-    links = None
-    tried = None
+    links = tried = None
     while True:
-        groups = open_.groupBy("band", "key").agg(F.min("id").alias("u"), F.count("*").alias("n")).where("n > 1")
-        pairs = open_.join(groups, ["band", "key"]).select("band", "key", "u", F.col("id").alias("v"))
-        pairs = written(pairs.where("u < v"), "similar-pairs")
-        fresh = pairs.select("u", "v").distinct()
-        if tried is not None:
-            fresh = fresh.join(tried, ["u", "v"], "left_anti")
-        fresh = written(fresh, "similar-fresh")
-        if fresh.isEmpty():
-            break
+        sizes = open_.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
+        sized = written(open_.join(sizes, bucket), "similar-open")
+        small, large = sized.where(F.col("n") <= SMALL), sized.where(F.col("n") > SMALL)
+        left, right = small.withColumnRenamed("id", "u"), small.withColumnRenamed("id", "v").drop("n")
+        fresh = left.join(right, bucket).where("u < v").select(pair)
+        crowded = not large.isEmpty()
+        if crowded:
+            centres = large.groupBy(*bucket, F.pmod("id", F.lit(CENTRES)).alias("share")).agg(F.min("id").alias("u"))
+            centres = written(centres.drop("share"), "similar-centres")
+            to_centre = large.join(centres, bucket).where("u <> id").select(
+                *bucket, "id", F.least("u", "id").alias("u"), F.greatest("u", "id").alias("v")
+            )
+            fresh = fresh.unionByName(to_centre.select(pair))
+        fresh = fresh.distinct()
+        fresh = written(fresh if tried is None else fresh.join(tried, pair, "left_anti"), "similar-fresh")
         near = (
             fresh.join(narrow.alias("a"), fresh["u"] == F.col("a.id"))
             .join(narrow.alias("b"), fresh["v"] == F.col("b.id"))
             .where(may_be_near(WIDE_RADIUS))
             .where(are_near(WIDE_RADIUS))
-            .select("u", "v")
+            .select(pair)
         )
-        good = written(_verified(near, docs, id_col, text_col, size, similarity), "similar-good")
-        links = good if links is None else links.unionByName(good)
-        tried = fresh if tried is None else tried.unionByName(fresh)
-        # rows found similar to their bucket's first row leave the bucket with it
-        open_ = pairs.join(links, ["u", "v"], "left_anti").select(F.col("v").alias("id"), "band", "key")
-        open_ = written(open_, "similar-open")
-    if links is None:
-        return rows.select("id", F.col("id").alias("root")).limit(0)
-    return components(links).withColumnsRenamed({"node": "id"})
+        good = _verified(near, docs, id_col, text_col, size, similarity)
+        links = written(good if links is None else links.unionByName(good), "similar-links")
+        if not crowded:
+            return components(links).withColumnsRenamed({"node": "id"})
+        tried = written(fresh if tried is None else tried.unionByName(fresh), "similar-tried")
+        # centres, and rows found similar to one, leave the bucket
+        gone = to_centre.join(links, pair).select(*bucket, "id").unionByName(centres.withColumnRenamed("u", "id"))
+        open_ = large.drop("n").join(gone, [*bucket, "id"], "left_anti")
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

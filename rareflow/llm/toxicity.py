@@ -160,10 +160,15 @@ def toxic_cues(found: list[tuple[int, str]]) -> set[str]:
     n1 = sum(label for label, _ in found)
     n0 = len(found) - n1
     for label, text in found:
-        (toxic if label else clean).update({b for w in set(text.split()) for b in beginnings(w)})
+        if label:
+            toxic.update({b for w in set(text.split()) for b in beginnings(w)})
+    toxic = {b: n for b, n in toxic.items() if n >= LEAST_TEXTS}
+    for label, text in found:
+        if not label:
+            clean.update({b for w in set(text.split()) for b in beginnings(w) if b in toxic})
     return {
         b for b, n in toxic.items()
-        if n >= LEAST_TEXTS and n / (n1 + 1) >= LEAST_RATIO * (clean[b] + 0.5) / (n0 + 1) and clean[b] * 8 <= n
+        if n / (n1 + 1) >= LEAST_RATIO * (clean[b] + 0.5) / (n0 + 1) and clean[b] * 8 <= n
     }
 
 
