@@ -21,6 +21,7 @@ tables at a wide radius, and verified on the whole texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,9 +41,11 @@ CHUNK = 65_536
 
 #: Document similarity: bands of minimum hashes, and the bits that no pair of documents
 #: at the least similarity differs in (about ten on average, three each way as spread).
-BANDS, ROWS = 12, 3
-CENTRES = 4
+BANDS, ROWS = 32, 6
+CENTRES, CENTRE_SETS = 4, 4
 WIDE_RADIUS = 24
+#: Shingles whose minimum hashes are worked on at a time: few enough to stay in a core's cache.
+MIN_CHUNK = 1024
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -186,18 +189,18 @@ def _band_rows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
     """
     rows = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
     rng = np.random.default_rng(SEED)
-    factors = (rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-    masks = rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+    factors = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
+    masks = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 
     def bands(h: np.ndarray) -> list[int]:
         import xxhash
 
-        least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-        for at in range(0, len(h), CHUNK // 8):
-            mixed = h[at : at + CHUNK // 8, None] ^ masks
+        short = (h >> np.uint64(32)).astype(np.uint32)
+        least = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
+        for at in range(0, len(short), MIN_CHUNK):
+            mixed = short[at : at + MIN_CHUNK, None] ^ masks
             mixed *= factors
-            mixed ^= mixed >> np.uint64(29)
-            least = np.minimum(least, mixed.min(axis=0))
+            np.minimum(least, mixed.min(axis=0), out=least)
         cells = least.reshape(BANDS, ROWS)
         return [xxhash.xxh64_intdigest(row.tobytes(), i) - 2**63 for i, row in enumerate(cells)]
 
@@ -233,6 +236,33 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, siz
     return both.where(similarity("left", "right") >= least).select("u", "v")
 
 
+def _rare_keys(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, least: float) -> DataFrame:
+    """(id, band, key, total, rest): the rarest shingles of the documents ``ids``, so many that similar ones share a key.
+
+    Texts of similarity ``least`` share that part of either's shingles, so that if these are
+    put in one order, rarest first, and all but that part less one are taken of each text,
+    the two have a taken one in common. What many texts share comes last and is not taken;
+    what only one text has needs no key. ``total`` counts a text's shingles and ``rest``
+    those from the key on: at their first common key two texts can have no more in common
+    than the smaller rest. ``band`` is -1.
+    """
+    texts = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text")).join(ids, "id", "left_semi")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in frame["text"]]
+            yield pd.DataFrame({"id": frame["id"], "keys": sets})
+
+    sets = texts.mapInPandas(run, f"id {docs.schema[id_col].dataType.simpleString()}, keys array<long>")
+    each = written(sets.select("id", F.size("keys").alias("n"), F.explode("keys").alias("key")), "similar-shingles")
+    shared = each.join(each.groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1"), "key")
+    by_text = shared.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("texts", "key"))).alias("keys"))
+    taken = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.size("keys"))
+    rarest = F.slice("keys", F.lit(1), F.greatest(taken, F.lit(0)).cast("int"))
+    keys = by_text.select("id", "n", F.size("keys").alias("many"), F.posexplode(rarest).alias("at", "k"))
+    return keys.select("id", F.lit(-1).alias("band"), "k.key", F.col("n").alias("total"), (F.col("many") - F.col("at")).alias("rest"))
+
+
 def similar_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -242,48 +272,56 @@ def similar_documents(
 ) -> DataFrame:
     """(id, root) of the rows that a chain of similar texts links to another; root is the smallest id.
 
-    A bucket of a band with at most ``SMALL`` rows gives all its pairs. In a larger one all
-    rows are compared with ``CENTRES`` of them; those similar to none stay for the next
-    round, until the bucket is small. So a bucket of n copies gives n pairs a centre, and
-    no pair of a bucket is left out unless its rows are linked by way of a centre. Ids must
-    be unique longs; rows with a null id take no part.
+    Two texts of similarity 0.8 share no bucket with a chance of 0.00006, less above. A
+    bucket with at most ``SMALL`` rows gives all its pairs. In a larger one all rows are
+    compared with ``CENTRES`` of them, and the centres, and rows similar to one, are linked
+    and leave: n copies give n pairs a centre. What stays gets new buckets by its rarest
+    shingles, which texts do not share for a common passage alone; each round counts four
+    times as many rows as small, so rounds are few. A row that stays and is similar only to rows which
+    left is found by the buckets of other bands, whose centres belong to ``CENTRE_SETS``
+    different draws; that is likely, not certain. Ids must be unique longs; rows with a null
+    id take no part.
     """
     rows = written(_band_rows(docs.where(F.col(id_col).isNotNull()), id_col, text_col, size), "similar-rows")
-    narrow = with_pivots(rows.select("id", "fp"))
     bucket, pair = ["band", "key"], ["u", "v"]
-    open_ = rows.select("id", F.posexplode("bands").alias("band", "key"))
-    links = tried = None
+    none = F.lit(0)
+    open_ = rows.select(
+        "id", "fp", F.posexplode("bands").alias("band", "key"), none.alias("total"), none.alias("rest")
+    )
+    enough = F.least("a.rest", "b.rest") * (1 + similarity) >= (F.col("a.total") + F.col("b.total")) * similarity - 1e-6
+    may_match = enough & may_be_near(WIDE_RADIUS) & are_near(WIDE_RADIUS)
+    links, limit = [], SMALL
     while True:
         sizes = open_.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
         sized = written(open_.join(sizes, bucket), "similar-open")
-        small, large = sized.where(F.col("n") <= SMALL), sized.where(F.col("n") > SMALL)
-        left, right = small.withColumnRenamed("id", "u"), small.withColumnRenamed("id", "v").drop("n")
-        fresh = left.join(right, bucket).where("u < v").select(pair)
+        small, large = sized.where(F.col("n") <= limit), sized.where(F.col("n") > limit)
+        near = (
+            with_pivots(small).alias("a").join(with_pivots(small).alias("b"), bucket)
+            .where(F.col("a.id") < F.col("b.id")).where(may_match)
+            .select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+        )
         crowded = not large.isEmpty()
         if crowded:
-            centres = large.groupBy(*bucket, F.pmod("id", F.lit(CENTRES)).alias("share")).agg(F.min("id").alias("u"))
-            centres = written(centres.drop("share"), "similar-centres")
-            to_centre = large.join(centres, bucket).where("u <> id").select(
-                *bucket, "id", F.least("u", "id").alias("u"), F.greatest("u", "id").alias("v")
+            draw = F.xxhash64("id", F.col("band") % CENTRE_SETS, F.lit(limit))
+            centres = (
+                large.groupBy(*bucket, F.pmod(draw, F.lit(CENTRES)).alias("share"))
+                .agg(F.min(F.struct(draw.alias("draw"), "id", "fp", "total", "rest")).alias("first"))
+                .select(*bucket, "first.id", "first.fp", "first.total", "first.rest")
             )
-            fresh = fresh.unionByName(to_centre.select(pair))
-        fresh = fresh.distinct()
-        fresh = written(fresh if tried is None else fresh.join(tried, pair, "left_anti"), "similar-fresh")
-        near = (
-            fresh.join(narrow.alias("a"), fresh["u"] == F.col("a.id"))
-            .join(narrow.alias("b"), fresh["v"] == F.col("b.id"))
-            .where(may_be_near(WIDE_RADIUS))
-            .where(are_near(WIDE_RADIUS))
-            .select(pair)
-        )
-        good = _verified(near, docs, id_col, text_col, size, similarity)
-        links = written(good if links is None else links.unionByName(good), "similar-links")
+            to_centre = (
+                with_pivots(large).alias("a").join(with_pivots(centres).alias("b"), bucket)
+                .where(F.col("a.id") != F.col("b.id")).where(may_match)
+                .select(*bucket, F.col("a.id"), F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v"))
+            )
+            near = near.unionByName(to_centre.select(pair))
+        good = written(_verified(near.distinct(), docs, id_col, text_col, size, similarity), "similar-links")
+        links.append(good)
         if not crowded:
-            return components(links).withColumnsRenamed({"node": "id"})
-        tried = written(fresh if tried is None else tried.unionByName(fresh), "similar-tried")
-        # centres, and rows found similar to one, leave the bucket
-        gone = to_centre.join(links, pair).select(*bucket, "id").unionByName(centres.withColumnRenamed("u", "id"))
-        open_ = large.drop("n").join(gone, [*bucket, "id"], "left_anti")
+            return components(reduce(DataFrame.unionByName, links)).withColumnsRenamed({"node": "id"})
+        gone = to_centre.join(good, pair).select(*bucket, "id").unionByName(centres.select(*bucket, "id"))
+        stay = large.join(gone, [*bucket, "id"], "left_anti").select("id", "fp").distinct()
+        open_ = _rare_keys(stay, docs, id_col, text_col, size, similarity).join(stay, "id")
+        limit *= 4
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
