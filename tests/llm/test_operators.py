@@ -193,6 +193,25 @@ def test_similar_documents(docs, texts):
     assert {r.doc_id for r in simhash.drop_similar(docs).select("doc_id").collect()} == want
 
 
+def test_similar_documents_in_crowded_buckets(spark, monkeypatch):
+    """A family of variants and texts that share only a passage, in several rounds, against brute force."""
+    monkeypatch.setattr(simhash, "SMALL", 8)
+    rng = np.random.default_rng(3)
+    base, passage = [f"b{i}" for i in range(100)], [f"p{i}" for i in range(60)]
+    texts = {}
+    for i in range(120):
+        variant = list(base)
+        for at in rng.integers(0, 100, rng.integers(0, 7)):
+            variant[at] = f"v{i}_{at}"
+        texts[2 * i] = " ".join(variant)
+        texts[2 * i + 1] = " ".join(passage + [f"u{i}_{j}" for j in range(rng.integers(5, 40))])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = {i for i, root in chain(pairs, sets).items() if i == root}
+    assert {r.doc_id for r in simhash.drop_similar(docs).select("doc_id").collect()} == want
+
+
 def test_packing_round_trip(spark, sf_dir, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
