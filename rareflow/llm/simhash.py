@@ -21,7 +21,6 @@ tables at a wide radius, and verified on the whole texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,10 +39,11 @@ SMALL = 32
 CHUNK = 65_536
 
 #: Document similarity: bands of minimum hashes, and the bits that no pair of documents
-#: at the least similarity differs in (about ten on average, three each way as spread).
+#: at the least similarity differs in (about ten on average, three each way as spread,
+#: when a text's repeated shingles count once, as they do in the similarity).
 BANDS, ROWS = 32, 6
 CENTRES, CENTRE_SETS = 4, 4
-WIDE_RADIUS = 24
+WIDE_RADIUS = 26
 #: Shingles whose minimum hashes are worked on at a time: few enough to stay in a core's cache.
 MIN_CHUNK = 1024
 
@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _band_rows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, fp, bands): the fingerprint and a hash of each band of minimum hashes.
+    """(id, fp, bands): the distinct shingles' fingerprint and a hash of each band of their minimum hashes.
 
     Texts without a word have no band and are like nothing.
     """
@@ -208,7 +208,7 @@ def _band_rows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
         for frame in frames:
             fps, keys = [], []
             for text in frame["text"]:
-                h = shingle_hashes(text, size)
+                h = np.unique(shingle_hashes(text, size))
                 fps.append(fingerprint(h))
                 keys.append(bands(h) if len(h) else [])
             yield pd.DataFrame({"id": frame["id"], "fp": np.array(fps, dtype=np.int64), "bands": keys})
@@ -273,26 +273,27 @@ def similar_documents(
     """(id, root) of the rows that a chain of similar texts links to another; root is the smallest id.
 
     Two texts of similarity 0.8 share no bucket with a chance of 0.00006, less above. A
-    bucket with at most ``SMALL`` rows gives all its pairs. In a larger one all rows are
-    compared with ``CENTRES`` of them, and the centres, and rows similar to one, are linked
-    and leave: n copies give n pairs a centre. What stays gets new buckets by its rarest
-    shingles, which texts do not share for a common passage alone; each round counts four
-    times as many rows as small, so rounds are few. A row that stays and is similar only to rows which
-    left is found by the buckets of other bands, whose centres belong to ``CENTRE_SETS``
-    different draws; that is likely, not certain. Ids must be unique longs; rows with a null
-    id take no part.
+    bucket with at most ``SMALL`` rows gives its pairs. In a larger one all rows are
+    compared with ``CENTRES`` of them, which links most copies of one text at n pairs a
+    centre. Its rows then get new buckets by their rarest shingles, of which similar texts
+    share one for certain, and each round counts four times as many rows as small, so
+    rounds are few and every pair that shares a bucket is compared at last, unless links
+    found by then connect its texts already. A bucket whose rows are all connected is
+    done. Ids must be unique longs; rows with a null id take no part.
     """
     rows = written(_band_rows(docs.where(F.col(id_col).isNotNull()), id_col, text_col, size), "similar-rows")
-    bucket, pair = ["band", "key"], ["u", "v"]
+    bucket = ["band", "key"]
     none = F.lit(0)
     open_ = rows.select(
-        "id", "fp", F.posexplode("bands").alias("band", "key"), none.alias("total"), none.alias("rest")
+        "id", "fp", F.posexplode("bands").alias("band", "key"), none.alias("total"), none.alias("rest"),
+        F.col("id").alias("root"),
     )
     enough = F.least("a.rest", "b.rest") * (1 + similarity) >= (F.col("a.total") + F.col("b.total")) * similarity - 1e-6
-    may_match = enough & may_be_near(WIDE_RADIUS) & are_near(WIDE_RADIUS)
-    links, limit = [], SMALL
+    may_match = (F.col("a.root") != F.col("b.root")) & enough & may_be_near(WIDE_RADIUS) & are_near(WIDE_RADIUS)
+    roots, limit = None, SMALL
     while True:
-        sizes = open_.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
+        sizes = open_.groupBy(bucket).agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+        sizes = sizes.where("least < most").drop("least", "most")
         sized = written(open_.join(sizes, bucket), "similar-open")
         small, large = sized.where(F.col("n") <= limit), sized.where(F.col("n") > limit)
         near = (
@@ -305,22 +306,26 @@ def similar_documents(
             draw = F.xxhash64("id", F.col("band") % CENTRE_SETS, F.lit(limit))
             centres = (
                 large.groupBy(*bucket, F.pmod(draw, F.lit(CENTRES)).alias("share"))
-                .agg(F.min(F.struct(draw.alias("draw"), "id", "fp", "total", "rest")).alias("first"))
-                .select(*bucket, "first.id", "first.fp", "first.total", "first.rest")
+                .agg(F.min(F.struct(draw.alias("draw"), "id", "fp", "total", "rest", "root")).alias("first"))
+                .select(*bucket, "first.id", "first.fp", "first.total", "first.rest", "first.root")
             )
             to_centre = (
                 with_pivots(large).alias("a").join(with_pivots(centres).alias("b"), bucket)
                 .where(F.col("a.id") != F.col("b.id")).where(may_match)
-                .select(*bucket, F.col("a.id"), F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v"))
+                .select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v"))
             )
-            near = near.unionByName(to_centre.select(pair))
-        good = written(_verified(near.distinct(), docs, id_col, text_col, size, similarity), "similar-links")
-        links.append(good)
+            near = near.unionByName(to_centre)
+        links = written(_verified(near.distinct(), docs, id_col, text_col, size, similarity), "similar-links")
+        if roots is None:
+            roots = components(links).withColumnsRenamed({"node": "id"})
+        elif not links.isEmpty():
+            known = roots.select(F.col("id").alias("u"), F.col("root").alias("v"))
+            roots = components(known.unionByName(links)).withColumnsRenamed({"node": "id"})
         if not crowded:
-            return components(reduce(DataFrame.unionByName, links)).withColumnsRenamed({"node": "id"})
-        gone = to_centre.join(good, pair).select(*bucket, "id").unionByName(centres.select(*bucket, "id"))
-        stay = large.join(gone, [*bucket, "id"], "left_anti").select("id", "fp").distinct()
-        open_ = _rare_keys(stay, docs, id_col, text_col, size, similarity).join(stay, "id")
+            return roots
+        stay = large.select("id", "fp").distinct().join(roots, "id", "left")
+        stay = written(stay.withColumn("root", F.coalesce("root", "id")), "similar-stay")
+        open_ = _rare_keys(stay.select("id"), docs, id_col, text_col, size, similarity).join(stay, "id")
         limit *= 4
 
 
