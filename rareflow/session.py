@@ -33,15 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a fresh temporary folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if path is None:
-        if not spark.sparkContext.master.startswith("local"):
+    made = spark.sparkContext.getCheckpointDir()
+    if path is None and made is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="rareflow-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
+        folder = tempfile.mkdtemp(prefix="rareflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+        return spark.sparkContext.getCheckpointDir()
+    if made is None:
         spark.sparkContext.setCheckpointDir(path)
-    return path
+    return path or made
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
