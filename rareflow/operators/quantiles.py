@@ -33,9 +33,11 @@ def exact_quantiles(
     inside_limit: int = INSIDE_LIMIT,
     accuracy: int = 10000,
 ) -> dict[str, list[float]]:
-    """Quantiles of several column expressions; nulls are skipped."""
+    """Quantiles of several column expressions; nulls and NaN are skipped, at every size."""
     names = {f"q{i}": c for i, c in enumerate(exprs)}
-    cols = df.select(*[e.cast("double").alias(f"q{i}") for i, e in enumerate(exprs.values())])
+    cols = df.select(
+        *[F.nullif(e.cast("double"), F.lit(float("nan"))).alias(f"q{i}") for i, e in enumerate(exprs.values())]
+    )
     if df.count() * len(exprs) <= small:
         row = cols.agg(
             *[F.percentile(q, F.array(*[F.lit(float(p)) for p in probs])).alias(q) for q in names]

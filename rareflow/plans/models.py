@@ -19,11 +19,18 @@ from rareflow.sources.views import transactions
 
 COLS = [*V_COLS, "Amount", "Time"]
 FEW = ["V1", "V2", "V3", "V4", "V14", "Amount", "Time"]
-BASE = {
-    "logistic": lambda: md.logistic(1.0, n=1000),
-    "forest": lambda: md.forest(20, 5),
-    "boosted": lambda: md.boosted(10, 3),
-}
+
+
+def base(n):
+    """Makers of the models that ensembles combine, for ``n`` training rows."""
+    return {
+        "logistic": lambda: md.logistic(1.0, n=n),
+        "forest": lambda: md.forest(20, 5),
+        "boosted": lambda: md.boosted(10, 3),
+    }
+
+
+NAMES = list(base(1))
 
 
 def parts(spark, sf, fractions=(("train", 0.6), ("validation", 0.2), ("test", 0.2))):
@@ -68,16 +75,20 @@ _net("M5_perceptron", (100, 50))
 _net("M5_perceptron_deep", (128, 64, 32))
 
 
+def _makers(p):
+    return base(p["train"].count())
+
+
 def _members(p):
-    return {n: md.fit(p["train"], COLS, make()) for n, make in BASE.items()}
+    return {n: md.fit(p["train"], COLS, make()) for n, make in _makers(p).items()}
 
 
 @query("M6_soft_voting")
 def _(spark, sf):
     p = parts(spark, sf)
-    voted = md.soft_vote(md.member_scores(p["test"], _members(p)), list(BASE), (1.0, 2.0, 2.0))
+    voted = md.soft_vote(md.member_scores(p["test"], _members(p)), NAMES, (1.0, 2.0, 2.0))
     return ev.binarize(
-        voted.select("txn_id", F.col("Class").alias("label"), "score", *[f"score_{n}" for n in BASE])
+        voted.select("txn_id", F.col("Class").alias("label"), "score", *[f"score_{n}" for n in NAMES])
     )
 
 
@@ -85,17 +96,17 @@ def _(spark, sf):
 def _(spark, sf):
     p = parts(spark, sf)
     val = md.member_scores(p["validation"], _members(p)).withColumn("label", F.col("Class"))
-    w, ap = md.search_weights(val, list(BASE))
+    w, ap = md.search_weights(val, NAMES)
     return spark.createDataFrame(
-        [(n, float(x), float(ap)) for n, x in zip(BASE, w)], "model string, weight double, average_precision double"
+        [(n, float(x), float(ap)) for n, x in zip(NAMES, w)], "model string, weight double, average_precision double"
     )
 
 
 @query("M8_stacking")
 def _(spark, sf):
     p = parts(spark, sf)
-    base = {k: BASE[k] for k in ("forest", "boosted")}
-    model = md.fit_stacking(p["train"].select("txn_id", "Class", *COLS), COLS, base, folds=3)
+    members = {k: _makers(p)[k] for k in ("forest", "boosted")}
+    model = md.fit_stacking(p["train"].select("txn_id", "Class", *COLS), COLS, members, folds=3)
     return md.score(p["test"], model)
 
 
@@ -116,20 +127,20 @@ def _(spark, sf):
 @query("M11_train_several")
 def _(spark, sf):
     p = parts(spark, sf)
-    makers = {**BASE, "broken": lambda: md.forest(0, 5)}
+    makers = {**_makers(p), "broken": lambda: md.forest(0, 5)}
     return md.train_several(p["train"], p["validation"], p["test"], COLS, makers)[0]
 
 
 @query("M12_importance_forest")
 def _(spark, sf):
     p = parts(spark, sf)
-    return md.importance_frame(spark, md.fit(p["train"], COLS, BASE["forest"]()), COLS)
+    return md.importance_frame(spark, md.fit(p["train"], COLS, _makers(p)["forest"]()), COLS)
 
 
 @query("M12_importance_linear")
 def _(spark, sf):
     p = parts(spark, sf)
-    return md.importance_frame(spark, md.fit(p["train"], COLS, BASE["logistic"]()), COLS)
+    return md.importance_frame(spark, md.fit(p["train"], COLS, _makers(p)["logistic"]()), COLS)
 
 
 _ALL = [*V_COLS, "Amount"]
@@ -152,21 +163,21 @@ def _(spark, sf):
 @query("M14_linear_contributions")
 def _(spark, sf):
     p = parts(spark, sf)
-    m = md.fit(p["train"], COLS, BASE["logistic"]())
+    m = md.fit(p["train"], COLS, _makers(p)["logistic"]())
     return md.linear_contributions(p["test"], m, COLS).orderBy(F.col("contribution").desc()).limit(10)
 
 
 @query("M14_permutation_importance")
 def _(spark, sf):
     p = parts(spark, sf)
-    m = md.fit(p["train"], COLS, BASE["forest"]())
+    m = md.fit(p["train"], COLS, _makers(p)["forest"]())
     return md.permutation_importance(p["test"].drop("split"), m, COLS, ["V1", "V14", "Amount"])
 
 
 @query("M15_save_and_reload")
 def _(spark, sf):
     p = parts(spark, sf)
-    m = md.fit(p["train"], COLS, BASE["logistic"]())
+    m = md.fit(p["train"], COLS, _makers(p)["logistic"]())
     path = fresh_path(spark, "model")
     m.write().overwrite().save(path)
     again = PipelineModel.load(path)
@@ -182,21 +193,20 @@ def _(spark, sf):
 @query("F8_recursive_elimination")
 def _(spark, sf):
     p = parts(spark, sf)
-    return tn.recursive_elimination(
-        p["train"], FEW, lambda: md.logistic(1.0, n=1000), least=4, folds=3
-    )[1]
+    n = p["train"].count()
+    return tn.recursive_elimination(p["train"], FEW, lambda: md.logistic(1.0, n=n), least=4, folds=3)[1]
 
 
 def _from_model(name, make, threshold):
     @query(name)
     def _(spark, sf):
         p = parts(spark, sf)
-        kept = tn.select_from_model(p["train"], COLS, make(), threshold)
+        kept = tn.select_from_model(p["train"], COLS, make(p["train"].count()), threshold)
         return spark.createDataFrame(kept, "feature string, importance double")
 
 
-_from_model("F9_from_forest_median", lambda: md.forest(20, 5), "median")
-_from_model("F9_from_logistic_mean", lambda: md.logistic(1.0, n=1000), "mean")
+_from_model("F9_from_forest_median", lambda n: md.forest(20, 5), "median")
+_from_model("F9_from_logistic_mean", lambda n: md.logistic(1.0, n=n), "mean")
 
 
 @query("F10_stability")

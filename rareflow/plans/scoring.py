@@ -35,7 +35,8 @@ PRED = (
 def _(spark, sf):
     df = transactions(spark, sf)
     split = stratified_split(df, (("train", 0.8), ("test", 0.2)))
-    model = md.fit(split.where("split = 'train'").drop("split"), COLS, md.logistic(1.0, n=1000))
+    train = split.where("split = 'train'").drop("split")
+    model = md.fit(train, COLS, md.logistic(1.0, n=train.count()))
     out = md.probability(df, model).select("txn_id", "score")
     return sc.with_bands(out)
 
@@ -69,7 +70,7 @@ def _(spark, sf):
     usable = [n for n in scaling.SCHEMA_50 if n in V_COLS or "_" in n]
     train = stratified_split(aligned, (("train", 0.8), ("test", 0.2))).where("split = 'train'").drop("split")
     params = scaling.fit_standard(train, usable)
-    model = md.fit(scaling.apply_scaler(train, params), usable, md.logistic(1.0, n=1000))
+    model = md.fit(scaling.apply_scaler(train, params), usable, md.logistic(1.0, n=train.count()))
     out = md.probability(scaling.apply_scaler(aligned, params), model).select("txn_id", "score")
     return sc.with_bands(out)
 

@@ -29,7 +29,7 @@ def _bucket(seconds):
 @query("ST1_score_stream")
 def _(spark, sf):
     df = transactions(spark, sf)
-    model = md.fit(df, [*V_COLS, "Amount"], md.logistic(1.0, n=1000))
+    model = md.fit(df, [*V_COLS, "Amount"], md.logistic(1.0, n=df.count()))
     emb = table(spark, sf, "embeddings")
     n = emb.count()
     stream = src.event_stream(spark, sf).drop("score", "pred").withColumn("vkey", F.col("txn_id") % n)

@@ -66,6 +66,13 @@ def test_quantiles_of_empty_and_constant(spark):
         assert q == {"x": [1.0], "y": [None]}
 
 
+def test_quantiles_skip_nan_on_both_paths(spark):
+    values = [float(i) for i in range(101)] + [float("nan")] * 11 + [None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for small in (0, 1000):
+        assert exact_quantiles(df, {"x": F.col("x")}, [0.0, 0.5, 1.0], small=small)["x"] == [0.0, 50.0, 100.0]
+
+
 @pytest.mark.parametrize("small", [0, 10**6])
 def test_grouped_quantiles_with_hot_group(skewed, small):
     pdf, df = skewed
