@@ -1,10 +1,11 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Slot t of the mix takes a block of equally many words from the source that the golden
-ratio's multiple t * phi, modulo one, falls on among the cumulative target shares; any
-run of slots is close to the shares. The slots of a source are ranked, its documents
-stand in a shuffled order, three passes at most, cut into blocks of the same size, and
-the k-th slot is joined with the k-th block.
+A source has as many slots as its target has blocks of equally many words, the last one
+cut at the target, so it gives just its target however small. Slot t stands at the golden
+ratio's multiple t * phi, modulo one; the sources share the slots in the order of these
+points, so any run of slots is close to the shares. The slots of a source are ranked, its
+documents stand in a shuffled order, three passes at most, cut into blocks, and the k-th
+slot is joined with the k-th block.
 """
 
 from __future__ import annotations
@@ -55,15 +56,27 @@ def block_words(total: int) -> int:
     return int(min(MOST_BLOCK, max(1, total // SLOTS)))
 
 
-def schedule(df: DataFrame, shares: list[float], slots: int) -> DataFrame:
-    """(slot, place, rank): the place of each slot's source and its rank among that source's slots."""
-    spark = df.sparkSession
-    edges = [sum(shares[: i + 1]) for i in range(len(shares))]
-    point = F.expr(f"pmod((id + 0.5D) * {GOLDEN!r}D, 1.0D)")
+def whole_words(goal: dict) -> dict:
+    """source -> target in whole words; a source with words gives one at least."""
+    return {s: max(1, round(g)) if g > 0 else 0 for s, g in goal.items()}
+
+
+def schedule(df: DataFrame, counts: list[int]) -> DataFrame:
+    """(slot, place, rank): the place of each slot's source and its rank among that source's slots.
+
+    The place i has exactly ``counts[i]`` slots: the slots are numbered in the order of
+    their points, and each place has the next ``counts[i]`` numbers.
+    """
+    spark, slots = df.sparkSession, sum(counts)
+    edges = [sum(counts[: i + 1]) for i in range(len(counts))]
+    # the point, modulo one, as an evenly spread signed integer
+    point = F.expr(f"cast((pmod((id + 0.5D) * {GOLDEN!r}D, 1.0D) - 0.5D) * {2.0**64!r}D as long)")
+    points = spark.range(slots).select(point.alias("point"), F.col("id").alias("slot"))
+    rows = running_total(points, [], ["point", "slot"], F.lit(1).cast("long"), "number", spread_bits(slots))
     place = F.lit(len(edges) - 1)
     for i in reversed(range(len(edges) - 1)):
-        place = F.when(F.col("point") < edges[i], F.lit(i)).otherwise(place)
-    rows = spark.range(slots).withColumn("point", point).select(F.col("id").alias("slot"), place.alias("place"))
+        place = F.when(F.col("number") < edges[i], F.lit(i)).otherwise(place)
+    rows = rows.select("slot", place.alias("place"))
     # ranks: counts in runs of slots, then inside each run, so no source's slots meet in one task
     run = max(1024, slots // 65_536)
     rows = rows.withColumn("run", (F.col("slot") / run).cast("long"))
@@ -95,36 +108,36 @@ def mix(
     by_source = {r["source"]: (int(r["words"]), r["n"]) for r in rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()}
     sizes = {s: w for s, (w, _) in by_source.items()}
     goal = targets(sizes)
-    names, total = list(goal), sum(sizes.values())
+    names, total, take = list(goal), sum(sizes.values()), whole_words(goal)
     spark = docs.sparkSession
     table = spark.createDataFrame(
-        [(i, s, sizes[s], goal[s]) for i, s in enumerate(names)],
-        "place int, source string, source_size long, target double",
+        [(i, s, sizes[s], goal[s], take[s]) for i, s in enumerate(names)],
+        "place int, source string, source_size long, target double, goal long",
     )
     placed = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"]), "left").select(
-        "line", "id", "size", rows["source"], "source_size", "target", "place"
+        "line", "id", "size", rows["source"], "source_size", "target", "place", "goal"
     )
     if not total:
         none = placed.limit(0).select(
             F.col("line").alias("slot"), "line", F.col("place").alias("pass"), F.col("size").alias("start"), F.col("size").alias("length")
         )
-        return placed.drop("place"), none
+        return placed.drop("place", "goal"), none
     block = block_words(total)
-    slots = -(-total // block)
-    plan = schedule(docs, [goal[s] / total for s in names], slots)
+    plan = schedule(docs, [-(-take[s] // block) for s in names])
     order = placed.where("size > 0").withColumn("key", F.xxhash64("id", "size", F.lit(SEED)))
     along = running_total(
-        order.select("place", "key", "line", "size", "source_size"), ["place"], ["key", "line"],
+        order.select("place", "key", "line", "size", "source_size", "goal"), ["place"], ["key", "line"],
         F.col("size"), "before", spread_bits(sum(n for _, n in by_source.values())),
     )
     passes = along.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MOST_PASSES - 1))))
     passes = passes.withColumn("at", F.col("before") + F.col("pass") * F.col("source_size"))
-    last = F.expr(f"(at + size - 1) div {block}")
+    passes = passes.where("at < goal").withColumn("until", F.least(F.col("at") + F.col("size"), F.col("goal")))
+    last = F.expr(f"(until - 1) div {block}")
     cut = passes.withColumn("rank", F.explode(F.sequence(F.expr(f"at div {block}"), last)))
     begin = F.greatest(F.col("at"), F.col("rank") * block)
-    end = F.least(F.col("at") + F.col("size"), (F.col("rank") + 1) * block)
+    end = F.least(F.col("until"), (F.col("rank") + 1) * block)
     cut = cut.select("place", "rank", "line", "pass", (begin - F.col("at")).alias("start"), (end - begin).alias("length"))
-    return placed.drop("place"), plan.join(cut, ["place", "rank"]).select("slot", "line", "pass", "start", "length")
+    return placed.drop("place", "goal"), plan.join(cut, ["place", "rank"]).select("slot", "line", "pass", "start", "length")
 
 
 def taken(docs: DataFrame, **columns) -> DataFrame:

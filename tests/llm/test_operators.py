@@ -287,6 +287,34 @@ def test_mix_comes_near_its_targets(docs):
     assert sorted(r.taken for r in mixing.taken(docs.repartition(5)).collect()) == sorted(r.taken for r in rows)
 
 
+def test_mix_keeps_sources_below_a_block(spark):
+    def of(n, words, source):
+        text = F.array_join(F.array_repeat(F.lit("word"), words), " ")
+        return spark.range(n).select(F.concat(F.lit(f"{source}-"), "id").alias("doc_id"), text.alias("text"), F.lit(source).alias("source"))
+
+    tiny, none = of(4, 5, "a"), of(10, 10, None)
+    odd = of(1, 1, "b").unionByName(of(3, 0, "c"))
+    docs = of(20_000, 400, "huge").unionByName(of(500, 400, "z")).unionByName(tiny).unionByName(none).unionByName(odd)
+    assert mixing.block_words(20_000 * 400) > 100
+    rows = mixing.taken(docs)
+    got = {r.source: (r.took, r.target, r.least) for r in rows.groupBy("source").agg(
+        F.sum("taken").alias("took"), F.max("target").alias("target"), F.min("taken").alias("least")).collect()}
+    assert got["a"] == (60, 60.0, 15) and got[None] == (300, 300.0, 30) and got["b"] == (3, 3.0, 3) and got["c"][0] == 0
+    assert all(abs(took - target) <= 0.5 for took, target, _ in got.values())
+    kept = Counter(r.source for r in mixing.mixed(docs).where("source is null or source in ('a', 'b', 'c')").collect())
+    assert kept == {"a": 12, None: 30, "b": 3, "c": 3}
+
+
+def test_mix_spreads_sources_over_slots(docs):
+    counts = [0, 700, 1, 299, 3000, 2]
+    slots = sorted((r.slot, r.place, r.rank) for r in mixing.schedule(docs, counts).collect())
+    assert [s for s, _, _ in slots] == list(range(sum(counts)))
+    for place, n in enumerate(counts):
+        assert [r for _, p, r in slots if p == place] == list(range(n))
+        for start in range(0, len(slots) - 400, 400):
+            assert abs(sum(p == place for _, p, _ in slots[start : start + 400]) - 400 * n / len(slots)) <= 4
+
+
 def test_targets_share_what_a_source_cannot_take():
     got = mixing.targets({"a": 10, "b": 1000, None: 1000})
     assert got["a"] == 30 and abs(sum(got.values()) - 2010) < 1e-6 and got["b"] == 2 * got[None]
