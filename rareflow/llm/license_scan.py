@@ -1,7 +1,8 @@
 """Licence notices in paragraphs, by a trained classifier and a comparison with templates.
 
-A paragraph is a line with a word. Its words and pairs of words feed a sparse multinomial
-logistic regression whose classes are the licence families and ``none``. It is trained on
+A paragraph is a line with a word, or neighbouring lines that a notice may be wrapped over.
+Its words and pairs of words feed a sparse multinomial logistic regression whose classes
+are the licence families and ``none``. It is trained on
 variants of short notices of each family and on paragraphs of the corpus.
 Notices of families that it never saw set the chance below which a paragraph that looks
 like a licence is ``unknown``; a family must also share most words of one of its
@@ -83,6 +84,17 @@ TRAIN_TASKS = 4
 SEED = 2
 #: The share of a template's words that confirms its family.
 CONFIRMING = 0.6
+#: Words of templates that any text may have. A notice has some other word of its template as well.
+COMMON = frozenset("a and any are be by can for in is it no of or the this to with you".split())
+
+
+def known_words(notice: str) -> list[str]:
+    return sorted(set("".join(c if c.isalnum() else " " for c in notice.lower()).split()))
+
+
+TELLING = sorted({w for notices in TEMPLATES.values() for n in notices for w in known_words(n)} - COMMON)
+#: Between the first and the last line of a wrapped notice stand fewer words, twice the longest template.
+NEAR = 2 * max(len(n.split()) for notices in TEMPLATES.values() for n in notices)
 
 
 def paragraph_words(text: Column) -> Column:
@@ -101,6 +113,49 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.where(F.size("words") > 0)
 
 
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, id, paragraph, last, words): every line with a word, and runs of neighbouring lines.
+
+    A run goes from line ``paragraph`` to line ``last``, has no line without words, fewer
+    than ``NEAR`` words between its first and last line, and a word of ``TELLING``, without
+    which no template confirms it. ``row`` tells the rows of ``docs`` apart.
+    """
+    text = whole(docs[text_col])
+    telling = F.array(*map(F.lit, TELLING))
+    lines = F.transform(F.split(text, "\n"), paragraph_words)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), once(lines).alias("lines"))
+    rows = rows.select("*", once(F.transform("lines", F.size)).alias("sizes"))
+    wrapped = F.exists("lines", lambda words: F.arrays_overlap(words, telling))
+    rows = rows.select("*", once(wrapped).alias("wrapped"))
+
+    def more(first: Column) -> Column:
+        """How many lines after ``first`` a run may take."""
+        start = F.struct(F.lit(0).alias("between"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+
+        def step(run: Column, size: Column) -> Column:
+            goes_on = run["open"] & (size > 0) & (run["between"] < NEAR)
+            return F.struct(
+                (run["between"] + size).alias("between"), (run["n"] + goes_on.cast("int")).alias("n"), goes_on.alias("open")
+            )
+
+        none = F.get("sizes", first) == 0
+        return F.when(none, 0).otherwise(F.aggregate(F.slice("sizes", first + 2, F.lit(NEAR + 1)), start, step, lambda run: run["n"]))
+
+    def near(first: Column) -> Column:
+        n = F.when(F.col("wrapped"), more(first)).otherwise(F.lit(0))
+        return F.struct(first.alias("first"), F.slice("lines", first + 1, n + 1).alias("near"))
+
+    starts = F.transform(F.sequence(F.lit(0), F.size("lines") - 1), near)
+    rows = rows.select("row", "id", F.inline(starts)).where(F.size(F.get("near", F.lit(0))) > 0)
+    runs = F.transform(
+        F.sequence(F.lit(1), F.size("near")),
+        lambda n: F.struct((F.col("first") + n - 1).alias("last"), F.flatten(F.slice("near", 1, n)).alias("words")),
+    )
+    rows = rows.select("row", "id", F.col("first").cast("long").alias("paragraph"), F.inline(runs))
+    rows = rows.withColumn("last", F.col("last").cast("long"))
+    return rows.where((F.col("last") == F.col("paragraph")) | F.arrays_overlap("words", telling))
+
+
 def grams(words: Column) -> Column:
     """The words and the pairs of words of a paragraph."""
     pairs = F.transform(
@@ -134,7 +189,7 @@ def similarity(words: Column, family: Column) -> Column:
     for name, notices in TEMPLATES.items():
         shares = []
         for notice in notices:
-            known = sorted(set("".join(c if c.isalnum() else " " for c in notice.lower()).split()))
+            known = known_words(notice)
             shares.append(F.size(F.array_intersect(words, F.array(*map(F.lit, known)))) / F.lit(float(len(known))))
         out = F.when(family == name, F.greatest(*shares)).otherwise(out)
     return out
@@ -228,20 +283,44 @@ def _threshold(found: list[tuple[float, bool]]) -> float:
     return least
 
 
+def _apart(found: Column) -> Column:
+    """Those that overlap none before them, of runs in the order of last lines, shorter ones first."""
+    kind = "array<struct<last:bigint,lines:bigint,paragraph:bigint,family:string,chance:double,similarity:double,confirmed:boolean>>"
+    start = F.struct(F.lit(-1).cast("long").alias("end"), F.array().cast(kind).alias("kept"))
+
+    def step(done: Column, run: Column) -> Column:
+        kept = F.struct(run["last"].alias("end"), F.concat(done["kept"], F.array(run)).alias("kept"))
+        return F.when(run["paragraph"] > done["end"], kept).otherwise(done)
+
+    return F.aggregate(found, start, step, lambda done: done["kept"])
+
+
 def scan(
     docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, paragraph, family, chance, similarity, confirmed) of every paragraph with a licence.
 
-    A family that is not sure enough, or that no template confirms, is ``unknown``. Null,
-    empty and blank texts have no paragraph. Repeated rows are scanned each for itself,
-    a null id stays null and an empty table gives no rows.
+    ``paragraph`` is the number of its first line, from 0 over all lines. A family that is
+    not sure enough, or that no template confirms, is ``unknown``. Neighbouring lines count
+    together where no fewer of them do; a confirmed family takes its lines first, what is
+    ``unknown`` has no line of it. Null, empty and blank texts have no paragraph. Repeated
+    rows are scanned each for itself, a null id stays null and an empty table gives no rows.
     """
-    found = model.chances(paragraphs(docs, id_col, text_col)).where("none < 0.5")
+    found = model.chances(passages(docs, id_col, text_col)).where("none < 0.5")
     found = found.withColumn("similarity", F.round(similarity(F.col("words"), F.col("family")), 6))
-    sure = (F.col("chance") >= model.least) & (F.col("similarity") >= CONFIRMING)
-    return found.select(
-        F.col("id").alias(id_col), "paragraph",
+    sure = F.coalesce((F.col("chance") >= model.least) & (F.col("similarity") >= CONFIRMING), F.lit(False))
+    found = found.select(
+        "row", "id", "last", (F.col("last") - F.col("paragraph")).alias("lines"), "paragraph",
         F.when(sure, F.col("family")).otherwise(F.lit(UNKNOWN)).alias("family"),
         F.round("chance", 6).alias("chance"), "similarity", sure.alias("confirmed"),
     )
+    run = F.struct("last", "lines", "paragraph", "family", "chance", "similarity", "confirmed")
+    texts = found.groupBy("row", "id").agg(F.sort_array(F.collect_list(run)).alias("found"))
+    texts = texts.select("id", "found", once(_apart(F.filter("found", lambda r: r["confirmed"]))).alias("sure"))
+
+    def free(r: Column) -> Column:
+        taken = F.exists("sure", lambda s: (s["paragraph"] <= r["last"]) & (r["paragraph"] <= s["last"]))
+        return ~r["confirmed"] & ~taken
+
+    out = texts.select("id", F.inline(F.concat("sure", _apart(F.filter("found", free)))))
+    return out.select(F.col("id").alias(id_col), "paragraph", "family", "chance", "similarity", "confirmed")

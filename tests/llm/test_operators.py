@@ -114,6 +114,45 @@ def test_licences_on_odd_rows(spark, odd):
     assert got.get(1) in (None, "unknown") and got.get(2) in ("proprietary", "unknown")
 
 
+def test_every_template_has_a_telling_word():
+    for notices in license_scan.TEMPLATES.values():
+        for known in map(license_scan.known_words, notices):
+            assert len(set(known) & license_scan.COMMON) < license_scan.CONFIRMING * len(known)
+
+
+def test_licences_wrapped_over_lines(spark, docs):
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\n"
+        "it under the terms of the GNU General Public License as published by\n"
+        "the Free Software Foundation, either version 3 of the License, or\n"
+        "(at your option) any later version."
+    )
+    rows = [
+        (1, gpl), (2, "# Some words here\n#\n# " + gpl.replace("\n", "\n# ")),
+        (3, "Licensed under the Apache\nLicense, Version 2.0."),
+        (4, "Ouen the of nterti.\nReleased under the MIT License.\nOuen the of nterti."),
+        (5, "This program is free software: you can redistribute it\n\nand modify it"),
+        (6, "\n".join("Redistribution and use in source and binary forms, with or without modification, are permitted.".split())),
+    ]
+    model = license_scan.train(docs)
+    got = defaultdict(list)
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        if r.confirmed:
+            got[r.doc_id].append((r.paragraph, r.family))
+    assert got[1] == [(0, "gpl-3.0")] and got[2] == [(2, "gpl-3.0")] and got[4] == [(1, "mit")]
+    assert got[3] == [(0, "apache-2.0")] and [f for _, f in got[6]] == ["bsd"] and got[5] == []
+
+
+def test_lines_of_their_own_stay_as_they_were(docs):
+    model = license_scan.train(docs)
+    lines = model.chances(license_scan.paragraphs(docs)).where("none < 0.5")
+    lines = lines.withColumn("s", license_scan.similarity(F.col("words"), F.col("family")))
+    sure = lines.where((F.col("chance") >= model.least) & (F.col("s") >= license_scan.CONFIRMING))
+    want = {(r.id, r.paragraph, r.family) for r in sure.collect()}
+    got = {(r.doc_id, r.paragraph, r.family) for r in license_scan.scan(docs, model).where("confirmed").collect()}
+    assert want and want <= got
+
+
 def test_exact_groups(docs, texts):
     groups = defaultdict(list)
     for i, t in texts.items():
