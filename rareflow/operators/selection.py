@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rareflow.functions.shape import edge_codes, stats_by_feature
-from rareflow.operators.ordering import average_ranks, fits_broadcast, lookup_by_value
+from rareflow.operators.ordering import average_ranks, fits_broadcast, lookup_by_value, prefix_sums, value_counts
 from rareflow.operators.profile import correlation_matrix
 from rareflow.operators.quantiles import exact_quantiles
 from rareflow.session import shared_dir
@@ -79,56 +79,64 @@ def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def value_codes(df: DataFrame, cols: Sequence[str], most: int = 256) -> DataFrame:
-    """Columns as ordered integer codes: exact up to ``most`` distinct values, quantile bins above."""
-    sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    few = [c for c in cols if sketch[c] <= 2 * most]
-    exact: dict[str, list[float]] = {}
-    for c in few:
-        values = [r[c] for r in df.select(c).distinct().orderBy(c).limit(most + 1).collect()]
-        if len(values) <= most:
-            exact[c] = values
-    rest = [c for c in cols if c not in exact]
-    cuts = dict(exact)
-    if rest:
-        q = exact_quantiles(df, {c: F.col(c) for c in rest}, [i / most for i in range(1, most)])
-        cuts.update({c: sorted(set(q[c])) for c in rest})
+def _with_codes(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Columns as the dense ranks of their values from 0, null for null, and each column's number of values.
 
-    coded = edge_codes(df.select(*cols), {c: cuts[c] for c in cols}, right_closed=False)
-    return coded.select(*[F.col(f"_code_{c}").alias(c) for c in cols])
+    As for ``spearman_pairs`` the table is written out after a column of many values.
+    """
+    total = df.count()
+    coded, sizes = df.select(*cols), {}
+    for c in cols:
+        counts = value_counts(df, c).withColumn("one", F.lit(1).cast("long"))
+        ranks = prefix_sums(counts, c, {"one": "one"}).select(c, "n", (F.col("one") - 1).alias(f"_code_{c}"))
+        sizes[c] = (ranks.agg(F.max(f"_code_{c}")).first()[0] or 0) + 1
+        if fits_broadcast(df, c):
+            coded = coded.join(F.broadcast(ranks.drop("n")), c, "left")
+        else:
+            known = lookup_by_value(coded.where(F.col(c).isNotNull()), ranks, c, total).drop("n")
+            none = coded.where(F.col(c).isNull()).withColumn(f"_code_{c}", F.lit(None).cast("long"))
+            shared_dir(df.sparkSession)
+            coded = known.unionByName(none).checkpoint()
+    return coded.select(*[F.col(f"_code_{c}").alias(c) for c in cols]), sizes
 
 
-def kendall_pairs(df: DataFrame, cols: Sequence[str], most: int = 256) -> DataFrame:
-    """Tau-b from the contingency table of codes (at most ``most``^2 cells per pair).
+def kendall_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Exact tau-b of every pair, over the rows in which both columns are not null.
 
-    All pairs share one aggregate. Concordant pairs come from two running sums over
-    the full grid of codes; ties from its margins.
+    Rows fold to counts of value pairs (x, y). Two different ranks of x part at one
+    bit: they agree above it, and the smaller has a zero there. So for every bit and
+    every block of ranks that agree above it, running sums along y over the zeros count
+    the concordant pairs once: log2 of the values of x rows for every value pair. The
+    column with fewer values is x.
     """
-    codes = value_codes(df, cols, most)
-    rows = F.array(
-        *[
+    codes, sizes = _with_codes(df, cols)
+    rows = []
+    for a, b in _pairs(cols):
+        x, y = (a, b) if sizes[a] <= sizes[b] else (b, a)
+        rows.append(
             F.struct(
-                F.lit(a).alias("left"), F.lit(b).alias("right"),
-                F.col(a).alias("x"), F.col(b).alias("y"),
+                F.lit(a).alias("left"), F.lit(b).alias("right"), F.lit(max(0, (sizes[x] - 1).bit_length() - 1)).alias("top"),
+                F.col(x).alias("x"), F.col(y).alias("y"),
             )
-            for a, b in _pairs(cols)
-        ]
-    )
+        )
     key = ["left", "right"]
-    cells = codes.select(F.inline(rows)).groupBy(*key, "x", "y").agg(F.count(F.lit(1)).alias("n"))
-    xs = cells.select(*key, "x").distinct()
-    ys = cells.select(*key, "y").distinct()
-    grid = (
-        xs.join(ys, key).join(cells, [*key, "x", "y"], "left").fillna(0, ["n"])
-    )  # at most most^2 cells per column pair
-    row_w = Window.partitionBy(*key, "x").orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
-    in_row = grid.withColumn("row_before", F.coalesce(F.sum("n").over(row_w), F.lit(0)))
-    col_w = Window.partitionBy(*key, "y").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    both = in_row.withColumn("less", F.coalesce(F.sum("row_before").over(col_w), F.lit(0)))
-    d = "double"
-    conc = both.groupBy(*key).agg(
-        F.sum(F.col("n").cast(d) * F.col("less")).alias("conc"), F.sum("n").cast(d).alias("total")
+    pairs = codes.select(F.inline(F.array(*rows))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    cells = pairs.groupBy(*key, "top", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    shared_dir(df.sparkSession)
+    cells = cells.checkpoint()
+    block = ["left", "right", "bit", "above"]
+    bits = cells.withColumn("bit", F.explode(F.sequence(F.lit(0), "top")))
+    bits = bits.withColumn("above", F.expr("shiftright(x, bit + 1)")).withColumn("one", F.expr("shiftright(x, bit) & 1"))
+    steps = bits.groupBy(*block, "y").agg(
+        F.sum(F.when(F.col("one") == 0, F.col("n")).otherwise(0)).alias("zeros"),
+        F.sum(F.when(F.col("one") == 1, F.col("n")).otherwise(0)).alias("ones"),
     )
+    steps = steps.withColumn("through", F.col("zeros")).checkpoint()
+    along = prefix_sums(steps, "y", {"through": "through"}, block)
+    d = "double"
+    conc = along.groupBy(*key).agg(
+        F.sum(F.col("ones").cast(d) * (F.col("through") - F.col("zeros"))).alias("conc")
+    ).join(cells.groupBy(*key).agg(F.sum("n").cast(d).alias("total")), key)
 
     def ties(by, name):
         m = cells.groupBy(*key, *by).agg(F.sum("n").cast(d).alias("m"))

@@ -98,12 +98,12 @@ def _(spark, sf):
 _FEW = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 
-def _kendall_sql(cols):
+def _kendall_sql(cols, source="lineitem"):
     parts = []
     for i, a in enumerate(cols):
         for b in cols[i + 1 :]:
             parts.append(
-                f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", {R('tau')} AS corr FROM (WITH c AS (SELECT {a} AS x, {b} AS y, COUNT(*) AS n FROM lineitem GROUP BY 1, 2), "
+                f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", {R('tau')} AS corr FROM (WITH c AS (SELECT {a} AS x, {b} AS y, COUNT(*) AS n FROM {source} GROUP BY 1, 2), "
                 "m AS (SELECT SUM(CASE WHEN (p.x-q.x)*(p.y-q.y) > 0 THEN p.n*1.0*q.n ELSE 0 END)/2 AS con, SUM(CASE WHEN (p.x-q.x)*(p.y-q.y) < 0 THEN p.n*1.0*q.n ELSE 0 END)/2 AS dis FROM c p, c q), "
                 "tt AS (SELECT SUM(n)*(SUM(n)-1.0)/2 AS n0 FROM c), tx AS (SELECT SUM(s*(s-1.0)/2) AS t FROM (SELECT SUM(n) AS s FROM c GROUP BY x)), ty AS (SELECT SUM(s*(s-1.0)/2) AS t FROM (SELECT SUM(n) AS s FROM c GROUP BY y)) "
                 "SELECT (con-dis)/sqrt((n0-tx.t)*(n0-ty.t)) AS tau FROM m, tt, tx, ty)"
@@ -116,6 +116,14 @@ def _(spark, sf):
     return rounded(sel.kendall_pairs(table(spark, sf, "lineitem"), _FEW))
 
 
+_MANY = ["o_totalprice", "o_custkey"]
+
+
+@query("F4_kendall_many_values", _kendall_sql(_MANY, "orders"))
+def _(spark, sf):
+    return rounded(sel.kendall_pairs(table(spark, sf, "orders"), _MANY))
+
+
 @query("F5_anova_f", f"WITH {T}, {ANOVA} SELECT feature, {R('f_score')} AS f_score FROM f")
 def _(spark, sf):
     return rounded(sel.anova_f(transactions(spark, sf), ALL))

@@ -174,6 +174,18 @@ def test_scaler_reuse_and_schema(spark, sf_dir):
     assert constant["k"].scale == 1.0
 
 
+def test_kendall_of_many_values_is_exact(spark):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=6000)
+    pdf = pd.DataFrame({"x": x, "y": x + 0.4 * draw.normal(size=6000), "z": draw.integers(0, 40, 6000).astype(float)})
+    got = {(r.left, r.right): r.corr for r in sel.kendall_pairs(spark.createDataFrame(pdf).repartition(5), ["x", "y", "z"]).collect()}
+    for a, b in (("x", "y"), ("x", "z"), ("y", "z")):
+        p, q = pdf[a].to_numpy(), pdf[b].to_numpy()
+        dp, dq = np.sign(p[:, None] - p[None, :]).astype(np.int8), np.sign(q[:, None] - q[None, :]).astype(np.int8)
+        want = (dp * dq).sum(dtype=np.int64) / np.sqrt(float(np.count_nonzero(dp)) * float(np.count_nonzero(dq)))
+        assert abs(got[a, b] - want) < 1e-12
+
+
 def test_kendall_and_spearman_against_pandas(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"x": rng.integers(0, 9, 400).astype(float)})
