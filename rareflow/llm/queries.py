@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rareflow.llm import (
+    collocations,
     exact_dedup,
     language_id,
     license_scan,
     mixing,
     packing,
+    prefix_trie,
     quality_nbsvm,
     quality_rules,
     sharding,
     simhash,
     toxicity,
+    vantage,
 )
 from rareflow.llm.common import documents, held_out, labels
 
@@ -95,6 +98,18 @@ def language_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prefix_trie_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def collocations_setm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def neighbours_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_crf": toxicity_crf,
     "op2_license_paragraphs": license_paragraphs,
@@ -106,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_nb_svm": quality_nb_svm,
     "op9_mixing_golden_ratio": mixing_golden_ratio,
     "op10_language_hyperdimensional": language_hyperdimensional,
+    "op11_prefix_trie_skeleton": prefix_trie_skeleton,
+    "op12_collocations_setm": collocations_setm,
+    "op13_neighbours_vantage_trees": neighbours_vantage_trees,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -146,4 +164,78 @@ WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW same AS (PARTITION BY norm)""",
+    "op11_prefix_trie_skeleton": r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, list({'k': md5(concat(length(role), ':', role, text)), 'z': length(text)}
+                         ORDER BY turn NULLS FIRST) AS t
+    FROM turns GROUP BY conv_id),
+crc AS (
+    SELECT conv_id, xor(list_reduce(
+        list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                    lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x)
+                            WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384) ELSE acc // 2 END), 4294967295) % 6 AS h
+    FROM own),
+convs AS (
+    SELECT o.conv_id, list_concat(coalesce(b.t, [])[:h], o.t[h + 1:]) AS t
+    FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+members AS (
+    SELECT conv_id, len(t) AS turns, d, array_to_string(list_transform(t[:d], lambda x: x.k), '') AS path,
+           coalesce(t[d].z, 0) AS z
+    FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM convs)),
+nodes AS (
+    SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(z) AS z,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = d), '')) AS ends_sha256
+    FROM members GROUP BY path),
+kids AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (
+    SELECT left(n.path, 32 * u) AS path, sum(CASE WHEN k.n IS NULL THEN 1 ELSE 0 END) AS leaves,
+           sum((n.n_convs - 1) * n.z) AS saved
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS u FROM nodes) n LEFT JOIN kids k ON k.path = n.path GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN kids k ON k.path = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, length(n.path) - 32)""",
+    "op12_collocations_setm": r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS (
+    SELECT lang, m, w[i:i + m - 1] AS g
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 5) AS sizes(m))),
+f AS (SELECT lang, m, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS a
+      FROM grams GROUP BY lang, m, array_to_string(g, ' ') HAVING count(*) >= 30),
+cuts AS (
+    SELECT f.lang, f.phrase, f.a, k, x.a AS l, y.a AS r, 2000000::HUGEINT * f.a // (x.a + y.a) AS score
+    FROM f CROSS JOIN range(1, 4) AS cuts(k)
+    JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(f.g[:k], ' ')
+    JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(f.g[k + 1:], ' ')
+    WHERE f.m > 1 AND k < f.m),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, array_to_string(g[i:i + p - 1], ' ') AS phrase, max(a) AS most
+    FROM (SELECT lang, g, a, p, unnest(range(1, m - p + 2)) AS i FROM f, range(2, 4) AS sizes(p) WHERE p < m)
+    GROUP BY 1, 2),
+kept AS (SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase)
+         WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+    "op13_neighbours_vantage_trees": """
+WITH v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS x, len(embedding) AS d, row_number() OVER () AS r FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+      AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+pairs AS (
+    SELECT q.vec_id AS query_id, q.r AS q, c.vec_id, c.r AS c, list_dot_product(q.x, c.x) AS score
+    FROM v q JOIN v c ON c.r <> q.r AND c.d = q.d WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, c)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
 }
