@@ -1,11 +1,13 @@
 """Phrases whose words go together, mined level by level from relations of occurrences (SETM).
 
-The relation of level m has a row (doc, pos, id) for each occurrence of a frequent phrase
-of m words. It is a bucketed table, sorted by (doc, pos). A merge join of the relation
-with itself at the next position gives the occurrences of phrases one word longer: both
-parts are frequent and overlap in all words but the outer two. Grouping counts them, and
-a semi-join with the frequent groups leaves the next level's relation. A mark between
-pieces takes a position of its own, so phrases never reach over it.
+The relation of level m has a row (part, at, id) for each occurrence of a frequent phrase
+of m words: ``part`` is the part of the corpus that one task reads, ``at`` the position in
+it; neighbours in a piece have neighbouring positions, and between pieces there is a gap.
+Each relation is a table bucketed by part and sorted by position, so a merge join of the
+relation with itself at the next position needs no shuffle. It gives the occurrences of
+phrases one word longer: both parts are frequent and overlap in all words but the outer
+two. Grouping counts them, and a semi-join with the frequent groups leaves the next
+level's relation.
 
 Only sub-phrases of frequent phrases are needed for the scores, and these are frequent.
 """
@@ -13,8 +15,13 @@ Only sub-phrases of frequent phrases are needed for the scores, and these are fr
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rareflow.llm.common import whole, written
@@ -25,81 +32,218 @@ LEAST, LONGEST, REPORTED = 30, 4, 2000
 SHARE = (80, 100)
 #: Frequent groups that are broadcast to the semi-join; beyond it both sides are shuffled.
 BROADCAST_ROWS = 600_000
-#: Rows of one bucket of a relation.
-BUCKET_ROWS = 4_000_000
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_MARKS = r".,;:!?\x0A-\x0D"
-#: A word, or a run of marks (which leaves an empty word in its position).
-_TOKENS = rf"([^\x20\x09{_MARKS}]+)|[{_MARKS}]+"
+STRICT = "spark.sql.requireAllClusterKeysForCoPartition"
+BLANKS, MARKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
+#: Bytes of text that are split into words at a time.
+CHUNK_BYTES = 8 << 20
 RESULT = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
-def lower_ascii(word: Column) -> Column:
-    """A-Z in lower case, all other letters as they are."""
-    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(
-        F.translate(word, UPPER, UPPER.lower())
-    )
+def byte_kinds() -> tuple[np.ndarray, np.ndarray]:
+    """(0 word, 1 blank, 2 mark; the byte with A-Z in lower case) by byte.
+
+    All blanks and marks are ASCII, so each byte of a longer UTF-8 sequence is a word's.
+    """
+    kinds, lower = np.zeros(256, np.uint8), np.arange(256, dtype=np.uint8)
+    kinds[list(BLANKS)], kinds[list(MARKS)] = 1, 2
+    lower[ord("A") : ord("Z") + 1] += 32
+    return kinds, lower
 
 
-def _tokens(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, doc, pos, raw): the words of every text as they are written, with their positions."""
-    rows = docs.select(
-        F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"),
-        F.monotonically_increasing_id().alias("doc"),
-        F.regexp_extract_all(whole(docs[text_col]), F.lit(_TOKENS), F.lit(1)).alias("found"),
-    )
-    return rows.select("lang", "doc", F.posexplode("found").alias("pos", "raw")).where("raw != ''")
+class Words:
+    """Splits texts into lower-cased words, counting positions through one part of the corpus.
+
+    A word's position is one more than that of the word before it in the same piece, and
+    at least two more than that of any other word.
+    """
+
+    def __init__(self) -> None:
+        self.kinds, self.lower = byte_kinds()
+        self.next = 0
+
+    def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(words, their texts' numbers, their positions)."""
+        texts = texts.cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = texts.buffers()[2]
+        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+        offsets = offsets - offsets[0]
+        kind = self.kinds[data]
+        inner = kind == 0
+        first = inner.copy()
+        first[1:] &= ~inner[:-1]
+        begins = offsets[:-1][offsets[:-1] < offsets[1:]]
+        first[begins] = inner[begins]
+        starts = np.flatnonzero(first)
+        apart = np.ones(len(starts), np.int64)
+        if len(starts):
+            # a mark among the bytes from a word to the next one, or the beginning of a text
+            apart[1:] += np.maximum.reduceat(kind, starts)[:-1] == 2
+            new = np.searchsorted(starts, begins)
+            apart[new[new < len(starts)]] = 2
+        at = self.next + np.cumsum(apart)
+        if len(starts):
+            self.next = int(at[-1]) + 1
+        # without the bytes between them, each word begins where the one before ends
+        last = inner
+        last[:-1] &= first[1:] | ~inner[1:]
+        sizes = np.flatnonzero(last) + 1 - starts
+        ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        packed = self.lower[data[self.kinds[data] == 0]]
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(packed))
+        return words, np.searchsorted(offsets, starts, side="right") - 1, at
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``CHUNK_BYTES`` of text, one row at least."""
+    sizes = pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes) // CHUNK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(int(a), int(b - a))
+
+
+def _codes(words: pa.Array, rows: np.ndarray, langs: pa.Array) -> tuple[list, pa.Array, np.ndarray, np.ndarray]:
+    """(languages, distinct words, each word's language, each word's number) of one slice."""
+    lang = langs.dictionary_encode()
+    word = words.dictionary_encode()
+    of = lang.indices.to_numpy(zero_copy_only=False)[rows]
+    return lang.dictionary.to_pylist(), word.dictionary, of, word.indices.to_numpy(zero_copy_only=False)
+
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """(lang, phrase, n): occurrences of every word, counted in each task before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = Words()
+        for batch in batches:
+            for part in _slices(batch):
+                words, rows, _ = split.split(part.column(0))
+                langs, names, of, word = _codes(words, rows, part.column(1))
+                for i, lang in enumerate(langs):
+                    counts = np.bincount(word[of == i], minlength=len(names))
+                    seen = np.flatnonzero(counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(seen), pa.string()), names.take(pa.array(seen)).cast(pa.string()), pa.array(counts[seen])],
+                        ["lang", "phrase", "n"],
+                    )
+
+    part = texts.mapInArrow(run, "lang string, phrase string, n long")
+    return part.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def word_places(texts: DataFrame, known: Broadcast) -> DataFrame:
+    """(part, at, id) of the occurrences of the broadcast words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, number, ids = Words(), TaskContext.get().partitionId(), known.value
+        for batch in batches:
+            for part in _slices(batch):
+                words, rows, at = split.split(part.column(0))
+                langs, names, of, word = _codes(words, rows, part.column(1))
+                for i, lang in enumerate(langs):
+                    if lang not in ids:
+                        continue
+                    table, numbers = ids[lang]
+                    place = pc.index_in(names, value_set=table).fill_null(-1).to_numpy(zero_copy_only=False)
+                    mine = np.flatnonzero(of == i)
+                    place = place[word[mine]]
+                    mine, place = mine[place >= 0], place[place >= 0]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(mine), number, np.int32)), pa.array(at[mine]), pa.array(numbers[place])],
+                        ["part", "at", "id"],
+                    )
+
+    return texts.mapInArrow(run, "part int, at long, id long")
+
+
+def word_rows(texts: DataFrame) -> DataFrame:
+    """(part, at, lang, phrase) of every occurrence, for vocabularies too large to broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, number = Words(), TaskContext.get().partitionId()
+        for batch in batches:
+            for part in _slices(batch):
+                words, rows, at = split.split(part.column(0))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), number, np.int32)), pa.array(at), part.column(1).take(pa.array(rows)), words.cast(pa.string())],
+                    ["part", "at", "lang", "phrase"],
+                )
+
+    return texts.mapInArrow(run, "part int, at long, lang string, phrase string")
+
+
+def with_dense_ids(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` as a written table with an id from 0 on; two ids make one key of 64 bits."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    stored = written(rows.withColumns({"_of": F.spark_partition_id(), "_place": place}), label)
+    found = sorted(tuple(r) for r in stored.groupBy("_of").count().collect())
+    firsts, total = [], 0
+    for of, count in found:
+        firsts.append((of, total))
+        total += count
+    if total >= 2**31:
+        raise ValueError("more than 2**31 frequent phrases of one length")
+    starts = stored.sparkSession.createDataFrame(firsts, "_of int, _first long")
+    return stored.join(F.broadcast(starts), "_of").withColumn("id", F.col("_first") + F.col("_place")).drop("_of", "_place", "_first")
 
 
 class Relations:
-    """Names the tables of one run and drops them in the end."""
+    """The tables of one run, in ``buckets`` buckets of parts; they are dropped in the end."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.run, self.names = spark, uuid.uuid4().hex, []
+    def __init__(self, spark: SparkSession, buckets: int):
+        self.spark, self.buckets, self.run, self.names = spark, buckets, uuid.uuid4().hex, []
+        self.strict = spark.conf.get(STRICT)
 
-    def keep(self, rows: DataFrame, level: int, buckets: int) -> DataFrame:
-        """``rows`` as a table in ``buckets`` buckets of whole texts, sorted by (doc, pos)."""
-        name = f"occurrences_{level}_{self.run}"
-        self.names.append(name)
-        rows.write.bucketBy(buckets, "doc").sortBy("doc", "pos").format("parquet").saveAsTable(name)
-        return self.spark.table(name)
+    def __enter__(self) -> Relations:
+        # a table bucketed by part alone is joined by part and position where it lies
+        self.spark.conf.set(STRICT, "false")
+        return self
 
-    def drop(self) -> None:
+    def __exit__(self, *_) -> None:
+        self.spark.conf.set(STRICT, self.strict)
         for name in self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.names.clear()
+
+    def keep(self, rows: DataFrame, level: int) -> DataFrame:
+        name = f"occurrences_{level}_{self.run}"
+        self.names.append(name)
+        rows.write.bucketBy(self.buckets, "part").sortBy("at").format("parquet").saveAsTable(name)
+        return self.spark.table(name)
 
 
 def adjacent(rows: DataFrame) -> DataFrame:
-    """(doc, pos, a, b): phrase b stands one position after phrase a; a merge join without a shuffle."""
-    after = rows.select("doc", (F.col("pos") - 1).alias("pos"), F.col("id").alias("b"))
-    return rows.withColumnRenamed("id", "a").hint("merge").join(after, ["doc", "pos"])
+    """(part, at, pair): phrases a and b, b one position after a; a merge join without a shuffle."""
+    after = rows.select("part", (F.col("at") - 1).alias("at"), F.col("id").alias("b"))
+    both = rows.hint("merge").join(after, ["at", "part"])
+    return both.select("part", "at", F.shiftleft("id", 32).bitwiseOR(F.col("b")).alias("pair"))
 
 
 def semi_join(rows: DataFrame, groups: DataFrame, keys: list[str], many: bool, buckets: int) -> DataFrame:
-    """(doc, pos, id) of the rows whose key is among ``groups``, dealt by text for the next merge join.
+    """(part, at, id) of the rows whose key is among ``groups``.
 
     A checked number of groups is broadcast and the rows stay where they are. More groups
-    are joined by their key, where Spark splits a hot key of the left side.
+    are joined by their key, where Spark splits a hot key of the left side, and the rows
+    are dealt by part again.
     """
     if many:
-        return rows.hint("merge").join(groups, keys).select("doc", "pos", "id").repartition(buckets, "doc")
-    return rows.join(F.broadcast(groups), keys).select("doc", "pos", "id")
+        return rows.hint("merge").join(groups, keys).select("part", "at", "id").repartition(buckets, "part")
+    return rows.join(F.broadcast(groups), keys).select("part", "at", "id")
 
 
 def frequent_words(vocabulary: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, last, n, before, after, id) of words with ``least`` occurrences in any case of letters."""
-    counted = vocabulary.groupBy("lang", lower_ascii(F.col("raw")).alias("phrase")).agg(F.sum("n").alias("n"))
+    """(lang, phrase, last, n, before, after, a, b) of words with ``least`` occurrences."""
     none = F.array().cast("array<long>")
-    return counted.where(F.col("n") >= least).select(
+    return vocabulary.where(F.col("n") >= least).select(
         "lang", "phrase", F.col("phrase").alias("last"), "n", none.alias("before"), none.alias("after"),
-        F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"), F.monotonically_increasing_id().alias("id"),
+        F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"),
     )
 
 
 def longer_phrases(counted: DataFrame, level: DataFrame) -> DataFrame:
-    """The next level from the frequent pairs (a, b, n) of overlapping phrases of this one.
+    """The next level from the frequent pairs (pair, n) of overlapping phrases of this one.
 
     ``before`` has the counts of the phrase's proper beginnings, shortest first, and
     ``after`` those of its proper endings, longest first: one of each for every cut.
@@ -110,11 +254,9 @@ def longer_phrases(counted: DataFrame, level: DataFrame) -> DataFrame:
     right = level.select(
         F.col("id").alias("b"), F.col("last").alias("last"), F.concat(F.array("n"), F.col("after")).alias("after")
     )
-    rows = counted.join(left, "a").join(right, "b")
-    return rows.select(
-        "lang", F.concat_ws(" ", "_head", "last").alias("phrase"), "last", "n", "before", "after", "a", "b",
-        F.monotonically_increasing_id().alias("id"),
-    )
+    parts = counted.select("n", F.shiftright("pair", 32).alias("a"), F.col("pair").bitwiseAND(F.lit(2**32 - 1)).alias("b"))
+    rows = parts.join(left, "a").join(right, "b")
+    return rows.select("lang", F.concat_ws(" ", "_head", "last").alias("phrase"), "last", "n", "before", "after", "a", "b")
 
 
 def score_cuts(phrases: DataFrame) -> DataFrame:
@@ -158,40 +300,39 @@ def collocations(
     pair give no rows. Extra columns are not read.
     """
     spark = docs.sparkSession
-    tokens = _tokens(docs, text_col, lang_col)
-    vocabulary = written(tokens.groupBy("lang", "raw").agg(F.count("*").alias("n")), "words-counted")
+    texts = docs.select(whole(docs[text_col]).alias("text"), F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"))
+    vocabulary = written(count_words(texts), "words-counted")
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
-    levels = [written(frequent_words(vocabulary, least), "phrases-1")]
-    total = levels[0].agg(F.sum("n")).first()[0] or 0
-    buckets = max(range_count(spark), -(-total // BUCKET_ROWS))
-    spelled = vocabulary.select("lang", "raw", lower_ascii(F.col("raw")).alias("phrase"))
-    spelled = written(spelled.join(levels[0].select("lang", "phrase", "id"), ["lang", "phrase"]).drop("phrase"), "spellings")
-    relations = Relations(spark)
-    try:
-        rows = semi_join(tokens, spelled, ["lang", "raw"], spelled.count() > broadcast_rows, buckets)
-        rows = relations.keep(rows.repartition(buckets, "doc"), 1, buckets)
+    levels = [with_dense_ids(frequent_words(vocabulary, least), "phrases-1")]
+    buckets = max(range_count(spark), docs.select(F.spark_partition_id().alias("part")).distinct().count())
+    if levels[0].count() <= broadcast_rows:
+        table = levels[0].select("lang", "phrase", "id").toArrow()
+        known = {}
+        for lang in pc.unique(table["lang"]).to_pylist():
+            mine = table.filter(pc.equal(table["lang"], lang))
+            known[lang] = (mine["phrase"].combine_chunks().cast(pa.large_string()), mine["id"].to_numpy())
+        found = word_places(texts, spark.sparkContext.broadcast(known))
+    else:
+        found = semi_join(word_rows(texts), levels[0].select("lang", "phrase", "id"), ["lang", "phrase"], True, buckets)
+    with Relations(spark, buckets) as relations:
+        rows = relations.keep(found, 1)
         for m in range(2, longest + 1):
             pairs = adjacent(rows)
-            counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-            level = written(longer_phrases(counted, levels[-1]), f"phrases-{m}")
+            counted = pairs.groupBy("pair").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+            level = with_dense_ids(longer_phrases(counted, levels[-1]), f"phrases-{m}")
             groups = level.count()
             if not groups:
                 break
             levels.append(level)
             if m < longest:
-                found = semi_join(pairs, level.select("a", "b", "id"), ["a", "b"], groups > broadcast_rows, buckets)
-                rows = relations.keep(found, m, buckets)
-        scored = None
-        for level, longer in zip(levels[1:], [*levels[2:], None]):
-            some = score_cuts(without_covered(level, longer))
-            scored = some if scored is None else scored.unionByName(some)
-        if scored is None:
-            return spark.createDataFrame(
-                [], "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
-            )
-        first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-        ranked = scored.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= reported)
-        ranked = ranked.withColumn("rank", F.col("rank").cast("long")).join(totals, "lang")
-        return ranked.withColumnRenamed("total", "n").select(*RESULT)
-    finally:
-        relations.drop()
+                keys = level.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("pair"), "id")
+                rows = relations.keep(semi_join(pairs, keys, ["pair"], groups > broadcast_rows, buckets), m)
+    scored = None
+    for level, longer in zip(levels[1:], [*levels[2:], None]):
+        some = score_cuts(without_covered(level, longer))
+        scored = some if scored is None else scored.unionByName(some)
+    if scored is None:
+        return spark.createDataFrame([], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")
+    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    ranked = scored.withColumn("rank", F.row_number().over(first).cast("long")).where(F.col("rank") <= reported)
+    return ranked.join(totals, "lang").withColumnRenamed("total", "n").select(*RESULT)

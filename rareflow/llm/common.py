@@ -17,6 +17,9 @@ from rareflow.session import fresh_path
 #: White space as the contracts define it: a blank and the control codes 9 to 13.
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
+#: Keys (8 bytes each) that are sent to every task at most.
+BROADCAST_KEYS = 1_000_000
+
 #: Rows that one task of a ranked window should hold, and the most buckets of a group.
 BUCKET_ROWS, MOST_BITS = 1000, 16
 
@@ -45,6 +48,35 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it if ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, label: str, **more: Column) -> tuple[DataFrame, str]:
+    """(``df`` as a written table with a key of its own for each row, the key's name).
+
+    The key is stored with the row, so it stays the same however later scans are cut.
+    ``more`` columns are worked out on the way; their names must be free.
+    """
+    line = free_name(df, "line_number")
+    return written(df.withColumns({line: F.monotonically_increasing_id(), **more}), label), line
+
+
+def without_lines(rows: DataFrame, line: str, doomed: DataFrame) -> DataFrame:
+    """``rows`` without those whose key is in ``doomed`` (one column, distinct), the key dropped.
+
+    So few doomed keys are broadcast; more are joined by key.
+    """
+    keys = doomed.toDF("_doomed")
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return rows.join(keys, F.col(line) == F.col("_doomed"), "left_anti").drop(line)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into the fold that nothing learns from."""
     rest = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

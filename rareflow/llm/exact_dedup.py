@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.llm.common import BLANK_RUN, whole, written
+from rareflow.llm.common import BLANK_RUN, numbered, whole, without_lines, written
 
 PREFIX = 256
 #: All bitmaps together: 2**25 bits, 1,024 bitmaps of 4 KB; their broadcast has this bound.
@@ -100,16 +100,10 @@ def exact_groups(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were.
 
-    The rows to drop are few and narrow; Spark broadcasts them if they are small, else
-    joins by id. Copies with the same id and text are reduced to one in the end.
+    The row of smallest id stays (a null id counts as the smallest), of rows that repeat
+    the id one. Null, empty and very long texts are texts like any other; an empty table
+    gives no rows. Rows are dropped by a key of their own, which is stored with them.
     """
-    verdict = exact_groups(docs, id_col, text_col, [F.sha2(normalised(docs[text_col]), 256).alias("_full")])
-    doomed = verdict.where("not kept and not (keep_id <=> {0})".format(f"`{id_col}`")).select(
-        F.col(id_col).alias("_id"), F.col("_full").alias("_of")
-    )
-    twice = verdict.where("not kept and (keep_id <=> {0})".format(f"`{id_col}`")).limit(1).count()
-    full = F.sha2(normalised(docs[text_col]), 256)
-    left = docs.join(doomed, docs[id_col].eqNullSafe(doomed["_id"]) & (full == doomed["_of"]), "left_anti")
-    if not twice:
-        return left
-    return left.withColumn("__full", full).dropDuplicates([id_col, "__full"]).drop("__full")
+    rows, line = numbered(docs, "dedup-lines")
+    verdict = exact_groups(rows, id_col, text_col, [F.col(line).alias("_line")])
+    return without_lines(rows, line, written(verdict.where("not kept").select("_line"), "dedup-dropped"))

@@ -61,15 +61,24 @@ def _letter_table() -> np.ndarray:
 
 def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray] | None:
     """(trigram codes, counts) of a text padded by a blank each side; None without a letter."""
-    parts = []
+    text = text.lower()  # as a whole, since a letter's case may depend on its neighbours
+    last, letters = np.zeros(1, np.int64), False
+    names, counts = [], []
     for at in range(0, max(1, len(text)), CHUNK):
-        codes = np.concatenate(([0], letters_of(text[at : at + CHUNK + PLACES - 1]), [0]))
-        if codes.any():
-            parts.append((codes[:-2] * LETTERS + codes[1:-1]) * LETTERS + codes[2:])
-    if not parts:
+        codes = letters_of(text[at : at + CHUNK])
+        letters = letters or bool(codes.any())
+        if at and len(codes) and codes[0] == 0 and last[-1] == 0:
+            codes = codes[1:]  # one run of other signs over the edge of a piece
+        end = [0] if at + CHUNK >= len(text) else []
+        codes = np.concatenate((last, codes, end)).astype(np.int64)
+        found = np.unique((codes[:-2] * LETTERS + codes[1:-1]) * LETTERS + codes[2:], return_counts=True)
+        names.append(found[0])
+        counts.append(found[1])
+        last = codes[-(PLACES - 1) :]
+    if not letters:
         return None
-    grams, counts = np.unique(np.concatenate(parts), return_counts=True)
-    return grams, counts
+    grams, where = np.unique(np.concatenate(names), return_inverse=True)
+    return grams, np.bincount(where, np.concatenate(counts)).astype(np.int64)
 
 
 def bundle(grams: np.ndarray, counts: np.ndarray, letters: np.ndarray) -> np.ndarray:
@@ -130,7 +139,6 @@ def identify(
     """
     names = sorted(prototypes)
     matrix = np.array([prototypes[n] for n in names]).reshape(len(names), DIMENSIONS)
-    rows = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
 
     def answer(text: str, letters: np.ndarray) -> tuple[str, float]:
         found = trigram_counts(text) if names else None
@@ -141,16 +149,15 @@ def identify(
         best = int(np.argmax(cosines))
         return names[best], float(1 / np.exp(SHARPNESS * (cosines - cosines[best])).sum())
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double")
+    def judged(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters = letter_vectors()
-        for frame in frames:
-            got = [answer(t, letters) for t in frame["text"]]
-            yield pd.DataFrame(
-                {"id": frame["id"], "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
-            )
+        for texts in parts:
+            got = [answer(t, letters) for t in texts]
+            yield pd.DataFrame({"lang_pred": [g[0] for g in got], "score": [g[1] for g in got]})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col), judged(whole(docs[text_col])).alias("_judged"))
+    return rows.select(F.col(id_col), "_judged.lang_pred", "_judged.score")
 
 
 def train_and_identify(

@@ -233,7 +233,7 @@ class LicenceModel:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenceModel:
-    """Trains on variants of the templates and ``BACKGROUND_ROWS`` paragraphs on average.
+    """Trains on variants of the templates and at most ``BACKGROUND_ROWS`` paragraphs.
 
     Without paragraphs in the corpus the background is a few made-up words.
     """
@@ -248,8 +248,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     checked += [(line, 0.0) for line in _variants(FOREIGN, draw)]
     none = float(len(names) - 1)
     made += [("lorem ipsum dolor", none), ("sit amet", none), ("consectetur", none)]
-    some = docs.select(F.col(id_col), F.col(text_col)).where(F.pmod(F.xxhash64(id_col, F.lit(SEED)), F.lit(997)) < _share(docs))
-    lines = paragraphs(some, id_col, text_col).where(~_looks_like_a_notice(F.col("words"))).select("words", F.lit(none).alias("label"))
+    lines = background(docs, id_col, text_col).select("words", F.lit(none).alias("label"))
     rows = _table(spark, made).unionByName(lines).select(grams(F.col("words")).alias("grams"), "label")
     rows = written(rows, "licence-train").coalesce(TRAIN_TASKS)
     counter = CountVectorizer(
@@ -267,10 +266,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     return model
 
 
-def _share(docs: DataFrame) -> int:
-    """Of 997 parts of the ids, how many give about ``BACKGROUND_ROWS`` paragraphs at ten a text."""
-    rows = docs.count()
-    return 997 if rows * 10 <= BACKGROUND_ROWS else max(1, round(997 * BACKGROUND_ROWS / (10 * rows)))
+def background(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``BACKGROUND_ROWS`` paragraphs that don't look like a notice, fewer only if there are no more.
+
+    About as many texts are drawn by a hash, at any size of the table, and of their
+    paragraphs those of least hash.
+    """
+    share = min(1.0, BACKGROUND_ROWS / max(1, docs.count()))
+    highest = min(2**63 - 1, int(-(2**63) + share * 2**64))
+    some = docs.select(F.col(id_col), F.col(text_col)).where(F.xxhash64(id_col, F.lit(SEED)) <= F.lit(highest))
+    lines = paragraphs(some, id_col, text_col).where(~_looks_like_a_notice(F.col("words"))).select("words")
+    return lines.orderBy(F.xxhash64("words"), "words").limit(BACKGROUND_ROWS)
 
 
 def _threshold(found: list[tuple[float, bool]]) -> float:

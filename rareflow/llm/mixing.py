@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rareflow.llm.common import running_total, spread_bits, whole, words, written
+from rareflow.llm.common import free_name, numbered, running_total, spread_bits, whole, words, written
+from rareflow.session import range_count
 
 GOLDEN = (math.sqrt(5) - 1) / 2
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -23,6 +24,10 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_PASSES = 3
 #: The schedule has about ``SLOTS`` slots, and more once blocks would hold over ``MOST_BLOCK`` words.
 SLOTS, MOST_BLOCK = 65_536, 4096
+#: Numbers of one source that are spelled out together.
+NUMBERS_APART = 8192
+#: Sources that are sent to every task at most; more are joined.
+BROADCAST_SOURCES = 100_000
 SEED = 9
 
 
@@ -61,6 +66,20 @@ def whole_words(goal: dict) -> dict:
     return {s: max(1, round(g)) if g > 0 else 0 for s, g in goal.items()}
 
 
+def numbers_of(spark: SparkSession, counts: list[int]) -> DataFrame:
+    """(number, place): 0, 1, 2, ... dealt out, ``counts[i]`` in a row to the place i."""
+    runs, first = [], 0
+    for place, count in enumerate(counts):
+        runs.append((place, first, first + count))
+        first += count
+    table = spark.createDataFrame(runs, "place int, first long, past long").where("first < past")
+    # a place of many numbers is cut into parts first, so that no task spells it out alone
+    parts = table.withColumn("from", F.explode(F.expr(f"sequence(first, past - 1, {NUMBERS_APART}L)")))
+    parts = parts.repartition(range_count(spark), "from")
+    past = F.least(F.col("past"), F.col("from") + NUMBERS_APART)
+    return parts.select(F.explode(F.sequence(F.col("from"), past - 1)).alias("number"), "place")
+
+
 def schedule(df: DataFrame, counts: list[int]) -> DataFrame:
     """(slot, place, rank): the place of each slot's source and its rank among that source's slots.
 
@@ -68,15 +87,11 @@ def schedule(df: DataFrame, counts: list[int]) -> DataFrame:
     their points, and each place has the next ``counts[i]`` numbers.
     """
     spark, slots = df.sparkSession, sum(counts)
-    edges = [sum(counts[: i + 1]) for i in range(len(counts))]
     # the point, modulo one, as an evenly spread signed integer
     point = F.expr(f"cast((pmod((id + 0.5D) * {GOLDEN!r}D, 1.0D) - 0.5D) * {2.0**64!r}D as long)")
     points = spark.range(slots).select(point.alias("point"), F.col("id").alias("slot"))
     rows = running_total(points, [], ["point", "slot"], F.lit(1).cast("long"), "number", spread_bits(slots))
-    place = F.lit(len(edges) - 1)
-    for i in reversed(range(len(edges) - 1)):
-        place = F.when(F.col("number") < edges[i], F.lit(i)).otherwise(place)
-    rows = rows.select("slot", place.alias("place"))
+    rows = rows.join(numbers_of(spark, counts), "number").select("slot", "place")
     # ranks: counts in runs of slots, then inside each run, so no source's slots meet in one task
     run = max(1024, slots // 65_536)
     rows = rows.withColumn("run", (F.col("slot") / run).cast("long"))
@@ -89,7 +104,7 @@ def schedule(df: DataFrame, counts: list[int]) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", line: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, pieces) of the mix.
 
@@ -97,9 +112,11 @@ def mix(
     slot, line, pass, start, length: the words of a row that a slot takes. A null text
     has no words; rows without words are in no piece. A null source is a source of its
     own, the last. Repeated rows are rows of their own. Empty tables give empty results.
+    ``line`` is a stored key of each row; by default rows are numbered here. The driver
+    sees one row for each source.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("line"),
+        (F.monotonically_increasing_id() if line is None else line).alias("line"),
         F.col(id_col).alias("id"),
         word_count(docs[text_col]).alias("size"),
         F.col(source_col).cast("string").alias("source"),
@@ -114,7 +131,8 @@ def mix(
         [(i, s, sizes[s], goal[s], take[s]) for i, s in enumerate(names)],
         "place int, source string, source_size long, target double, goal long",
     )
-    placed = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"]), "left").select(
+    small = len(names) <= BROADCAST_SOURCES
+    placed = rows.join(F.broadcast(table) if small else table, rows["source"].eqNullSafe(table["source"]), "left").select(
         "line", "id", "size", rows["source"], "source_size", "target", "place", "goal"
     )
     if not total:
@@ -152,15 +170,17 @@ def taken(docs: DataFrame, **columns) -> DataFrame:
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` as the mix reads them: each row once for every pass that takes its first word.
 
-    Rows without words stay once. All columns are kept as they were; repeated rows are
-    told apart by their place in the table, which must not change while this runs.
+    Rows without words stay once. All columns are kept as they were; rows, repeated ones
+    too, are told apart by a key that is stored with them. An empty table gives no rows.
     """
-    rows, pieces = mix(docs, id_col, text_col, source_col)
-    times = pieces.where("start = 0").groupBy("line").agg(F.countDistinct("pass").alias("__times"))
+    stored, line = numbered(docs, "mix-lines")
+    rows, pieces = mix(stored, id_col, text_col, source_col, F.col(line))
+    times = pieces.where("start = 0").groupBy("line").agg(F.countDistinct("pass").alias("times"))
     often = rows.select("line", "size").join(times, "line", "left").select(
-        F.col("line").alias("__line"),
-        F.when(F.col("size") > 0, F.coalesce("__times", F.lit(0))).otherwise(1).cast("int").alias("__times"),
+        F.col("line").alias("_of"),
+        F.when(F.col("size") > 0, F.coalesce("times", F.lit(0))).otherwise(1).cast("int").alias("_times"),
     )
-    numbered = docs.withColumn("__line", F.monotonically_increasing_id())
-    out = numbered.join(often.where("__times > 0"), "__line")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__line", "__times", "__copy")
+    names = [free_name(stored, c) for c in ("mix_of", "mix_times", "mix_copy")]
+    often = often.where("_times > 0").toDF(*names[:2])
+    out = stored.join(often, stored[line] == F.col(names[0]))
+    return out.withColumn(names[2], F.explode(F.sequence(F.lit(1), F.col(names[1])))).select(*(f"`{c}`" for c in docs.columns))

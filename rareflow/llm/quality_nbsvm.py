@@ -25,7 +25,8 @@ from rareflow.llm.common import held_out, whole
 
 #: Labelled rows that the model is fitted on; of larger tables a hash picks so many on average.
 TRAIN_ROWS = 6000
-#: N-grams that fewer texts of the sample have are left out; most n-grams that are kept.
+#: Parameters of the fit: n-grams that fewer texts of the sample have are left out, and no
+#: more than the most frequent ``MOST_GRAMS`` get a weight. Scores read every n-gram of a text.
 LEAST_TEXTS, MOST_GRAMS = 5, 60_000
 SEED = 8
 PENALTY, EPOCHS = 0.3, 30
@@ -85,18 +86,20 @@ class Grams:
         if not lines:
             return np.array([_hash("empty")], np.int64)
         found, seen, held, held_words = [], set(), [], 0
+        before = np.zeros(0, np.uint64)  # the last marks of the piece before, for runs over its edge
         for line, words in lines:
             held.append((words, line in seen))
             seen.add(line)
             held_words += len(words)
             if held_words > CHUNK_WORDS:
-                found += self._grams(held)
+                some, before = self._grams(held, before)
+                found += some
                 held, held_words = [], 0
         if held:
-            found += self._grams(held)
+            found += self._grams(held, before)[0]
         return np.unique(np.concatenate(found))
 
-    def _grams(self, lines: list[tuple[list[str], bool]]) -> list[np.ndarray]:
+    def _grams(self, lines: list[tuple[list[str], bool]], before: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         ids = self._number([w for words, _ in lines for w in words])
         sizes = np.array([len(words) for words, _ in lines])
         line = np.repeat(np.arange(len(lines)), sizes)
@@ -105,7 +108,8 @@ class Grams:
         later[1:][(ids[1:] == ids[:-1]) & (line[1:] == line[:-1])] = 2
         ends = np.array([7 if again else 3 for _, again in lines], np.uint64)
         marks = np.insert(self.shapes[ids] + later, np.cumsum(sizes), ends)
-        return [self.names[np.unique(ids)], *_runs(marks)]
+        marks = np.concatenate([before, marks])
+        return [self.names[np.unique(ids)], *_runs(marks)], marks[-2:]
 
 
 def _runs(marks: np.ndarray) -> list[np.ndarray]:
@@ -267,12 +271,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     A null text counts as empty, and an empty text has one n-gram that says so. Repeated
     rows get equal scores, a null id stays null, and an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def judged(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         grams = Grams()
-        for frame in frames:
-            yield pd.DataFrame({"id": frame["id"], "score": [model.score(grams.of(t)) for t in frame["text"]]})
+        for texts in parts:
+            yield pd.Series([model.score(grams.of(t)) for t in texts], dtype="float64")
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col), judged(whole(docs[text_col])).alias("score"))

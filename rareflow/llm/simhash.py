@@ -11,23 +11,16 @@ most ``SMALL`` fingerprints gives its pairs; the fingerprints of larger buckets
 on each point of the ball of radius one around them instead, where two of them meet
 exactly if they are at distance two or less. A point holds at most 65 fingerprints, so
 no group's size grows any list, and no link is lost.
-
-``similar_documents`` groups documents by Jaccard similarity of word shingles. At 0.8
-the fingerprints differ in some ten bits, too many for blocks of 64, so candidates come
-from bands of minimum hashes over the same shingle hashes, are discarded by the pivot
-tables at a wide radius, and verified on the whole texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.llm.common import whole, written
+from rareflow.llm.common import free_name, numbered, whole, without_lines, written
 from rareflow.llm.components import components
 
 SEED = 42
@@ -38,15 +31,6 @@ SMALL = 32
 #: Shingles whose hashes are worked on at a time, so that a text of any length fits.
 CHUNK = 65_536
 
-#: Document similarity: bands of minimum hashes, and the bits that no pair of documents
-#: at the least similarity differs in (about ten on average, three each way as spread,
-#: when a text's repeated shingles count once, as they do in the similarity).
-BANDS, ROWS = 32, 6
-CENTRES, CENTRE_SETS = 4, 4
-WIDE_RADIUS = 26
-#: Shingles whose minimum hashes are worked on at a time: few enough to stay in a core's cache.
-MIN_CHUNK = 1024
-
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
     """XXH64 (seed 42) of every shingle of ``size`` words, lower-cased A to Z, in order.
@@ -77,16 +61,14 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, fp) of every row, from its whole text."""
-    rows = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
+def fingerprint_of(text: Column, size: int) -> Column:
+    """The fingerprint of a whole text; the other columns of its row stay on the JVM side."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            fps = [fingerprint(shingle_hashes(t, size)) for t in frame["text"]]
-            yield pd.DataFrame({"id": frame["id"], "fp": np.array(fps, dtype=np.int64)})
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(shingle_hashes(t, size)) for t in texts], dtype="int64")
 
-    return rows.mapInPandas(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp long")
+    return run(whole(text))
 
 
 def pivots(count: int = PIVOTS) -> list[int]:
@@ -167,7 +149,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other. Rows with a null id belong to their component but never name it unless all
     its ids are null. Repeated rows each get a row; an empty table gives none.
     """
-    prints = written(fingerprints(docs, id_col, text_col, size), "simhash-prints")
+    rows = docs.select(F.col(id_col).alias("id"), fingerprint_of(docs[text_col], size).alias("fp"))
+    prints = written(rows, "simhash-prints")
     firsts = prints.groupBy("fp").agg(F.min("id").alias("first"))
     firsts = written(firsts, "simhash-distinct")
     roots = components(linked_fingerprints(firsts.select("fp")))
@@ -179,157 +162,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(verdict, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-# ---- documents at a similarity of word shingles ------------------------------
-
-
-def _band_rows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, fp, bands): the distinct shingles' fingerprint and a hash of each band of their minimum hashes.
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of linked fingerprints, all columns as they were.
 
-    Texts without a word have no band and are like nothing.
+    The row of smallest id stays, a null id coming last; of rows that repeat the id, the
+    one that comes first. Rows count by themselves, so an id that two texts share drops
+    neither. Texts without words are one group. An empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
-    rng = np.random.default_rng(SEED)
-    factors = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
-    masks = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
-
-    def bands(h: np.ndarray) -> list[int]:
-        import xxhash
-
-        short = (h >> np.uint64(32)).astype(np.uint32)
-        least = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
-        for at in range(0, len(short), MIN_CHUNK):
-            mixed = short[at : at + MIN_CHUNK, None] ^ masks
-            mixed *= factors
-            np.minimum(least, mixed.min(axis=0), out=least)
-        cells = least.reshape(BANDS, ROWS)
-        return [xxhash.xxh64_intdigest(row.tobytes(), i) - 2**63 for i, row in enumerate(cells)]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            fps, keys = [], []
-            for text in frame["text"]:
-                h = np.unique(shingle_hashes(text, size))
-                fps.append(fingerprint(h))
-                keys.append(bands(h) if len(h) else [])
-            yield pd.DataFrame({"id": frame["id"], "fp": np.array(fps, dtype=np.int64), "bands": keys})
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, fp long, bands array<long>")
-
-
-def jaccard(left: str, right: str, size: int) -> float:
-    a, b = np.unique(shingle_hashes(left, size)), np.unique(shingle_hashes(right, size))
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / max(1, len(a) + len(b) - both)
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, least: float) -> DataFrame:
-    """The pairs (u, v) whose whole texts are at least ``least`` similar."""
-    texts = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
-
-    @F.pandas_udf("double")
-    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y, size) for x, y in zip(a, b)], dtype="float64")
-
-    first, second = texts.toDF("u", "left"), texts.toDF("v", "right")
-    both = pairs.join(first, "u").join(second, "v")
-    return both.where(similarity("left", "right") >= least).select("u", "v")
-
-
-def _rare_keys(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, least: float) -> DataFrame:
-    """(id, band, key, total, rest): the rarest shingles of the documents ``ids``, so many that similar ones share a key.
-
-    Texts of similarity ``least`` share that part of either's shingles, so that if these are
-    put in one order, rarest first, and all but that part less one are taken of each text,
-    the two have a taken one in common. What many texts share comes last and is not taken;
-    what only one text has needs no key. ``total`` counts a text's shingles and ``rest``
-    those from the key on: at their first common key two texts can have no more in common
-    than the smaller rest. ``band`` is -1.
-    """
-    texts = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text")).join(ids, "id", "left_semi")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in frame["text"]]
-            yield pd.DataFrame({"id": frame["id"], "keys": sets})
-
-    sets = texts.mapInPandas(run, f"id {docs.schema[id_col].dataType.simpleString()}, keys array<long>")
-    each = written(sets.select("id", F.size("keys").alias("n"), F.explode("keys").alias("key")), "similar-shingles")
-    shared = each.join(each.groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1"), "key")
-    by_text = shared.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("texts", "key"))).alias("keys"))
-    taken = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.size("keys"))
-    rarest = F.slice("keys", F.lit(1), F.greatest(taken, F.lit(0)).cast("int"))
-    keys = by_text.select("id", "n", F.size("keys").alias("many"), F.posexplode(rarest).alias("at", "k"))
-    return keys.select("id", F.lit(-1).alias("band"), "k.key", F.col("n").alias("total"), (F.col("many") - F.col("at")).alias("rest"))
-
-
-def similar_documents(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = 5,
-    similarity: float = 0.8,
-) -> DataFrame:
-    """(id, root) of the rows that a chain of similar texts links to another; root is the smallest id.
-
-    Two texts of similarity 0.8 share no bucket with a chance of 0.00006, less above. A
-    bucket with at most ``SMALL`` rows gives its pairs. In a larger one all rows are
-    compared with ``CENTRES`` of them, which links most copies of one text at n pairs a
-    centre. Its rows then get new buckets by their rarest shingles, of which similar texts
-    share one for certain, and each round counts four times as many rows as small, so
-    rounds are few and every pair that shares a bucket is compared at last, unless links
-    found by then connect its texts already. A bucket whose rows are all connected is
-    done. Ids must be unique longs; rows with a null id take no part.
-    """
-    rows = written(_band_rows(docs.where(F.col(id_col).isNotNull()), id_col, text_col, size), "similar-rows")
-    bucket = ["band", "key"]
-    none = F.lit(0)
-    open_ = rows.select(
-        "id", "fp", F.posexplode("bands").alias("band", "key"), none.alias("total"), none.alias("rest"),
-        F.col("id").alias("root"),
-    )
-    enough = F.least("a.rest", "b.rest") * (1 + similarity) >= (F.col("a.total") + F.col("b.total")) * similarity - 1e-6
-    may_match = (F.col("a.root") != F.col("b.root")) & enough & may_be_near(WIDE_RADIUS) & are_near(WIDE_RADIUS)
-    roots, limit = None, SMALL
-    while True:
-        sizes = open_.groupBy(bucket).agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
-        sizes = sizes.where("least < most").drop("least", "most")
-        sized = written(open_.join(sizes, bucket), "similar-open")
-        small, large = sized.where(F.col("n") <= limit), sized.where(F.col("n") > limit)
-        near = (
-            with_pivots(small).alias("a").join(with_pivots(small).alias("b"), bucket)
-            .where(F.col("a.id") < F.col("b.id")).where(may_match)
-            .select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
-        )
-        crowded = not large.isEmpty()
-        if crowded:
-            draw = F.xxhash64("id", F.col("band") % CENTRE_SETS, F.lit(limit))
-            centres = (
-                large.groupBy(*bucket, F.pmod(draw, F.lit(CENTRES)).alias("share"))
-                .agg(F.min(F.struct(draw.alias("draw"), "id", "fp", "total", "rest", "root")).alias("first"))
-                .select(*bucket, "first.id", "first.fp", "first.total", "first.rest", "first.root")
-            )
-            to_centre = (
-                with_pivots(large).alias("a").join(with_pivots(centres).alias("b"), bucket)
-                .where(F.col("a.id") != F.col("b.id")).where(may_match)
-                .select(F.least("a.id", "b.id").alias("u"), F.greatest("a.id", "b.id").alias("v"))
-            )
-            near = near.unionByName(to_centre)
-        links = written(_verified(near.distinct(), docs, id_col, text_col, size, similarity), "similar-links")
-        if roots is None:
-            roots = components(links).withColumnsRenamed({"node": "id"})
-        elif not links.isEmpty():
-            known = roots.select(F.col("id").alias("u"), F.col("root").alias("v"))
-            roots = components(known.unionByName(links)).withColumnsRenamed({"node": "id"})
-        if not crowded:
-            return roots
-        stay = large.select("id", "fp").distinct().join(roots, "id", "left")
-        stay = written(stay.withColumn("root", F.coalesce("root", "id")), "similar-stay")
-        open_ = _rare_keys(stay.select("id"), docs, id_col, text_col, size, similarity).join(stay, "id")
-        limit *= 4
-
-
-def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with the row of smallest id of each group of similar documents, all columns kept."""
-    groups = similar_documents(docs, id_col, text_col, **how).where("id <> root").select(F.col("id").alias("_id"))
-    return docs.join(groups, docs[id_col] == groups["_id"], "left_anti")
+    fp = free_name(docs, "fingerprint")
+    rows, line = numbered(docs, "simhash-rows", **{fp: fingerprint_of(docs[text_col], size)})
+    prints = rows.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(line).alias("line"))
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "line")
+    firsts = written(prints.groupBy("fp").agg(F.min(place).alias("first")), "simhash-distinct")
+    roots = components(linked_fingerprints(firsts.select("fp")))
+    named = firsts.join(roots, firsts["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    keep = named.groupBy("root").agg(F.min("first").alias("first"))
+    stays = written(keep.select("first.line"), "simhash-kept")
+    doomed = prints.select("line").join(stays, "line", "left_anti")
+    return without_lines(rows.drop(fp), line, written(doomed, "simhash-dropped"))

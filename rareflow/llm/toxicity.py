@@ -20,18 +20,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.llm.common import held_out, whole
+from rareflow.llm.common import held_out, whole, written
 
 #: Labelled rows that are learned from; of larger tables a hash picks so many on average.
 TRAIN_ROWS = 6000
 SEED = 1
 #: A word or beginning is toxic if toxic texts have it at least so often, and so many times as often.
 LEAST_TEXTS, LEAST_RATIO = 3, 8.0
-#: The field is fitted on all lines with a toxic token and so many lines without one.
-CLEAN_LINES = 5000
+#: The field is fitted on so many lines with a toxic token and without one, drawn by a hash.
+MARKED_LINES, CLEAN_LINES = 15_000, 5000
+#: Longer lines are cut after so many words for fitting (for scoring they are whole).
+LINE_WORDS = 256
 EPOCHS, BATCH_LINES, RATE, DECAY = 6, 128, 0.3, 1e-5
-#: Texts of the sample that the curve from evidence to scores is fitted on.
-CURVE_TEXTS = 3000
 MEMO = 400_000
 #: Sequences of one forward-backward pass hold about this many tokens together.
 BATCH_TOKENS = 400_000
@@ -154,22 +154,53 @@ def texts_to_chances(model: Field, texts: list[str]) -> Iterator[tuple[list[list
             yield lines, chances[a:b]
 
 
-def toxic_cues(found: list[tuple[int, str]]) -> set[str]:
-    """Words and beginnings that toxic texts have often and clean texts hardly."""
-    toxic, clean = Counter(), Counter()
-    n1 = sum(label for label, _ in found)
-    n0 = len(found) - n1
-    for label, text in found:
-        if label:
-            toxic.update({b for w in set(text.split()) for b in beginnings(w)})
-    toxic = {b: n for b, n in toxic.items() if n >= LEAST_TEXTS}
-    for label, text in found:
-        if not label:
-            clean.update({b for w in set(text.split()) for b in beginnings(w) if b in toxic})
-    return {
-        b for b, n in toxic.items()
-        if n / (n1 + 1) >= LEAST_RATIO * (clean[b] + 0.5) / (n0 + 1) and clean[b] * 8 <= n
-    }
+def toxic_cues(rows: DataFrame, toxic: int, clean: int) -> set[str]:
+    """Words and beginnings that the toxic texts have often and the clean texts hardly."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            counts = [Counter(), Counter()]
+            for label, text in zip(frame["label"], frame["text"]):
+                counts[label].update({b for w in set(text.split()) for b in beginnings(w)})
+            found = [(b, counts[1][b], counts[0][b]) for b in counts[0].keys() | counts[1].keys()]
+            yield pd.DataFrame(found, columns=["cue", "toxic", "clean"])
+
+    part = rows.mapInPandas(run, "cue string, toxic long, clean long")
+    total = part.groupBy("cue").agg(F.sum("toxic").alias("n"), F.sum("clean").alias("m")).where(F.col("n") >= LEAST_TEXTS)
+    often = F.col("n") / (toxic + 1) >= LEAST_RATIO * (F.col("m") + 0.5) / (clean + 1)
+    return {r["cue"] for r in total.where(often & (F.col("m") * 8 <= F.col("n"))).select("cue").collect()}
+
+
+def training_lines(rows: DataFrame, cues: set[str]) -> list[tuple[list[str], np.ndarray]]:
+    """(words, labels) of ``MARKED_LINES`` lines with a toxic word and ``CLEAN_LINES`` without one at most.
+
+    Only the drawn lines reach the driver.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            known: dict[str, str] = {}
+            out = []
+            for label, text in zip(frame["label"], frame["text"]):
+                for line in text.split("\n"):
+                    words = line.split()
+                    for at in range(0, len(words), LINE_WORDS):
+                        some = words[at : at + LINE_WORDS]
+                        if label:
+                            for w in some:
+                                if w not in known:
+                                    known[w] = "1" if any(b in cues for b in beginnings(w)) else "0"
+                        gold = "".join([known[w] for w in some]) if label else "0" * len(some)
+                        out.append((" ".join(some), gold, "1" in gold))
+            yield pd.DataFrame(out, columns=["line", "gold", "marked"])
+
+    lines = rows.mapInPandas(run, "line string, gold string, marked boolean")
+    lines = written(lines.withColumn("draw", F.xxhash64("line", F.lit(SEED))), "toxic-lines")
+    drawn = []
+    for marked, most in ((True, MARKED_LINES), (False, CLEAN_LINES)):
+        drawn += lines.where(F.col("marked") == marked).orderBy("draw", "line", "gold").limit(most).collect()
+    one = {}  # equal words share one string
+    return [([one.setdefault(w, w) for w in r["line"].split(" ")], np.frombuffer(r["gold"].encode(), np.uint8) - 48) for r in drawn]
 
 
 def fit_field(lines: list[tuple[list[str], np.ndarray]]) -> tuple[float, dict[str, float], np.ndarray]:
@@ -222,33 +253,32 @@ def fit_curve(evidence: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return beta
 
 
-def fit(found: list[tuple[int, str]]) -> Field:
-    """The field of (label, text) rows; without toxic rows every score is low."""
-    labels = np.array([label for label, _ in found])
-    if not labels.any():
+def evidence_rows(rows: DataFrame, model: Field) -> np.ndarray:
+    """(label, most toxic token, expected number) of each row, in an order of their own."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [evidence_of(c) for _, c in texts_to_chances(model, frame["text"].tolist())]
+            most, many = zip(*found) if found else ((), ())
+            yield pd.DataFrame({"label": frame["label"], "most": most, "many": many})
+
+    found = rows.mapInPandas(run, "label int, most double, many double").collect()
+    return np.array(sorted(map(tuple, found)), dtype=float).reshape(-1, 3)
+
+
+def fit(rows: DataFrame) -> Field:
+    """The field of the sampled (label, text) rows; without toxic rows every score is low.
+
+    Words are counted, lines drawn and evidence worked out in tasks; the driver gets the
+    cues, the drawn lines and three numbers a text.
+    """
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if not counts.get(1):
         return Field(-4.0, {}, np.zeros((2, 2)), np.array([0.0, 0.0, -4.0]))
-    cues = toxic_cues(found)
-    known: dict[str, int] = {}
-    marked, plain = [], []
-    for label, text in found:
-        for line in text.split("\n"):
-            words = line.split()
-            if not words:
-                continue
-            if label:
-                for w in words:
-                    if w not in known:
-                        known[w] = int(any(b in cues for b in beginnings(w)))
-            gold = np.array([known[w] if label else 0 for w in words])
-            (marked if gold.any() else plain).append((words, gold))
-    rng = np.random.default_rng(SEED)
-    few = rng.permutation(len(plain))[:CLEAN_LINES]
-    lines = marked[: 3 * CLEAN_LINES] + [plain[i] for i in sorted(few)]
+    lines = training_lines(rows, toxic_cues(rows, counts[1], counts.get(0, 0)))
     model = Field(*fit_field(lines), np.zeros(3))
-    some = np.sort(rng.permutation(len(found))[:CURVE_TEXTS])
-    evidence = np.array([evidence_of(c) for _, c in texts_to_chances(model, [found[i][1] for i in some])])
-    model.curve = fit_curve(evidence, labels[some])
-    model.memo.clear()
+    found = evidence_rows(rows, model)
+    model.curve = fit_curve(found[:, 1:], found[:, 0])
     return model
 
 
@@ -258,15 +288,14 @@ def train(
 ) -> Field:
     """Learns from labelled rows outside the held-out fold, ``train_rows`` on average."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")
+        F.col(id_col).alias("_id"), (F.col(label_col) > 0).cast("int").alias("label")
     )
     known = known.where(~held_out(F.col("_id"), folds, fold)).dropDuplicates(["_id"])
     total = known.count()
     if total > train_rows:
         known = known.where(F.xxhash64("_id", F.lit(SEED)) < F.lit(int(-(2**63) + train_rows / total * 2**64)))
     texts = docs.select(F.col(id_col).alias("_id"), whole(docs[text_col]).alias("text"))
-    rows = texts.join(F.broadcast(known), "_id").select("label", "text")
-    return fit(sorted((int(r["label"] > 0), r["text"]) for r in rows.collect()))
+    return fit(written(texts.join(F.broadcast(known), "_id").select("label", "text"), "toxic-sample"))
 
 
 def _spans(lines: list[list[str]], chances: np.ndarray) -> list[tuple[int, int, float]]:
@@ -291,20 +320,18 @@ def score(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str =
     Null and blank texts have no token and get the score of no evidence. Repeated rows
     get equal scores, a null id stays null, and an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), whole(docs[text_col]).alias("text"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            evidence, spans = [], []
-            for lines, chances in texts_to_chances(model, frame["text"].tolist()):
-                evidence.append(evidence_of(chances))
-                spans.append(_spans(lines, chances))
-            scores = model.document_score(np.array(evidence).reshape(-1, 2))
-            yield pd.DataFrame({"id": frame["id"], "score": scores, "spans": spans})
+    @F.pandas_udf("score double, spans array<struct<first:int,past:int,chance:double>>")
+    def judged(text: pd.Series) -> pd.DataFrame:
+        evidence, spans = [], []
+        for lines, chances in texts_to_chances(model, text.tolist()):
+            evidence.append(evidence_of(chances))
+            spans.append([dict(zip(("first", "past", "chance"), span)) for span in _spans(lines, chances)])
+        scores = model.document_score(np.array(evidence).reshape(-1, 2))
+        return pd.DataFrame({"score": scores, "spans": pd.Series(spans, dtype=object)})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    spans = "array<struct<first:int,past:int,chance:double>>"
-    return rows.mapInPandas(run, f"id {kind}, score double, spans {spans}").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col), judged(whole(docs[text_col])).alias("_judged"))
+    return rows.select(F.col(id_col), "_judged.score", "_judged.spans")
 
 
 def drop_toxic(
@@ -312,7 +339,9 @@ def drop_toxic(
 ) -> DataFrame:
     """``docs`` without the rows that score ``least`` or more; all columns as they were.
 
-    The verdict is worked out where the text lies and nothing is shuffled.
+    The verdict is worked out where the text lies and nothing is shuffled. Null, blank and
+    empty texts have no toxic token and stay, repeated rows stay or go together, very long
+    texts are read whole, and an empty table gives no rows.
     """
     model = train(docs, labels, id_col=id_col, text_col=text_col)
 

@@ -70,7 +70,7 @@ def run_all(spark, docs, labels_, few=False):
         "copies": exact_dedup.drop_copies(docs),
         "rules": quality_rules.judge(docs),
         "near": simhash.near_duplicates(docs),
-        "similar": simhash.drop_similar(docs),
+        "near kept": simhash.drop_near_copies(docs),
         "shards": sharding.shard_rows(docs, rounds=2),
         "mix": mixing.taken(docs),
         "mixed": mixing.mixed(docs),
@@ -225,30 +225,22 @@ def test_pivots_never_discard_a_link():
         assert all(abs((a ^ p % 2**64).bit_count() - (b ^ p % 2**64).bit_count()) <= 2 for p in simhash.pivots())
 
 
-def test_similar_documents(docs, texts):
-    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
-    pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    want = {i for i, root in chain(pairs, sets).items() if i == root}
-    assert {r.doc_id for r in simhash.drop_similar(docs).select("doc_id").collect()} == want
+def test_near_copies_leave_one_row_of_each_group(docs, texts):
+    prints = {i: brute_fingerprint(t) for i, t in texts.items()}
+    ids = sorted(prints)
+    pairs = [(a, b) for a in ids for b in ids if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(chain(pairs, ids).values()))
 
 
-def test_similar_documents_in_crowded_buckets(spark, monkeypatch):
-    """A family of variants and texts that share only a passage, in several rounds, against brute force."""
-    monkeypatch.setattr(simhash, "SMALL", 8)
-    rng = np.random.default_rng(3)
-    base, passage = [f"b{i}" for i in range(100)], [f"p{i}" for i in range(60)]
-    texts = {}
-    for i in range(120):
-        variant = list(base)
-        for at in rng.integers(0, 100, rng.integers(0, 7)):
-            variant[at] = f"v{i}_{at}"
-        texts[2 * i] = " ".join(variant)
-        texts[2 * i + 1] = " ".join(passage + [f"u{i}_{j}" for j in range(rng.integers(5, 40))])
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
-    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    want = {i for i, root in chain(pairs, sets).items() if i == root}
-    assert {r.doc_id for r in simhash.drop_similar(docs).select("doc_id").collect()} == want
+def test_near_copies_with_repeated_ids(spark):
+    """An id that unlike texts share drops neither; rows count by themselves."""
+    other = "quite other words stand in this text and nothing is like it at all"
+    rows = [(3, PROSE), (5, PROSE), (5, other), (None, PROSE), (7, None), (8, ""), (None, other + " x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text) for r in simhash.drop_near_copies(docs).collect()}
+    assert got == {(3, PROSE), (5, other), (7, None), (None, other + " x y z")}
 
 
 def test_packing_round_trip(spark, sf_dir, texts):
@@ -282,6 +274,91 @@ def test_packing_round_trip(spark, sf_dir, texts):
     assert padding < 0.04 * total
 
 
+def test_short_texts_are_packed_with_little_padding(spark):
+    import public_tokenizers
+
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("a b c d e f").alias("text")).coalesce(2)
+    rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sum(0 if r.n & (r.n - 1) == 0 else 1024 - r.n for r in rows) < 0.04 * sum(r.n for r in rows)
+    assert max(r.n for r in rows) == 1024
+
+
+def test_rank_file_has_the_vocabulary():
+    import base64
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
+    assert packing.same_vocabulary(path, ranks)
+    first, second = list(ranks)[300:302]
+    assert not packing.same_vocabulary(path, ranks | {first: ranks[second], second: ranks[first]})
+    encoder = packing.Encoder(path, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert encoder.fast is not None
+    rng = np.random.default_rng(5)
+    letters = [chr(c) for c in (*range(9, 127), 0xE4, 0x3A3, 0x4E2D, 0x1F600, 0xD800)]
+    for _ in range(400):
+        text = "".join(rng.choice(letters, rng.integers(0, 60)))
+        assert encoder.ids(text) == encoder.slow.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("ids", [(2**53 + 1, None, -5), ("a", None, "b")])
+def test_ids_come_out_as_they_went_in(spark, some_labels, ids):
+    import public_tokenizers
+
+    kind = "string" if isinstance(ids[0], str) else "long"
+    docs = spark.createDataFrame([(i, PROSE, "en") for i in ids], f"doc_id {kind}, text string, lang string").coalesce(1)
+    names = some_labels.select(F.col("doc_id").cast(kind).alias("doc_id"), "quality", "toxic")
+    out = [
+        packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")), simhash.near_duplicates(docs),
+        toxicity.score(docs, toxicity.train(docs, names)), quality_nbsvm.score(docs, quality_nbsvm.train(docs, names)),
+        language_id.train_and_identify(docs),
+    ]
+    for rows in out:
+        assert dict(rows.dtypes)["doc_id"] == ("string" if kind == "string" else "bigint")
+        assert {r.doc_id for r in rows.collect()} == set(ids)
+
+
+def test_columns_that_clash_with_helpers_stay(spark):
+    names = "doc_id long, text string, source string, line_number string, fingerprint string, __line string, __full string, mix_times string, mix_of string"
+    docs = spark.createDataFrame([(i, PROSE + f" {i % 3}", "a", *"xyzuvw") for i in range(9)], names)
+    for out in (exact_dedup.drop_copies(docs), simhash.drop_near_copies(docs), mixing.mixed(docs)):
+        rows = out.collect()
+        assert out.columns == docs.columns and rows and {tuple(r)[3:] for r in rows} == {tuple("xyzuvw")}
+
+
+def test_grams_over_the_edge_of_a_piece(monkeypatch):
+    text = "\n".join(f"word{i} other{i % 7} A{i}!" for i in range(500))
+    whole = quality_nbsvm.Grams().of(text)
+    monkeypatch.setattr(quality_nbsvm, "CHUNK_WORDS", 40)
+    assert np.array_equal(quality_nbsvm.Grams().of(text), whole)
+
+
+def test_trigrams_over_the_edge_of_a_piece(monkeypatch):
+    text = " .Ab cd,  ef--gh\u00c4\u4e2d 12 x" * 40
+    whole = language_id.trigram_counts(text)
+    for size in (1, 2, 3, 7, 50):
+        monkeypatch.setattr(language_id, "CHUNK", size)
+        assert all(np.array_equal(a, b) for a, b in zip(language_id.trigram_counts(text), whole))
+
+
+def test_mix_of_many_sources(spark):
+    docs = spark.range(10_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 5000).alias("source"), F.lit("some words here now").alias("text")
+    )
+    got = mixing.taken(docs).groupBy("source").agg(F.sum("taken").alias("took"), F.max("target").alias("goal")).collect()
+    assert len(got) == 5000 and all(abs(r.took - r.goal) <= 0.5 for r in got)
+
+
+def test_rule_costs_stand_clear_of_an_empty_rule(spark):
+    text = "some words stand here, one after the other! " * 60
+    sample = spark.createDataFrame([(text,)] * 60, "text string").coalesce(1).persist()
+    rules = {"none": lambda: F.length("text") < 0, "slow": lambda: F.length(F.regexp_replace("text", "[aeiou]+", "")) < 0}
+    costs = quality_rules.rule_costs(sample, rules)
+    assert costs["slow"] > 5 * costs["none"]
+
+
 def test_pieces_cover_every_length():
     for n in range(1, 4000):
         pieces = packing.pieces_of(n)
