@@ -28,8 +28,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts whose sets of five-word shingles are 0.8 similar or more, in chains, leave one."""
-    return simhash.drop_similar(docs, size=5, similarity=0.8)
+    """Fingerprints of three-word shingles that differ in two bits or fewer, in chains, leave one text."""
+    return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
