@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rareflow.llm.common import whole, written
-from rareflow.session import range_count
 
 LEAST, LONGEST, REPORTED = 30, 4, 2000
 #: A phrase goes if a longer one has at least this share of its occurrences.
@@ -33,10 +32,12 @@ SHARE = (80, 100)
 #: Frequent groups that are broadcast to the semi-join; beyond it both sides are shuffled.
 BROADCAST_ROWS = 600_000
 
+#: Buckets for each part, so that few parts share one, and the most that Spark allows.
+BUCKETS_A_PART, MOST_BUCKETS = 4, 100_000
 STRICT = "spark.sql.requireAllClusterKeysForCoPartition"
 BLANKS, MARKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 #: Bytes of text that are split into words at a time.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 RESULT = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
@@ -304,7 +305,8 @@ def collocations(
     vocabulary = written(count_words(texts), "words-counted")
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
     levels = [with_dense_ids(frequent_words(vocabulary, least), "phrases-1")]
-    buckets = max(range_count(spark), docs.select(F.spark_partition_id().alias("part")).distinct().count())
+    parts = docs.select(F.spark_partition_id().alias("part")).distinct().count()
+    buckets = min(MOST_BUCKETS, BUCKETS_A_PART * max(1, parts))
     if levels[0].count() <= broadcast_rows:
         table = levels[0].select("lang", "phrase", "id").toArrow()
         known = {}
