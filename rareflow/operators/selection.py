@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rareflow.functions.shape import edge_codes, stats_by_feature
-from rareflow.operators.ordering import average_ranks, fits_broadcast, lookup_by_value, prefix_sums, value_counts
+from rareflow.operators.ordering import BROADCAST_VALUES, average_ranks, fits_broadcast, lookup_by_value, prefix_sums, value_counts
 from rareflow.operators.profile import correlation_matrix
 from rareflow.operators.quantiles import exact_quantiles
-from rareflow.session import shared_dir
+from rareflow.session import shared_dir, stored
 
 
 def variances(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -57,28 +57,60 @@ def _pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
 
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of average ranks; hot values never reach one task.
+    """Pearson correlation of average ranks, over the rows in which both columns are not null.
 
-    The table is written out after a column whose ranks are too many to broadcast, as
-    the next column would otherwise repeat that join.
+    A column without nulls has one ranking beside the others without; where a pair has
+    nulls, both columns are ranked among the rows that the pair shares. All rankings are
+    worked out together: values fold to counts of (ranking, value), and these are cut
+    into ranges that carry their totals on. Hot values never reach one task.
     """
-    total = df.count()
-    ranked = df.select(*cols)
-    for c in cols:
-        ranks = average_ranks(df.select(c), c).select(c, "n", F.col("rank").alias(f"rank_{c}"))
-        small = fits_broadcast(df, c)
-        ranked = lookup_by_value(ranked, ranks, c, total, broadcast=small).drop("n")
-        if not small:
-            shared_dir(df.sparkSession)
-            ranked = ranked.checkpoint()
-    row = ranked.agg(
-        *[F.corr(f"rank_{a}", f"rank_{b}").alias(f"{a}__{b}") for a, b in _pairs(cols)]
-    ).first()
-    return df.sparkSession.createDataFrame(
+    cols = list(cols)
+    spark = df.sparkSession
+    counts = df.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in cols]).first()
+    holey = {c for c in cols if counts[c] < counts["_all"]}
+    rankings: dict[tuple[str, str | None], int] = {}
+    for a, b in _pairs(cols):
+        shared = a in holey or b in holey
+        for c, other in ((a, b), (b, a)):
+            rankings.setdefault((c, other if shared else None), len(rankings))
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).cast("double").alias(c) for c in cols])
+    rows = stored(rows, "rows-to-rank")
+    each = [
+        F.struct(F.lit(i).alias("ranking"), (F.col(c) if o is None else F.when(F.col(o).isNotNull(), F.col(c))).alias("value"))
+        for (c, o), i in rankings.items()
+    ]
+    long = rows.select("_row", F.inline(F.array(*each))).where(F.col("value").isNotNull())
+    ranks = stored(average_ranks(long, "value", ["ranking"]).select("ranking", "value", "n", "rank"), "ranks")
+    total, distinct = counts["_all"], ranks.count()
+    ranked = _ranks_of(long, ranks, total, distinct <= BROADCAST_VALUES)
+    wide = ranked.groupBy("_row").agg(
+        *[F.max(F.when(F.col("ranking") == i, F.col("rank"))).alias(f"_{i}") for i in rankings.values()]
+    )
+    of = {
+        (a, b): tuple(rankings[c, o if a in holey or b in holey else None] for c, o in ((a, b), (b, a)))
+        for a, b in _pairs(cols)
+    }
+    row = wide.agg(*[F.corr(f"_{i}", f"_{j}").alias(f"{a}__{b}") for (a, b), (i, j) in of.items()]).first()
+    return spark.createDataFrame(
         [(a, b, row[f"{a}__{b}"]) for a, b in _pairs(cols)], "left string, right string, corr double"
     )
 
 
+def _ranks_of(long: DataFrame, ranks: DataFrame, total: int, broadcast: bool, share: int = 1000) -> DataFrame:
+    """(_row, ranking, rank): every value's rank in its ranking.
+
+    Beyond a checked number of ranks, those of values that hold more than 1/``share`` of
+    the rows, fewer than ``share`` in a ranking, are broadcast and the rest is joined.
+    """
+    on = ["ranking", "value"]
+    if broadcast:
+        return long.join(F.broadcast(ranks.drop("n")), on).select("_row", "ranking", "rank")
+    limit = F.lit(max(1, total // share))
+    hot, cold = F.broadcast(ranks.where(F.col("n") > limit).drop("n")), ranks.where(F.col("n") <= limit).drop("n")
+    found = long.join(hot, on).unionByName(long.join(hot, on, "left_anti").join(cold, on))
+    return found.select("_row", "ranking", "rank")
+
+
 def _with_codes(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
     """Columns as the dense ranks of their values from 0, null for null, and each column's number of values.
 

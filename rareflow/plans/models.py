@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from rareflow.functions.shape import V_COLS
 from rareflow.operators import evaluation as ev
 from rareflow.operators import models as md
+from rareflow.operators import parzen
 from rareflow.operators import selection as sel
 from rareflow.operators import tuning as tn
 from rareflow.operators.profile import target_correlation
@@ -124,6 +126,15 @@ def _(spark, sf):
     return tn.random_search(p["train"], COLS, md.boosted(10, 3), ranges, trials=4)[1]
 
 
+@query("M10_parzen_search")
+def _(spark, sf):
+    """100 trials over penalties of the logistic model, poor ones stopped after a fold."""
+    df = transactions(spark, sf).select("txn_id", "Class", *COLS)
+    ranges = {"regParam": parzen.Range(1e-6, 1.0, log=True), "elasticNetParam": parzen.Range(0.0, 1.0)}
+    make = lambda v: LogisticRegression(maxIter=50, weightCol="weight", **v)
+    return parzen.parzen_search(df, COLS, make, ranges, trials=100)[1]
+
+
 @query("M11_train_several")
 def _(spark, sf):
     p = parts(spark, sf)

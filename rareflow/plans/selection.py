@@ -95,6 +95,34 @@ def _(spark, sf):
     return rounded(sel.spearman_pairs(table(spark, sf, "lineitem"), WIDE))
 
 
+# a null wherever one column says so, so that pairs share fewer rows than each column has
+_HOLES = (
+    "SELECT CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS qty, l_extendedprice AS price, "
+    "CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_discount END AS discount, l_tax AS tax FROM lineitem"
+)
+_HOLEY = ["qty", "price", "discount", "tax"]
+
+
+def _pairwise_sql(a, b):
+    rank = "RANK() OVER (ORDER BY {0}) + (COUNT(*) OVER (PARTITION BY {0}) - 1)/2.0"
+    return (
+        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", {R('corr(x, y)')} AS corr FROM "
+        f"(SELECT {rank.format(a)} AS x, {rank.format(b)} AS y FROM h WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    )
+
+
+@query(
+    "F3_spearman_with_nulls",
+    f"WITH h AS ({_HOLES}) " + " UNION ALL ".join(_pairwise_sql(a, b) for i, a in enumerate(_HOLEY) for b in _HOLEY[i + 1 :]),
+)
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").selectExpr(
+        "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS qty", "l_extendedprice AS price",
+        "CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_discount END AS discount", "l_tax AS tax",
+    )
+    return rounded(sel.spearman_pairs(rows, _HOLEY))
+
+
 _FEW = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 

@@ -10,7 +10,7 @@ from rareflow.operators import models as md
 from rareflow.operators import scoring as sc
 from rareflow.operators.quantiles import grouped_quantiles
 from rareflow.plans.catalog import EV, R, query, rounded, score_sql
-from rareflow.plans.windows import _ENTITY, _sql
+from rareflow.plans.windows import _ENTITY, _cols
 from rareflow.sources.views import reference_and_current, table, transactions, v_columns
 from rareflow.streaming import jobs
 from rareflow.streaming import sources as src
@@ -132,10 +132,31 @@ def _(spark, sf):
     ).withColumn("late_groups_dropped", F.lit(int(dropped)).cast("bigint"))
 
 
-@query("ST8_user_rolling", _sql(_ENTITY, sizes=(3, 10), partition="PARTITION BY user_id"))
+def _user_rolling_sql(rows="TRUE"):
+    cols = _cols("us, txn_id", sizes=(3, 10), partition="PARTITION BY user_id")
+    some = ", ".join(f"{cols[n]} AS {n}" for n in _ENTITY)
+    return (
+        f"WITH {E}, x AS (SELECT * FROM e WHERE {rows}), r AS (SELECT txn_id, us, {some} FROM x) "
+        f"SELECT txn_id, {', '.join(_ENTITY)} FROM r, wm WHERE us <= wm"
+    )
+
+
+@query("ST8_user_rolling", _user_rolling_sql())
+def _(spark, sf):
+    ref, cur = reference_and_current(src.raw_events(spark, sf))
+    with src.keyed_state(spark):
+        out = src.run_append(jobs.user_rolling(src.replay_stream(spark, [ref, cur]), (3, 10)), "user-rolling")
+    return rounded(out.select("txn_id", *_ENTITY))
+
+
+@query("ST8_user_rolling_late", _user_rolling_sql("ts >= TIMESTAMP '2024-01-16'"))
 def _(spark, sf):
+    """The older half comes last and lies behind the watermark, so that it is in no window."""
     ref, cur = reference_and_current(src.raw_events(spark, sf))
-    out = jobs.user_rolling(src.replay_stream(spark, [ref, cur]), (3, 10))
+    middle = F.expr("TIMESTAMP_NTZ'2024-01-23 00:00:00'")
+    parts = [cur.where(F.col("ts") < middle), cur.where(F.col("ts") >= middle), ref]
+    with src.keyed_state(spark):
+        out = src.run_append(jobs.user_rolling(src.replay_stream(spark, parts), (3, 10)), "user-rolling")
     return rounded(out.select("txn_id", *_ENTITY))
 
 

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "rareflow") -> SparkSession:
@@ -52,6 +52,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, with its size known and no lineage."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def range_count(spark: SparkSession) -> int:
     """How many ranges ordered operators cut their key into."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rareflow.operators import evaluation as ev
 from rareflow.operators.drift import EPS, Bins
-from rareflow.operators.rolling import rolling
-from rareflow.streaming.sources import run_batches
+from rareflow.streaming.state import RollingRows, rolling_schema
 
 DELAY = "10 minutes"
 
@@ -101,32 +100,16 @@ def deduplicated(stream: DataFrame, delay: str = "2 days") -> DataFrame:
     return stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["txn_id"])
 
 
-def user_rolling(stream: DataFrame, sizes: Sequence[int] = (3, 10)) -> DataFrame:
-    """Rolling features per user that continue across micro-batches.
+def user_rolling(stream: DataFrame, sizes: Sequence[int] = (3, 10), delay: str = DELAY) -> DataFrame:
+    """Rolling features of every user's last rows, in event-time order, as keyed state.
 
-    The state is a table with the last rows of every user. Each micro-batch is
-    computed as state plus new rows by the batch operator, which also splits hot
-    users; results and state are written per batch number, so a repeated batch
-    overwrites itself.
+    A row's result leaves once the watermark has passed the row. Only users with new or
+    due rows are read and written in a micro-batch. Needs a state store with column
+    families (``sources.keyed_state``). One user's rows are worked on in one task.
     """
-    spark = stream.sparkSession
-    reach = max(sizes) - 1
-    cols = ["txn_id", "user_id", "Time", "Amount", "Class"]
-
-    def handle(batch: DataFrame, batch_id: int, path: str) -> None:
-        s = batch.sparkSession
-        rows = batch.select(*cols, F.lit(True).alias("_new"))
-        if batch_id > 0:
-            old = s.read.parquet(f"{path}/state/{batch_id - 1}").withColumn("_new", F.lit(False))
-            rows = old.unionByName(rows)
-        rows = rows.persist()
-        out = rolling(rows, sizes, by=["user_id"]).where("_new").drop("_new")
-        out.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
-        last = Window.partitionBy("user_id").orderBy(F.col("Time").desc(), F.col("txn_id").desc())
-        rows.withColumn("_back", F.row_number().over(last)).where(F.col("_back") <= reach).select(
-            *cols
-        ).write.mode("overwrite").parquet(f"{path}/state/{batch_id}")
-        rows.unpersist()
-
-    path = run_batches(stream, "user-rolling", handle)
-    return spark.read.parquet(f"{path}/data").drop("batch")
+    rows = watermarked(stream, delay).select(
+        "user_id", "event_time", F.unix_micros("event_time").alias("event_us"), "txn_id", "Amount", "Class"
+    )
+    return rows.groupBy("user_id").transformWithStateInPandas(
+        RollingRows(sizes), rolling_schema(sizes), outputMode="append", timeMode="eventTime"
+    )

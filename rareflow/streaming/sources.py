@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,16 +69,16 @@ def run_append(stream: DataFrame, label: str, progress: list | None = None) -> D
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def run_batches(stream: DataFrame, label: str, handle: Callable[[DataFrame, int, str], None]) -> str:
-    """Hand every micro-batch to ``handle(batch, batch_id, path)``; returns the path."""
-    path = fresh_path(stream.sparkSession, label)
-    query = (
-        stream.writeStream.foreachBatch(lambda df, i: handle(df, i, path))
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return path
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, which keyed state and timers need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

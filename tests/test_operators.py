@@ -11,6 +11,7 @@ from rareflow.functions.bands import AMOUNT_BINS_6, confidence, drift_severity,
 from rareflow.operators import anomaly, drift, neighbours, quality, scaling
 from rareflow.operators import evaluation as ev
 from rareflow.operators import models as md
+from rareflow.operators import parzen
 from rareflow.operators import registry as rg
 from rareflow.operators import scoring as sc
 from rareflow.operators import selection as sel
@@ -18,6 +19,7 @@ from rareflow.operators import tuning as tn
 from rareflow.session import fresh_path
 from rareflow.sources import tables
 from rareflow.sources.views import labelled_events, transactions
+from rareflow.streaming import state
 
 
 @pytest.fixture(scope="module")
@@ -88,15 +90,45 @@ def _brute(q, p, k):
     return out
 
 
-@pytest.mark.parametrize("block", [7, 1000])
-def test_nearest_equals_brute_force(cloud, block):
+@pytest.mark.parametrize("piece", [7, 1000])
+def test_nearest_equals_brute_force(cloud, piece, monkeypatch):
     pdf, df = cloud
-    got = neighbours.nearest(df.where("Class = 1"), df, list("abcd"), 3, block=block).toPandas()
+    monkeypatch.setattr(neighbours, "POINT_PIECE", piece)
+    monkeypatch.setattr(neighbours, "QUERY_PIECE", piece)
+    monkeypatch.setattr(neighbours, "CELL_POINTS", 40)
+    got = neighbours.nearest(df.where("Class = 1"), df, list("abcd"), 3).toPandas()
     want = _brute(pdf[pdf.Class == 1], pdf, 3)
     got = got.sort_values("place").groupby("query_id").point_id.apply(list).to_dict()
     assert got == want
 
 
+def test_nearest_on_odd_rows(spark):
+    schema = "txn_id long, a double, b double, Class int"
+    rows = [(1, 0.0, 0.0, 1), (2, 0.0, None, 0), (3, float("nan"), 1.0, 0), (4, 1.0, 1.0, 1), (5, 1.0, 1.0, 0), (6, float("inf"), 0.0, 1)]
+    df = spark.createDataFrame(rows, schema)
+    got = neighbours.nearest(df.where("Class = 1"), df, ["a", "b"], 5).collect()
+    assert sorted((r.query_id, r.place, r.point_id) for r in got) == [(1, 0, 4), (1, 1, 5), (4, 0, 5), (4, 1, 1)]
+    assert neighbours.nearest(df.limit(0), df, ["a", "b"], 2).collect() == []
+    assert neighbours.nearest(df, df.limit(0), ["a", "b"], 2).collect() == []
+    assert neighbours.nearest(df, df, ["a", "b"], 0).collect() == []
+
+
+def test_visited_pairs_grow_slower_than_all_pairs(spark):
+    """Four times the clusters, rows and queries: far fewer than sixteen times the pairs meet."""
+    met = []
+    for clusters in (60, 240):
+        rng = np.random.default_rng(9)
+        x = np.repeat(rng.normal(size=(clusters, 4)) * 40, 60, axis=0) + rng.normal(size=(clusters * 60, 4))
+        pdf = pd.DataFrame(x, columns=list("abcd")).assign(txn_id=range(len(x)), Class=0)
+        df = spark.createDataFrame(pdf)
+        pairs: list[int] = []
+        asked = df.where("txn_id % 10 = 0")
+        got = neighbours.nearest(asked, df, list("abcd"), 2, pairs=pairs)
+        assert got.count() == 2 * asked.count() and 1 <= len(pairs) <= 6
+        met.append(sum(pairs) / (len(x) * len(x) / 10))
+    assert met[1] < 0.6 * met[0] and met[0] < 0.6
+
+
 def test_tomek_links_equal_brute_force(cloud):
     pdf, df = cloud
     one = {k: v[0] for k, v in _brute(pdf, pdf, 1).items()}
@@ -272,10 +304,16 @@ def test_ensembles(separable):
     scored = md.member_scores(separable, models).withColumn("label", F.col("Class"))
     w, ap = md.search_weights(scored, ["a", "b"])
     assert math.isclose(sum(w), 1.0) and min(w) >= 0
-    singles = [
-        ev.average_precision(scored.select("label", F.round(f"score_{n}", 4).alias("score"))).first()[0] for n in base
-    ]
-    assert ap >= max(singles) - 1e-9
+    rows = scored.select("label", "score_a", "score_b").toPandas()
+
+    def precision(scores):
+        order = rows.assign(s=scores).groupby("s").label.agg(["sum", "count"]).sort_index(ascending=False).cumsum()
+        recall = order["sum"] / order["sum"].iloc[-1]
+        return float((recall.diff().fillna(recall.iloc[0]) * order["sum"] / order["count"]).sum())
+
+    every = [precision(rows.score_a * k / 20 + rows.score_b * (20 - k) / 20) for k in range(0, 21, 2)]
+    assert math.isclose(ap, precision(rows.score_a * w[0] + rows.score_b * w[1]), rel_tol=1e-9)
+    assert ap >= max(every) - 1e-12
     stacked = md.fit_stacking(separable, COLS, base, folds=3)
     assert ev.roc_auc(md.score(separable, stacked)).first()[0] > 0.9
 
@@ -386,3 +424,67 @@ def test_late_rows_are_counted(spark, sf_dir):
     newer = labelled_events(spark, sf_dir).where("ts >= TIMESTAMP_NTZ'2024-01-16 00:00:00'").count()
     assert r.late_groups_dropped > 0
     assert 0 < r.rows_counted <= newer  # no row of the older half is counted
+
+
+def test_parzen_beats_random_draws_on_a_known_surface():
+    def surface(u):
+        return -((u[0] - 0.23) ** 2) - 4 * (u[1] - 0.81) ** 2 - 0.5 * abs(u[2] - 0.5)
+
+    guided, random_ = [], []
+    for seed in range(12):
+        rng, done = np.random.default_rng(seed), []
+        while len(done) < 60:
+            units = [rng.random(3) if len(done) < 10 else parzen.propose(done, 3, rng) for _ in range(4)]
+            done += [(u, surface(u)) for u in units]
+        guided.append(max(m for _, m in done))
+        random_.append(max(surface(u) for u in np.random.default_rng(100 + seed).random((60, 3))))
+    assert np.mean(guided) > 0.5 * np.mean(random_) and sum(g > r for g, r in zip(guided, random_)) >= 9
+
+
+def test_parzen_densities_and_ranges():
+    centres = np.array([0.1, 0.15, 0.9])
+    x = np.linspace(0, 1, 20_001)
+    assert math.isclose(np.exp(parzen.log_density(x, centres)).mean(), 1.0, rel_tol=1e-3)
+    drawn = parzen.draw(centres, np.random.default_rng(1), 4000)
+    assert drawn.min() >= 0 and drawn.max() <= 1 and (drawn < 0.4).mean() > 0.5
+    whole, log = parzen.Range(3, 10), parzen.Range(0.01, 0.3, log=True)
+    assert {whole.value(u) for u in np.linspace(0, 1, 400)} == set(range(3, 11))
+    assert math.isclose(log.value(0.5), math.sqrt(0.003)) and math.isclose(log.value(0), 0.01) and math.isclose(log.value(1), 0.3)
+
+
+def test_parzen_search_on_rows(separable):
+    ranges = {"regParam": parzen.Range(1e-5, 1.0, log=True), "elasticNetParam": parzen.Range(0.0, 1.0)}
+    best, table = parzen.parzen_search(
+        separable, COLS, lambda v: md.logistic(1.0).copy().setParams(**v), ranges, trials=10, startup=4, batch=2, folds=2
+    )
+    rows = table.orderBy("trial").collect()
+    assert [r.trial for r in rows] == list(range(10)) and sum(r.is_best for r in rows) == 1
+    assert all(1e-5 <= r.regParam <= 1 and 0 <= r.elasticNetParam <= 1 for r in rows)
+    top = next(r for r in rows if r.is_best)
+    assert not top.stopped and top.metric == max(r.metric for r in rows if not r.stopped) and best["regParam"] == top.regParam
+    assert all(r.folds == 2 or r.stopped for r in rows)
+
+
+def test_trial_below_the_median_stops():
+    others = [parzen.Trial(i, np.zeros(1), [v, v]) for i, v in enumerate((0.1, 0.2, 0.3, 0.4))]
+    assert parzen.should_stop(parzen.Trial(9, np.zeros(1), [0.24]), others)
+    assert not parzen.should_stop(parzen.Trial(9, np.zeros(1), [0.26]), others)
+    assert not parzen.should_stop(parzen.Trial(9, np.zeros(1), [0.0]), others[:3])
+
+
+def test_spearman_ranks_each_pair_by_itself(spark):
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame(rng.integers(0, 40, (400, 3)).astype(float), columns=list("xyz"))
+    pdf["y"] += pdf.x
+    pdf.loc[rng.random(400) < 0.5, "z"] = None
+    pdf.loc[rng.random(400) < 0.2, "x"] = None
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "x double, y double, z double")
+    want = pdf.corr(method="spearman")
+    for r in sel.spearman_pairs(df, list("xyz")).collect():
+        assert math.isclose(r.corr, want.loc[r.left, r.right], abs_tol=1e-9)
+
+
+def test_rolling_values_of_late_history():
+    rows = [(1, 1, 2.0, 0), (2, 2, 4.0, 1), (3, 3, None, None), (4, 4, 9.0, 1)]
+    got = state.rolling_values(rows, 2, (3,))
+    assert got == [[3.0, pytest.approx(2**0.5), 3, 0.5], [6.5, pytest.approx(12.5**0.5), 3, 1.0]]
