@@ -34,10 +34,9 @@ BROADCAST_ROWS = 600_000
 
 #: Buckets for each part, so that few parts share one, and the most that Spark allows.
 BUCKETS_A_PART, MOST_BUCKETS = 4, 100_000
-STRICT = "spark.sql.requireAllClusterKeysForCoPartition"
 BLANKS, MARKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 #: Bytes of text that are split into words at a time.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 RESULT = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
@@ -194,17 +193,25 @@ def with_dense_ids(rows: DataFrame, label: str) -> DataFrame:
 class Relations:
     """The tables of one run, in ``buckets`` buckets of parts; they are dropped in the end."""
 
-    def __init__(self, spark: SparkSession, buckets: int):
-        self.spark, self.buckets, self.run, self.names = spark, buckets, uuid.uuid4().hex, []
-        self.strict = spark.conf.get(STRICT)
+    #: A table bucketed by part alone is joined by part and position where it lies, and
+    #: texts go to Python in small batches.
+    SETTINGS = {
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    }
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.buckets, self.run, self.names = spark, 1, uuid.uuid4().hex, []
+        self.before = {k: spark.conf.get(k, None) for k in self.SETTINGS}
 
     def __enter__(self) -> Relations:
-        # a table bucketed by part alone is joined by part and position where it lies
-        self.spark.conf.set(STRICT, "false")
+        for k, v in self.SETTINGS.items():
+            self.spark.conf.set(k, v)
         return self
 
     def __exit__(self, *_) -> None:
-        self.spark.conf.set(STRICT, self.strict)
+        for k, v in self.before.items():
+            self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         for name in self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -302,11 +309,29 @@ def collocations(
     """
     spark = docs.sparkSession
     texts = docs.select(whole(docs[text_col]).alias("text"), F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"))
+    with Relations(spark) as relations:
+        totals, levels = _mined(docs, texts, relations, least, longest, broadcast_rows)
+    scored = None
+    for level, longer in zip(levels[1:], [*levels[2:], None]):
+        some = score_cuts(without_covered(level, longer))
+        scored = some if scored is None else scored.unionByName(some)
+    if scored is None:
+        return spark.createDataFrame([], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")
+    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    ranked = scored.withColumn("rank", F.row_number().over(first).cast("long")).where(F.col("rank") <= reported)
+    return ranked.join(totals, "lang").withColumnRenamed("total", "n").select(*RESULT)
+
+
+def _mined(
+    docs: DataFrame, texts: DataFrame, relations: Relations, least: int, longest: int, broadcast_rows: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """(words of each language, frequent phrases of one word, two words and so on)."""
+    spark = docs.sparkSession
     vocabulary = written(count_words(texts), "words-counted")
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
     levels = [with_dense_ids(frequent_words(vocabulary, least), "phrases-1")]
     parts = docs.select(F.spark_partition_id().alias("part")).distinct().count()
-    buckets = min(MOST_BUCKETS, BUCKETS_A_PART * max(1, parts))
+    buckets = relations.buckets = min(MOST_BUCKETS, BUCKETS_A_PART * max(1, parts))
     if levels[0].count() <= broadcast_rows:
         table = levels[0].select("lang", "phrase", "id").toArrow()
         known = {}
@@ -316,25 +341,16 @@ def collocations(
         found = word_places(texts, spark.sparkContext.broadcast(known))
     else:
         found = semi_join(word_rows(texts), levels[0].select("lang", "phrase", "id"), ["lang", "phrase"], True, buckets)
-    with Relations(spark, buckets) as relations:
-        rows = relations.keep(found, 1)
-        for m in range(2, longest + 1):
-            pairs = adjacent(rows)
-            counted = pairs.groupBy("pair").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-            level = with_dense_ids(longer_phrases(counted, levels[-1]), f"phrases-{m}")
-            groups = level.count()
-            if not groups:
-                break
-            levels.append(level)
-            if m < longest:
-                keys = level.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("pair"), "id")
-                rows = relations.keep(semi_join(pairs, keys, ["pair"], groups > broadcast_rows, buckets), m)
-    scored = None
-    for level, longer in zip(levels[1:], [*levels[2:], None]):
-        some = score_cuts(without_covered(level, longer))
-        scored = some if scored is None else scored.unionByName(some)
-    if scored is None:
-        return spark.createDataFrame([], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")
-    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(first).cast("long")).where(F.col("rank") <= reported)
-    return ranked.join(totals, "lang").withColumnRenamed("total", "n").select(*RESULT)
+    rows = relations.keep(found, 1)
+    for m in range(2, longest + 1):
+        pairs = adjacent(rows)
+        counted = pairs.groupBy("pair").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+        level = with_dense_ids(longer_phrases(counted, levels[-1]), f"phrases-{m}")
+        groups = level.count()
+        if not groups:
+            break
+        levels.append(level)
+        if m < longest:
+            keys = level.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("pair"), "id")
+            rows = relations.keep(semi_join(pairs, keys, ["pair"], groups > broadcast_rows, buckets), m)
+    return totals, levels
