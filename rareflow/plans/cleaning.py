@@ -48,13 +48,17 @@ def _(spark, sf):
     return quality.duplicate_report(with_duplicates(transactions(spark, sf)).drop("ts"))
 
 
+_EVERY = ["user_id", "Time", *V_COLS, "Amount", "Class"]
+
+
 @query(
     "Q2_drop_null_rows",
-    f"WITH {T}, {MISSING} SELECT txn_id, {R('V1')} AS V1, {R('Amount')} AS Amount FROM m WHERE V1 IS NOT NULL AND Amount IS NOT NULL",
+    f"WITH {T}, {MISSING} SELECT txn_id, user_id, {R('Time')} AS Time, " + ", ".join(f"{R(c)} AS {c}" for c in V_COLS)
+    + f", {R('Amount')} AS Amount, Class FROM m WHERE ts IS NOT NULL AND " + " AND ".join(f"{c} IS NOT NULL" for c in _EVERY),
 )
 def _(spark, sf):
-    df = with_missing(transactions(spark, sf)).select("txn_id", "V1", "Amount")
-    return rounded(quality.drop_null_rows(df))
+    df = with_missing(transactions(spark, sf))
+    return rounded(quality.drop_null_rows(df).select("txn_id", *_EVERY))
 
 
 def _fill_sql(fn):

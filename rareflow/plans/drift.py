@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rareflow.functions.bands import drift_severity
+from rareflow.functions.shape import V_COLS
 from rareflow.operators import drift, monitoring
 from rareflow.operators import evaluation as ev
 from rareflow.plans.catalog import EV, R, S, T, query, r6, rounded
@@ -270,13 +271,14 @@ def _(spark, sf):
     return rounded(psi.join(drift.ks_two_sample(ref, cur, ["score"]), "feature").select("feature", "psi", "ks_stat"))
 
 
-_WEEKLY = ["V1", "V2", "Amount"]
+_WEEKLY = [*V_COLS, "Amount"]
+_WEEKLY_SQL = ", ".join(_WEEKLY)
 
 
 @query(
     "PM6_weekly_drift",
-    f"WITH {T}, z AS (SELECT CASE WHEN ts < {CUT} THEN -1 ELSE CAST(floor(Time/604800.0) AS INT) END AS week, V1, V2, Amount FROM t), "
-    "u AS (UNPIVOT z ON V1, V2, Amount INTO NAME feature VALUE value), "
+    f"WITH {T}, z AS (SELECT CASE WHEN ts < {CUT} THEN -1 ELSE CAST(floor(Time/604800.0) AS INT) END AS week, {_WEEKLY_SQL} FROM t), "
+    f"u AS (UNPIVOT z ON {_WEEKLY_SQL} INTO NAME feature VALUE value), "
     "b AS (SELECT feature, MIN(value) AS lo, MAX(value) AS hi, LEAST(10, COUNT(DISTINCT value)) AS k FROM u GROUP BY feature), "
     "w AS (SELECT week, u.feature, CAST(LEAST(k-1, floor((value-lo)/((hi-lo)/k))) AS INT) AS bin FROM u JOIN b USING (feature)), "
     "nw AS (SELECT week, COUNT(*) AS n FROM z GROUP BY week), "

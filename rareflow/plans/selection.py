@@ -231,3 +231,22 @@ def _(spark, sf):
     write_selection(spark, path, ["V3", "V1", "Amount"], {"V3": 3.0, "V1": 2.0, "Amount": 1.0})
     names = read_selection(spark, path)
     return rounded(transactions(spark, sf).select("txn_id", "Class", *names))
+
+
+@query(
+    "F13_fitted_selection",
+    f"WITH {T}, {ANOVA}, o AS (SELECT feature FROM f ORDER BY f_score DESC, feature LIMIT 10), "
+    f"v AS (UNPIVOT (SELECT txn_id, Class, {', '.join(ALL)} FROM t) ON {', '.join(ALL)} INTO NAME feature VALUE value) "
+    f"SELECT txn_id, Class, feature, {R('value')} AS value FROM v JOIN o USING (feature)",
+)
+def _(spark, sf):
+    """The ten best columns by F score, saved, read back and applied to the table."""
+    from rareflow.session import fresh_path
+    from rareflow.sources.reports import read_selection, write_selection
+
+    df = transactions(spark, sf)
+    best = sel.select_k_best(sel.anova_f(df, ALL), "f_score", 10).collect()
+    path = fresh_path(spark, "selection")
+    write_selection(spark, path, [r.feature for r in best], {r.feature: r.f_score for r in best})
+    names = read_selection(spark, path)
+    return rounded(df.select("txn_id", "Class", *names).unpivot(["txn_id", "Class"], names, "feature", "value"))
