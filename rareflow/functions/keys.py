@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ KEY_SPACE = 4294967296
 #: Odd factors below 2**31, so that products of 32-bit numbers fit a long, and shifts.
 ROUNDS = ((1103515245, 15), (2146121005, 13), (1540483477, 16))
 SEED_STEP = 2654435769
+#: From the seed of a normal draw's radius to that of its angle.
+ANGLE = 50_000
 
 
 def perm_key(row_id, seed: int = 42) -> Column:
@@ -28,3 +32,9 @@ def perm_key(row_id, seed: int = 42) -> Column:
 def unit_draw(row_id, seed: int = 42) -> Column:
     """The permutation key scaled to [0, 1)."""
     return perm_key(row_id, seed) / F.lit(float(KEY_SPACE))
+
+
+def normal_draw(row_id, seed: int = 42) -> Column:
+    """A standard normal number from two permutation keys of the row (Box and Muller): the same in any partition."""
+    radius = F.sqrt(F.lit(-2.0) * F.ln((perm_key(row_id, seed) + F.lit(0.5)) / F.lit(float(KEY_SPACE))))
+    return radius * F.cos(F.lit(2.0 * math.pi) * unit_draw(row_id, seed + ANGLE))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rareflow.functions.keys import KEY_SPACE, ROUNDS, SEED_STEP
+from rareflow.functions.keys import ANGLE, KEY_SPACE, ROUNDS, SEED_STEP
 from rareflow.functions.shape import V_COLS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,9 @@ def pk_sql(col: str = "txn_id", seed: int = 42) -> str:
         key = f"(({key} * {factor} + {seed * SEED_STEP % KEY_SPACE}) % {KEY_SPACE})"
         key = f"xor({key}, {key} >> {shift})"
     return key
+
+
+def normal_sql(col: str = "txn_id", seed: int = 42) -> str:
+    """The arithmetic of ``functions.keys.normal_draw``."""
+    radius = f"sqrt(-2.0 * ln(({pk_sql(col, seed)} + 0.5) / {KEY_SPACE}.0))"
+    return f"({radius} * cos(2.0 * pi() * ({pk_sql(col, seed + ANGLE)} / {KEY_SPACE}.0)))"

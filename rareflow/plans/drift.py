@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rareflow.functions.bands import drift_severity
+from rareflow.functions.keys import normal_draw
 from rareflow.functions.shape import V_COLS
 from rareflow.operators import drift, monitoring
 from rareflow.operators import evaluation as ev
-from rareflow.plans.catalog import EV, R, S, T, query, r6, rounded
+from rareflow.plans.catalog import EV, R, S, T, normal_sql, query, r6, rounded
 from rareflow.sources.views import (
     labelled_events,
     reference_and_current,
@@ -158,11 +159,15 @@ def _(spark, sf):
     return rounded(with_drift(transactions(spark, sf)).select("txn_id", "V1", "V2", "V3"))
 
 
-@query("D9_injected_noise")
+@query(
+    "D9_injected_noise",
+    f"WITH {T} SELECT txn_id, {R('V1*1.1+0.1')} AS V1, {R('V2*0.9-0.2')} AS V2, {R('V3')} AS V3, "
+    f"{R('V3 + 0.2*' + normal_sql('txn_id', 42))} AS V3_noisy FROM t",
+)
 def _(spark, sf):
     df = with_drift(transactions(spark, sf))
-    noisy = df.withColumn("V3_noisy", F.col("V3") + F.lit(0.2) * F.randn(42))
-    return noisy.select("txn_id", "V1", "V2", "V3", "V3_noisy")
+    noisy = df.withColumn("V3_noisy", F.col("V3") + F.lit(0.2) * normal_draw("txn_id", 42))
+    return rounded(noisy.select("txn_id", "V1", "V2", "V3", "V3_noisy"))
 
 
 @query(

@@ -81,9 +81,31 @@ def _(spark, sf):
     return rounded(q)
 
 
-@query("ST5_latency_stream")
+@query(
+    "ST5_latency_stream",
+    f"WITH {E} SELECT {_bucket(86400)} AS window_start, COUNT(*) AS n, TRUE AS p50_within, TRUE AS p95_within, TRUE AS p99_within "
+    f"FROM e, wm WHERE ({_bucket(3600)} + 3600)*1000000 <= wm GROUP BY 1",
+)
 def _(spark, sf):
-    return src.run_append(jobs.approximate_latency(src.event_stream(spark, sf)), "latency")
+    """Hourly sketches merged to days; whether each quantile's exact rank is within the bound of the wanted one."""
+    hours = src.run_append(jobs.latency_sketches(src.event_stream(spark, sf)), "latency")
+    days = jobs.merged_latency(hours)
+    second = F.unix_seconds("event_time")
+    rows = src.derive(table(spark, sf, "events")).select(
+        (second - second % 86400).alias("window_start"), (second - second % 3600).alias("hour"), "Amount"
+    )
+    known = rows.join(hours.select(F.col("window_start").alias("hour")), "hour").join(days, "window_start")
+    names = list(jobs.QUANTILES)
+    counts = known.groupBy("window_start", "n").agg(
+        *[F.avg((F.col("Amount") < F.col(c)).cast("double")).alias(f"{c}_below") for c in names],
+        *[F.avg((F.col("Amount") <= F.col(c)).cast("double")).alias(f"{c}_upto") for c in names],
+    )
+
+    def within(name, p):
+        near = (F.col(f"{name}_below") - jobs.RANK_ERROR <= p) & (F.col(f"{name}_upto") + jobs.RANK_ERROR >= p)
+        return near.alias(f"{name}_within")
+
+    return counts.select("window_start", "n", *[within(c, p) for c, p in jobs.QUANTILES.items()])
 
 
 @query(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rareflow.functions.keys import perm_key
+from rareflow.functions.keys import normal_draw, perm_key, unit_draw
 from rareflow.functions.shape import V_COLS
 from rareflow.operators.sampling import before, cut_rows
 
@@ -62,12 +62,11 @@ def write_parts(df: DataFrame, path: str, *by: str, kind: str = "parquet") -> No
 def append_predictions(predictions: DataFrame, path: str) -> None:
     """Add rows below one folder per day and model version.
 
-    Rows of one folder spread over several tasks by key, so a busy day is no hot task.
+    Spark splits a busy day and joins quiet ones by the bytes they turn out to have
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so files have about that size.
     """
-    salted = predictions.repartition(
-        "created_date", "model_version", F.pmod(F.hash("transaction_id"), F.lit(16))
-    )
-    salted.write.mode("append").partitionBy("created_date", "model_version").parquet(path)
+    even = predictions.hint("rebalance", F.col("created_date"), F.col("model_version"))
+    even.write.mode("append").partitionBy("created_date", "model_version").parquet(path)
 
 
 def synthetic(
@@ -77,7 +76,8 @@ def synthetic(
     """Labelled random rows with exactly int(n * ratio) positives.
 
     Row i gets a time in the i-th of n equal slots, so times come out sorted, and
-    the positives are the rows with the smallest permutation keys, found by a cut.
+    the positives are the rows with the smallest permutation keys, found by a cut. All
+    draws come from keys, so the table does not depend on partitions.
     """
     want = int(n * ratio)
     ids = spark.range(n).withColumnRenamed("id", "txn_id")
@@ -86,11 +86,11 @@ def synthetic(
     df = ids.withColumn("Class", F.when(positive, 1).otherwise(0))
     shift = shift or {c: 1.0 for c in V_COLS[:15]}
     vs = {
-        c: F.randn(seed + i) + F.col("Class") * F.lit(float(shift.get(c, 0.0)))
+        c: normal_draw("txn_id", seed + i) + F.col("Class") * F.lit(float(shift.get(c, 0.0)))
         for i, c in enumerate(V_COLS, 1)
     }
-    amount = F.abs(F.randn(seed + 100) * 150.0 + 100.0)
-    time = (F.col("txn_id") + F.rand(seed + 101)) * F.lit(span / max(1, n))
+    amount = F.abs(normal_draw("txn_id", seed + 100) * 150.0 + 100.0)
+    time = (F.col("txn_id") + unit_draw("txn_id", seed + 101)) * F.lit(span / max(1, n))
     return df.withColumns({"Time": time, **vs, "Amount": amount}).select(
         "txn_id", "Time", *V_COLS, "Amount", "Class"
     )

@@ -12,6 +12,7 @@ from rareflow.operators.drift import EPS, Bins
 from rareflow.streaming.state import RollingRows, rolling_schema
 
 DELAY = "10 minutes"
+QUANTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 
 def watermarked(stream: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -46,15 +47,27 @@ def windowed_quality(stream: DataFrame, size: str = "1 day", delay: str = DELAY)
     return ev.basic_metrics(cells).select(_start(), "n", "accuracy", "precision", "recall")
 
 
-def approximate_latency(stream: DataFrame, size: str = "1 day", delay: str = DELAY) -> DataFrame:
-    """p50, p95 and p99 of the amount as a stand-in latency, from a mergeable sketch."""
+#: Size of the latency sketches: their normalised rank error stays well below ``RANK_ERROR``.
+SKETCH_K, RANK_ERROR = 1000, 0.01
+
+
+def latency_sketches(stream: DataFrame, size: str = "1 hour", delay: str = DELAY) -> DataFrame:
+    """A mergeable quantile sketch of the amount, a stand-in latency, for every window."""
     return (
         watermarked(stream, delay).groupBy(F.window("event_time", size).alias("w"))
-        .agg(F.percentile_approx("Amount", [0.5, 0.95, 0.99], 10000).alias("q"), F.count(F.lit(1)).alias("n"))
-        .select(
-            _start(), "n", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"), F.col("q")[2].alias("p99")
-        )
+        .agg(F.kll_sketch_agg_double("Amount", F.lit(SKETCH_K)).alias("sketch"), F.count(F.lit(1)).alias("n"))
+        .select(_start(), "n", "sketch")
+    )
+
+
+def merged_latency(sketches: DataFrame, seconds: int = 86400) -> DataFrame:
+    """p50, p95 and p99 of longer windows from the sketches of shorter ones, whose rows are not read again."""
+    start = (F.floor(F.col("window_start") / seconds) * seconds).cast("bigint")
+    merged = sketches.groupBy(start.alias("window_start")).agg(
+        F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"), F.sum("n").alias("n")
     )
+    at = {name: F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name) for name, p in QUANTILES.items()}
+    return merged.select("window_start", "n", *at.values())
 
 
 def windowed_psi(

@@ -1,6 +1,7 @@
 """Closed forms and invariants of the larger operators."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rareflow.functions.bands import AMOUNT_BINS_6, confidence, drift_severity, right_closed_bins
+from rareflow.functions.keys import normal_draw
 from rareflow.operators import anomaly, drift, neighbours, quality, scaling
 from rareflow.operators import evaluation as ev
 from rareflow.operators import models as md
@@ -488,3 +490,26 @@ def test_rolling_values_of_late_history():
     rows = [(1, 1, 2.0, 0), (2, 2, 4.0, 1), (3, 3, None, None), (4, 4, 9.0, 1)]
     got = state.rolling_values(rows, 2, (3,))
     assert got == [[3.0, pytest.approx(2**0.5), 3, 0.5], [6.5, pytest.approx(12.5**0.5), 3, 1.0]]
+
+
+def test_appended_files_have_the_wanted_size(spark, tmp_path):
+    """A busy day is split by its bytes, quiet ones get one file each."""
+    rows = spark.range(60_000).select(
+        F.col("id").alias("transaction_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.when(F.col("id") < 58_000, "2024-01-01").otherwise(F.concat(F.lit("2024-01-0"), 2 + F.col("id") % 4)).cast("date").alias("created_date"),
+        F.lit("v1").alias("model_version"),
+    ).repartition(8)
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "512k")
+    try:
+        tables.append_predictions(rows, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset(name)
+    files = Counter(f.parent.parent.name for f in (tmp_path / "out").rglob("part-*.parquet"))
+    assert files["created_date=2024-01-01"] >= 4 and all(n <= 2 for day, n in files.items() if not day.endswith("01"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 60_000
+
+
+def test_normal_draws_look_normal_and_do_not_depend_on_partitions(spark):
+    a, b = (spark.range(20_000).repartition(n).select("id", normal_draw("id", 7).alias("x")).orderBy("id").toPandas().x for n in (1, 6))
+    assert (a == b).all() and abs(a.mean()) < 0.03 and abs(a.std() - 1) < 0.03 and abs((a.abs() < 1.96).mean() - 0.95) < 0.01
