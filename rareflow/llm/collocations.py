@@ -271,7 +271,7 @@ def score_cuts(phrases: DataFrame) -> DataFrame:
     """Adds l, r and score of the lowest-scoring cut, ties to the first one, in exact decimals."""
     part = F.expr(
         "array_min(transform(before, (l, i) -> struct("
-        "cast(2000000 * cast(n as decimal(28, 0)) as decimal(38, 0)) div cast(l + after[i] as decimal(38, 0)) as score, "
+        "cast(2000000 * cast(n as decimal(28, 0)) as decimal(38, 0)) div (cast(l as decimal(28, 0)) + cast(after[i] as decimal(28, 0))) as score, "
         "i as cut, l as l, after[i] as r)))"
     )
     return phrases.withColumn("_part", part).select(

@@ -200,30 +200,31 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_con
 FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN kids k ON k.path = n.path
 LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, length(n.path) - 32)""",
     "op12_collocations_setm": r"""
-WITH pieces AS (
+WITH pieces AS MATERIALIZED (
     SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
         SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[.,;:!?\x0A-\x0D]')) AS piece
         FROM documents)),
-totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
-grams AS (
+totals AS MATERIALIZED (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS MATERIALIZED (
     SELECT lang, m, w[i:i + m - 1] AS g
     FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 5) AS sizes(m))),
-f AS (SELECT lang, m, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS a
+f AS MATERIALIZED (SELECT lang, m, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS a
       FROM grams GROUP BY lang, m, array_to_string(g, ' ') HAVING count(*) >= 30),
-cuts AS (
-    SELECT f.lang, f.phrase, f.a, k, x.a AS l, y.a AS r, 2000000::HUGEINT * f.a // (x.a + y.a) AS score
-    FROM f CROSS JOIN range(1, 4) AS cuts(k)
-    JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(f.g[:k], ' ')
-    JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(f.g[k + 1:], ' ')
-    WHERE f.m > 1 AND k < f.m),
-low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-inside AS (
+parts AS MATERIALIZED (
+    SELECT lang, phrase, a, k, array_to_string(g[:k], ' ') AS head, array_to_string(g[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1)),
+heads AS MATERIALIZED (SELECT p.*, f.a AS l FROM parts p JOIN f ON f.lang = p.lang AND f.phrase = p.head),
+cuts AS MATERIALIZED (
+    SELECT h.lang, h.phrase, h.a, h.k, h.l, f.a AS r, 2000000::HUGEINT * h.a // (h.l + f.a) AS score
+    FROM heads h JOIN f ON f.lang = h.lang AND f.phrase = h.tail),
+low AS MATERIALIZED (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS MATERIALIZED (
     SELECT lang, array_to_string(g[i:i + p - 1], ' ') AS phrase, max(a) AS most
     FROM (SELECT lang, g, a, p, unnest(range(1, m - p + 2)) AS i FROM f, range(2, 4) AS sizes(p) WHERE p < m)
     GROUP BY 1, 2),
-kept AS (SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase)
+kept AS MATERIALIZED (SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase)
          WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score

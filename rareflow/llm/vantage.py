@@ -32,10 +32,12 @@ HITS = "row long, query_id long, vec_id long, other long, score double"
 class Tree:
     """Points in leaf order; a node has a vantage point, the range of distances on either side, two children.
 
-    A child is a node's number, or -1 minus a leaf's number.
+    Points are divided by two to the ``power``, so that no component exceeds one and no
+    square overflows. A child is a node's number, or -1 minus a leaf's number.
     """
 
     points: np.ndarray
+    power: int
     order: np.ndarray
     longest: float
     extra: np.ndarray
@@ -45,12 +47,19 @@ class Tree:
     leaves: np.ndarray
 
 
+def powers(rows: np.ndarray) -> np.ndarray:
+    """For each row the least power of two that no component exceeds."""
+    return np.frexp(np.abs(rows).max(axis=1))[1]
+
+
 def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
     """Halves the points again and again by their distance from a vantage point among them.
 
     Ties are halved by position, so that equal vectors make no deep branch.
     """
     rng = np.random.default_rng(len(points))
+    power = int(powers(points).max())
+    points = np.ldexp(points, -power)
     squares = np.einsum("ij,ij->i", points, points)
     longest = float(squares.max())
     extra = np.sqrt(np.maximum(longest - squares, 0.0))
@@ -81,13 +90,12 @@ def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
         children[node] = (grow(rows[near]), grow(rows[far]))
         return node
 
-    with np.errstate(all="ignore"):
-        grow(np.arange(len(points)))
+    grow(np.arange(len(points)))
     placed = np.concatenate(order)
     at = np.empty(len(points), np.int64)
     at[placed] = np.arange(len(points))
     return Tree(
-        points[placed], placed, longest, extra[placed], at[np.array(vantage, np.int64)],
+        points[placed], power, placed, longest, extra[placed], at[np.array(vantage, np.int64)],
         np.array(ranges, float).reshape(-1, 4), np.array(children, np.int64).reshape(-1, 2),
         np.array(leaves, np.int64).reshape(-1, 2),
     )
@@ -128,7 +136,8 @@ def search_tree(
     """(query number, point's place) of all that may be among the k nearest, and the products worked out.
 
     ``own`` is the place of the query itself or -1; ``floor`` the k-th best product that
-    other shards have. Each query scans the leaf of least bound first.
+    other shards have, with the tree's divided points. No component of a query exceeds
+    one. Each query scans the leaf of least bound first.
     """
     n = len(queries)
     scale = np.sqrt(np.einsum("ij,ij->i", queries, queries)) * np.sqrt(tree.longest)
@@ -147,7 +156,6 @@ def search_tree(
         a, b = tree.leaves[leaf]
         work += len(rows) * (b - a)
         products = queries[rows] @ tree.points[a:b].T
-        products[np.isnan(products)] = -np.inf
         mine = np.flatnonzero((own[rows] >= a) & (own[rows] < b))
         products[mine, own[rows[mine]] - a] = -np.inf
         near = np.flatnonzero(products.max(axis=1) >= kth[rows] - slack[rows])
@@ -158,16 +166,15 @@ def search_tree(
         q, p = np.nonzero((products >= (kth[rows] - slack[rows])[:, None]) & (products > -np.inf))
         found.append((rows[q], p + a, products[q, p]))
 
-    with np.errstate(all="ignore"):
-        for leaf in range(len(tree.leaves)):
-            rows = np.flatnonzero(first == leaf)
-            if len(rows):
-                scan(leaf, rows)
-        for leaf in np.argsort(bounds.mean(axis=0), kind="stable"):
-            radius = np.sqrt(np.maximum(squares + tree.longest - 2 * kth, 0.0)) + 1e-6 * reach
-            rows = np.flatnonzero((first != leaf) & ~(factor * bounds[:, leaf] > radius))
-            if len(rows):
-                scan(int(leaf), rows)
+    for leaf in range(len(tree.leaves)):
+        rows = np.flatnonzero(first == leaf)
+        if len(rows):
+            scan(leaf, rows)
+    for leaf in np.argsort(bounds.mean(axis=0), kind="stable"):
+        radius = np.sqrt(np.maximum(squares + tree.longest - 2 * kth, 0.0)) + 1e-6 * reach
+        rows = np.flatnonzero((first != leaf) & (factor * bounds[:, leaf] <= radius))
+        if len(rows):
+            scan(int(leaf), rows)
     q, p, s = (np.concatenate(part) for part in zip(*found))
     keep = s >= kth[q] - slack[q]
     return q[keep], p[keep], work
@@ -188,12 +195,13 @@ def build_index(vectors: DataFrame, shards: int) -> DataFrame:
     """One row for each shard: its points in leaf order and its tree."""
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        tree = build_tree(np.stack(frame["vector"].to_numpy()))
+        vectors = np.stack(frame["vector"].to_numpy())
+        tree = build_tree(vectors)
         return pd.DataFrame(
             {
                 "dim": frame["dim"].iloc[:1], "shard": frame["shard"].iloc[:1],
                 "rows": [frame["row"].to_numpy()[tree.order]], "ids": [frame["vec_id"].to_numpy()[tree.order]],
-                "points": [tree.points.tobytes()], "longest": [tree.longest], "extra": [tree.extra.tobytes()],
+                "points": [vectors[tree.order].tobytes()], "power": [tree.power], "longest": [tree.longest], "extra": [tree.extra.tobytes()],
                 "vantage": [tree.vantage], "ranges": [tree.ranges.ravel()], "children": [tree.children.ravel()],
                 "leaves": [tree.leaves.ravel()],
             }
@@ -202,7 +210,7 @@ def build_index(vectors: DataFrame, shards: int) -> DataFrame:
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     return dealt.groupBy("dim", "shard").applyInPandas(
         build,
-        "dim int, shard int, rows array<long>, ids array<long>, points binary, longest double, extra binary, "
+        "dim int, shard int, rows array<long>, ids array<long>, points binary, power int, longest double, extra binary, "
         "vantage array<long>, ranges array<double>, children array<long>, leaves array<long>",
     )
 
@@ -215,8 +223,9 @@ def _search(k: int, factor: float):
             return pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "other": [], "score": []})
         x = index.iloc[0]
         points = np.frombuffer(x["points"]).reshape(len(x["rows"]), -1)
+        power = int(x["power"])
         tree = Tree(
-            points, np.arange(len(points)), float(x["longest"]), np.frombuffer(x["extra"]), np.asarray(x["vantage"], np.int64),
+            np.ldexp(points, -power), power, np.arange(len(points)), float(x["longest"]), np.frombuffer(x["extra"]), np.asarray(x["vantage"], np.int64),
             np.asarray(x["ranges"], float).reshape(-1, 4), np.asarray(x["children"], np.int64).reshape(-1, 2),
             np.asarray(x["leaves"], np.int64).reshape(-1, 2),
         )
@@ -224,9 +233,11 @@ def _search(k: int, factor: float):
         place = pd.Series(np.arange(len(rows)), index=rows)
         own = place.reindex(queries["row"]).fillna(-1).to_numpy(np.int64)
         matrix = np.stack(queries["vector"].to_numpy())
-        floor = queries["kth"].fillna(-np.inf).to_numpy(float)
-        q, p, _ = search_tree(tree, matrix, own, floor, k, factor)
-        score = exact_products(matrix[q], points[p])
+        size = powers(matrix)
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            floor = np.ldexp(queries["kth"].fillna(-np.inf).to_numpy(float), -(size + power))
+            q, p, _ = search_tree(tree, np.ldexp(matrix, -size[:, None]), own, floor, k, factor)
+            score = exact_products(matrix[q], points[p])
         by = np.lexsort((rows[p], ids[p], -score, q))
         q, p, score = q[by], p[by], score[by]
         rank = np.arange(len(q)) - np.searchsorted(q, q)
