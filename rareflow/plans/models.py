@@ -7,6 +7,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from rareflow.functions.shape import V_COLS
+from rareflow.operators import boosting
 from rareflow.operators import evaluation as ev
 from rareflow.operators import models as md
 from rareflow.operators import parzen
@@ -56,6 +57,16 @@ _scores("M3_boosted_trees", lambda n: md.boosted(20, 5), weights="99")
 _scores("M3_boosted_trees_balanced", lambda n: md.boosted(20, 3, cols="sqrt"))
 
 
+@query("M3_histogram_boosting")
+def _(spark, sf):
+    """100 rounds at most, positives weighted by the class ratio, ended early by the validation part."""
+    p = parts(spark, sf)
+    n = {r["Class"]: r["count"] for r in p["train"].groupBy("Class").count().collect()}
+    s = boosting.Settings(rounds=100, depth=6, positive_weight=n.get(0, 1) / max(1, n.get(1, 0)))
+    model = boosting.fit_boosted(p["train"], COLS, s, p["validation"])
+    return model.score(p["test"]).select("txn_id", F.col("Class").alias("label"), "score")
+
+
 @query("M4_adaboost")
 def _(spark, sf):
     p = parts(spark, sf)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rareflow.functions.bands import AMOUNT_BINS_6, confidence, drift_severity, right_closed_bins
 from rareflow.functions.keys import normal_draw
-from rareflow.operators import anomaly, drift, neighbours, quality, scaling
+from rareflow.operators import anomaly, boosting, drift, neighbours, quality, scaling
 from rareflow.operators import evaluation as ev
 from rareflow.operators import models as md
 from rareflow.operators import parzen
@@ -513,3 +513,80 @@ def test_appended_files_have_the_wanted_size(spark, tmp_path):
 def test_normal_draws_look_normal_and_do_not_depend_on_partitions(spark):
     a, b = (spark.range(20_000).repartition(n).select("id", normal_draw("id", 7).alias("x")).orderBy("id").toPandas().x for n in (1, 6))
     assert (a == b).all() and abs(a.mean()) < 0.03 and abs(a.std() - 1) < 0.03 and abs((a.abs() < 1.96).mean() - 0.95) < 0.01
+
+
+# ---- boosted trees -----------------------------------------------------------
+
+
+def _numpy_tree(codes, g, h, s):
+    """Plain recursion over passes: every split by trying each feature and cut on the rows themselves."""
+    node, feature, cut, value = np.zeros(len(g), int), {}, {}, {}
+    open_, leaves = [0], 1
+    for _ in range(s.depth):
+        found = []
+        for n in open_:
+            rows, best = node == n, None
+            all_g, all_h = g[rows].sum(), h[rows].sum()
+            for f in range(codes.shape[1]):
+                for c in sorted(set(codes[rows, f]))[:-1]:
+                    left = rows & (codes[:, f] <= c)
+                    lg, lh = g[left].sum(), h[left].sum()
+                    rg, rh = all_g - lg, all_h - lh
+                    if min(lh, rh) < s.least_hessian:
+                        continue
+                    gain = lg**2 / (lh + s.ridge) + rg**2 / (rh + s.ridge) - all_g**2 / (all_h + s.ridge)
+                    if gain > s.least_gain and (best is None or gain > best[0] + 1e-9):
+                        best = (gain, f, c, lg, lh, rg, rh)
+            if best:
+                found.append((best, n))
+        open_ = []
+        for (_, f, c, lg, lh, rg, rh), n in sorted(found, key=lambda x: (-x[0][0], x[1])):
+            if leaves >= s.leaves:
+                break
+            leaves += 1
+            feature[n], cut[n] = f, c
+            value[2 * n + 1], value[2 * n + 2] = -s.rate * lg / (lh + s.ridge), -s.rate * rg / (rh + s.ridge)
+            mine = node == n
+            node[mine] = 2 * n + 1 + (codes[mine, f] > c)
+            open_ += [2 * n + 1, 2 * n + 2]
+        if not open_ or leaves >= s.leaves:
+            break
+    return feature, cut, value, node
+
+
+def test_boosted_trees_equal_numpy(spark):
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(300, 3)).round(1)
+    y = ((x[:, 0] * x[:, 1] > 0.2) | (rng.random(300) < 0.1)).astype(int)
+    pdf = pd.DataFrame(x, columns=list("abc")).assign(Class=y)
+    pdf.loc[::17, "b"] = None
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "a double, b double, c double, Class int")
+    s = boosting.Settings(rounds=3, depth=3, leaves=6, bins=8, rate=0.3, positive_weight=2.0, least_hessian=0.5)
+    model = boosting.fit_boosted(df, list("abc"), s)
+    edges = [np.array(sorted(set(np.nanquantile(pdf[c], [i / 8 for i in range(1, 8)])))) for c in "abc"]
+    codes = np.stack([np.where(pdf[c].isna(), 0, np.searchsorted(e, pdf[c]) + 1) for c, e in zip("abc", edges)], axis=1)
+    margin, weight = np.full(300, model.start), np.where(y == 1, 2.0, 1.0)
+    for tree in model.trees:
+        p = 1 / (1 + np.exp(-margin))
+        feature, cut, value, node = _numpy_tree(codes, weight * (p - y), weight * p * (1 - p), s)
+        assert {int(n): int(f) for n, f in enumerate(tree.feature) if f >= 0} == feature
+        assert {n: int(tree.cut[n]) for n in feature} == {n: int(c) for n, c in cut.items()}
+        assert all(math.isclose(tree.value[n], v, rel_tol=1e-9) for n, v in value.items())
+        margin = margin + np.array([value.get(n, 0.0) for n in node])
+    got = model.score(df.withColumn("i", F.monotonically_increasing_id())).orderBy("i").toPandas()
+    assert len(model.trees) == 3 and np.allclose(sorted(got.score), sorted(1 / (1 + np.exp(-margin))))
+    assert sum(n for _, n in model.importances()) == sum((t.feature >= 0).sum() for t in model.trees)
+
+
+def test_boosting_stops_early_and_on_odd_tables(spark, separable):
+    df = separable.select("Class", *COLS)
+    a, b = df.randomSplit([0.7, 0.3], seed=1)
+    noise = b.withColumn("Class", (F.rand(3) < 0.5).cast("int"))
+    s = boosting.Settings(rounds=12, depth=2, leaves=4, bins=8, patience=2)
+    model = boosting.fit_boosted(a, COLS, s, noise)
+    best = min(range(len(model.losses)), key=lambda i: model.losses[i][1])
+    assert len(model.trees) == best + 1 and len(model.losses) <= best + 3
+    assert model.losses[-1][0] < model.losses[0][0]
+    none = boosting.fit_boosted(df.where("Class = 0"), COLS, s)
+    assert none.trees == [] and none.score(df.limit(3)).where("score < 0.1").count() == 3
+    assert boosting.fit_boosted(df.limit(0), COLS, s).trees == []
