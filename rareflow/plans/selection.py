@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rareflow.functions.shape import V_COLS
 from rareflow.operators import selection as sel
+from rareflow.operators.information import nearest_mutual_information
 from rareflow.plans.catalog import R, T, query, rounded
 from rareflow.plans.windows import ANOVA
 from rareflow.sources.views import table, transactions
@@ -184,6 +185,33 @@ def _(spark, sf):
     return rounded(sel.mutual_information(transactions(spark, sf), ALL))
 
 
+def _psi_sql(x):
+    y = f"({x} + 10.0)"
+    series = f"ln({y}) - 1/(2*{y}) - 1/(12*{y}*{y}) + 1/(120*{y}*{y}*{y}*{y}) - 1/(252*{y}*{y}*{y}*{y}*{y}*{y})"
+    return f"({series} - (" + " + ".join(f"1/({x} + {i}.0)" for i in range(10)) + "))"
+
+
+# the distance to the third nearest row on a line: j rows to the left and 3 - j to the right, for the best j
+_SIDES = [("0.0", "LEAD(value, 3) OVER w - value"), ("value - LAG(value, 1) OVER w", "LEAD(value, 2) OVER w - value"),
+          ("value - LAG(value, 2) OVER w", "LEAD(value, 1) OVER w - value"), ("value - LAG(value, 3) OVER w", "0.0")]
+_THIRD = "LEAST(" + ", ".join(f"CASE WHEN ({a}) IS NULL OR ({b}) IS NULL THEN 1e300 ELSE GREATEST({a}, {b}) END" for a, b in _SIDES) + ")"
+
+
+@query(
+    "F6_nearest",
+    f"WITH {T}, u AS (UNPIVOT (SELECT Class, {', '.join(ALL)} FROM t) ON {', '.join(ALL)} INTO NAME feature VALUE value), "
+    f"r AS (SELECT feature, Class, value, {_THIRD} AS d, COUNT(*) OVER (PARTITION BY feature, Class) AS nc FROM u WINDOW w AS (PARTITION BY feature, Class ORDER BY value)), "
+    "e AS (SELECT feature, value, 1 AS n FROM u UNION ALL SELECT feature, value - d, 0 FROM r UNION ALL SELECT feature, value + d, 0 FROM r), "
+    "c AS (SELECT feature, value, SUM(n) AS n, SUM(SUM(n)) OVER (PARTITION BY feature ORDER BY value) AS upto FROM e GROUP BY feature, value), "
+    "m AS (SELECT r.feature, nc, CASE WHEN d > 0 THEN hi.upto - hi.n - lo.upto ELSE lo.n END AS m FROM r "
+    "JOIN c lo ON lo.feature = r.feature AND lo.value = r.value - d JOIN c hi ON hi.feature = r.feature AND hi.value = r.value + d), "
+    f"s AS (SELECT feature, {_psi_sql('COUNT(*)')} + {_psi_sql('3.0')} - AVG({_psi_sql('CAST(nc AS DOUBLE)')}) - AVG({_psi_sql('CAST(m AS DOUBLE)')}) AS mi FROM m GROUP BY feature) "
+    f"SELECT feature, {R('GREATEST(mi, 0.0)')} AS mutual_information FROM s",
+)
+def _(spark, sf):
+    return rounded(nearest_mutual_information(transactions(spark, sf), ALL))
+
+
 @query(
     "F7_select_k_best",
     f"WITH {T}, {ANOVA} SELECT feature, {R('f_score')} AS f_score FROM f ORDER BY f_score DESC, feature LIMIT 10",

@@ -18,6 +18,7 @@ from rareflow.operators import registry as rg
 from rareflow.operators import scoring as sc
 from rareflow.operators import selection as sel
 from rareflow.operators import tuning as tn
+from rareflow.operators.information import nearest_mutual_information
 from rareflow.session import fresh_path
 from rareflow.sources import tables
 from rareflow.sources.views import labelled_events, transactions
@@ -590,3 +591,40 @@ def test_boosting_stops_early_and_on_odd_tables(spark, separable):
     none = boosting.fit_boosted(df.where("Class = 0"), COLS, s)
     assert none.trees == [] and none.score(df.limit(3)).where("score < 0.1").count() == 3
     assert boosting.fit_boosted(df.limit(0), COLS, s).trees == []
+
+
+# ---- mutual information by neighbours ---------------------------------------
+
+
+def _psi(n):
+    return -0.5772156649015329 + sum(1 / i for i in range(1, int(n)))
+
+
+def _neighbour_information(x, y, k=3):
+    keep = np.array([(y == c).sum() > 1 for c in y])
+    x, y = x[keep], y[keep]
+    terms = []
+    for i in range(len(x)):
+        mine = np.flatnonzero(y == y[i])
+        near = np.sort(np.abs(x[mine[mine != i]] - x[i]))
+        k_i = min(k, len(near))
+        d = near[k_i - 1]
+        inside = ((x > x[i] - d) & (x < x[i] + d)).sum() if d > 0 else (x == x[i]).sum()
+        terms.append(_psi(k_i) - _psi(len(mine)) - _psi(inside))
+    return max(0.0, _psi(len(x)) + np.mean(terms))
+
+
+@pytest.mark.parametrize("k", [1, 3, 5])
+def test_nearest_mutual_information_equals_brute_force(spark, k):
+    rng = np.random.default_rng(15)
+    y = (rng.random(300) < 0.2).astype(int)
+    y[:4], y[4] = 2, 3  # a class with fewer rows than neighbours, and a single row
+    pdf = pd.DataFrame({"a": rng.normal(size=300) + 2 * y, "b": rng.integers(0, 9, 300).astype(float), "c": rng.normal(size=300), "Class": y})
+    df = spark.createDataFrame(pdf).repartition(3)
+    got = {r.feature: r.mutual_information for r in nearest_mutual_information(df, list("abc"), k=k).collect()}
+    assert all(math.isclose(got[c], _neighbour_information(pdf[c].to_numpy(), y, k), abs_tol=1e-8) for c in "abc")
+    assert nearest_mutual_information(df.limit(0), ["a"]).collect() == []
+    some = df.withColumn("a", F.when(F.col("c") > 0, F.col("a")).when(F.col("c") > -0.5, F.lit(float("nan"))))
+    kept = pdf[pdf.c > 0]
+    got = nearest_mutual_information(some, ["a"], k=k).first().mutual_information
+    assert math.isclose(got, _neighbour_information(kept.a.to_numpy(), kept.Class.to_numpy(), k), abs_tol=1e-8)
