@@ -96,6 +96,21 @@ def _(spark, sf):
     return rounded(sel.spearman_pairs(table(spark, sf, "lineitem"), WIDE))
 
 
+_RANKED = ", ".join(
+    f"RANK() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1)/2.0 AS {c}" for c in _FILTERED
+)
+
+
+@query(
+    "F3_spearman_filter",
+    f"WITH {T}, {_MIX}, rk AS (SELECT {_RANKED} FROM mx), {_corr_cte(_FILTERED, source='rk')}, {_VR}, "
+    + _greedy_sql(lambda a, b: f"cr.c_{a}_{b}", _FILTERED),
+)
+def _(spark, sf):
+    kept = sel.correlation_filter(_mixed(spark, sf), _FILTERED, method="spearman")
+    return spark.createDataFrame([(c,) for c in kept], "feature string")
+
+
 # a null wherever one column says so, so that pairs share fewer rows than each column has
 _HOLES = (
     "SELECT CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS qty, l_extendedprice AS price, "
@@ -145,6 +160,22 @@ def _(spark, sf):
     return rounded(sel.kendall_pairs(table(spark, sf, "lineitem"), _FEW))
 
 
+_STEPS = ["l_quantity", "half_quantity", "l_discount", "l_tax"]
+_STEPPED = "SELECT l_quantity, floor(l_quantity / 2) AS half_quantity, l_discount, l_tax FROM lineitem"
+
+
+@query(
+    "F4_kendall_filter",
+    f"WITH st AS ({_STEPPED}), kt AS ({_kendall_sql(_STEPS, 'st')}), "
+    "cr AS (SELECT 1 AS one), vr AS (SELECT " + ", ".join(f"VAR_POP({c}) AS v_{c}" for c in _STEPS) + " FROM st), "
+    + _greedy_sql(lambda a, b: f"(SELECT corr FROM kt WHERE \"left\" = '{a}' AND \"right\" = '{b}')", _STEPS),
+)
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").selectExpr("l_quantity", "floor(l_quantity / 2) AS half_quantity", "l_discount", "l_tax")
+    kept = sel.correlation_filter(rows, _STEPS, method="kendall")
+    return spark.createDataFrame([(c,) for c in kept], "feature string")
+
+
 _MANY = ["o_totalprice", "o_custkey"]
 
 
