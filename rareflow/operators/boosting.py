@@ -1,10 +1,10 @@
 """Boosted trees by second-order histograms: gradient and Hessian sums grouped by (node, feature, bin).
 
-Columns become quantile bins once. A tree grows in passes; each pass groups the rows of
+Columns become quantile bins once, from one mergeable sketch a column. A tree grows in passes; each pass groups the rows of
 the open nodes by node, feature and bin, with partial sums before the shuffle, and the
 driver reads one row for each of these groups, a number that does not depend on the rows.
 Best splits come first, until the tree has its leaves. A row finds its leaf by walking
-the tree, whose nodes are two literal arrays, so all passes run the same compiled code.
+the tree, whose nodes are two literal arrays, level by level.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rareflow.functions.shape import edge_codes
-from rareflow.operators.quantiles import exact_quantiles
 from rareflow.session import stored
 
 #: After so many trees the margins are written, so that plans stay short.
@@ -62,12 +61,14 @@ class Tree:
         """The number of the node where a row with these bins ends."""
         feature = F.array(*[F.lit(int(f)) for f in self.feature])
         cut = F.array(*[F.lit(int(c)) for c in self.cut])
-        at = F.lit(0)
-        for _ in range(self.depth):
+
+        def step(at: Column, _: Column) -> Column:
             f = F.get(feature, at)
             right = (F.get(codes, f) > F.get(cut, at)).cast("int")
-            at = F.when(f < 0, at).otherwise(2 * at + 1 + right)
-        return at
+            return F.when(f < 0, at).otherwise(2 * at + 1 + right)
+
+        # a fold over the levels: nesting one level in the next would repeat it again and again
+        return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, self.depth))), F.lit(0), step)
 
     def margin(self, codes: Column) -> Column:
         return F.get(F.array(*[F.lit(float(v)) for v in self.value]), self.node(codes))
@@ -183,8 +184,9 @@ def fit_boosted(
     counts = {r[target]: r["count"] for r in known.groupBy(target).count().collect()}
     n1, n0 = counts.get(1, 0) * s.positive_weight, counts.get(0, 0)
     chance = (n1 + 0.5) / (n1 + n0 + 1.0)
-    probs = [i / s.bins for i in range(1, s.bins)]
-    edges = {c: sorted({q for q in e if q is not None}) for c, e in exact_quantiles(known, {c: F.col(c) for c in cols}, probs).items()}
+    probs = F.array(*[F.lit(i / s.bins) for i in range(1, s.bins)])
+    found = known.agg(*[F.percentile_approx(F.nanvl(F.col(c).cast("double"), F.lit(None)), probs, F.lit(100 * s.bins)).alias(c) for c in cols]).first()
+    edges = {c: sorted(set(found[c] or [])) for c in cols}
     model = Boosted(cols, edges, math.log(chance / (1 - chance)))
     if not n1 or not n0:
         return model
