@@ -73,6 +73,15 @@ def test_quantiles_skip_nan_on_both_paths(spark):
         assert exact_quantiles(df, {"x": F.col("x")}, [0.0, 0.5, 1.0], small=small)["x"] == [0.0, 50.0, 100.0]
 
 
+def test_quantiles_of_many_columns_at_once(spark):
+    """Hundreds of wanted ranks, as mutual information over all columns asks for."""
+    x = np.random.default_rng(3).normal(size=(2000, 40))
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"c{i}" for i in range(40)]))
+    probs = [i / 10 for i in range(1, 10)]
+    got = exact_quantiles(df, {c: F.col(c) for c in df.columns}, probs, small=0, accuracy=50)
+    np.testing.assert_allclose([got[c] for c in df.columns], np.quantile(x, probs, axis=0).T, rtol=1e-12)
+
+
 @pytest.mark.parametrize("small", [0, 10**6])
 def test_grouped_quantiles_with_hot_group(skewed, small):
     pdf, df = skewed
