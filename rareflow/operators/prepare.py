@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from rareflow.functions.shape import V_COLS
 from rareflow.functions.timeparts import cyclic, hour_of_day, night_flag
 from rareflow.operators import fitted, quality, sampling, scaling
+from rareflow.session import stored
 
 PARTS = (("train", 0.6), ("validation", 0.2), ("test", 0.2))
 
 
 def prepare(df: DataFrame, imbalance: str | None = None, seed: int = 42) -> DataFrame:
-    clean = quality.drop_null_rows(quality.drop_duplicate_rows(df, key="txn_id"))
+    # written once: some ten jobs read it, and none repeats the join, the grouping or their plan
+    clean = stored(quality.drop_null_rows(quality.drop_duplicate_rows(df, key="txn_id")), "clean-rows")
     split = sampling.stratified_split(clean, PARTS, seed=seed)
     train = split.where("split = 'train'")
     p = fitted.fit_amount_time(train)

@@ -629,3 +629,13 @@ def test_nearest_mutual_information_equals_brute_force(spark, k):
     kept = pdf[pdf.c > 0]
     got = nearest_mutual_information(some, ["a"], k=k).first().mutual_information
     assert math.isclose(got, _neighbour_information(kept.a.to_numpy(), kept.Class.to_numpy(), k), abs_tol=1e-8)
+
+
+def test_preparation_reads_the_cleaned_rows_once_written(spark, sf_dir):
+    """The join and the grouping that drops copies are no part of what later jobs run."""
+    from rareflow.operators.prepare import prepare
+
+    out = prepare(transactions(spark, sf_dir).limit(300))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    assert out.count() == out.select("txn_id").distinct().count() == 300
