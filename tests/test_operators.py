@@ -132,6 +132,26 @@ def test_visited_pairs_grow_slower_than_all_pairs(spark):
     assert met[1] < 0.6 * met[0] and met[0] < 0.6
 
 
+def test_visits_are_planned_in_bounded_memory_and_sent_once_a_group():
+    """Thousands of queries and pivots: no task holds all their distances, and near cells share a group."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2048, 8))
+    cells = neighbours.Cells(x, np.full(2048, 500), np.zeros(2048), np.full(2048, 2.0))
+    groups, sizes = neighbours._groups(cells)
+    assert sizes.sum() == 2048 * 500 and sizes.max() <= neighbours.POINT_PIECE and len(sizes) < 60
+    rows = rng.normal(size=(6000, 8))
+    frame = pd.DataFrame({"query_id": range(6000), "x": list(rows), "done": 0, "kth": np.nan})
+    tracemalloc.start()
+    planned = pd.concat(p.drop(columns="x") for p in neighbours._planner(cells, groups, 128, 5)([frame]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    assert (planned.met == 128 * 500).all() and planned.groups.map(len).mean() < 64
+    assert all(sum(bin(m).count("1") for m in ms) == 128 for ms in planned.masks[:50])
+
+
 def test_tomek_links_equal_brute_force(cloud):
     pdf, df = cloud
     one = {k: v[0] for k, v in _brute(pdf, pdf, 1).items()}
