@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rareflow.functions.bands import AMOUNT_BINS_6, confidence, drift_severity, right_closed_bins
 from rareflow.functions.keys import normal_draw
-from rareflow.operators import anomaly, boosting, drift, neighbours, quality, scaling
+from rareflow.operators import anomaly, boosting, drift, neighbours, quality, sampling, scaling
 from rareflow.operators import evaluation as ev
 from rareflow.operators import models as md
 from rareflow.operators import parzen
@@ -659,3 +659,22 @@ def test_preparation_reads_the_cleaned_rows_once_written(spark, sf_dir):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan and "Join" not in plan
     assert out.count() == out.select("txn_id").distinct().count() == 300
+
+
+def test_parzen_search_reads_each_fold_once_for_a_batch(spark, separable, monkeypatch):
+    """Vectors are made once, and one pass scores all models of a batch."""
+    made, scored, one = [], [], md.member_scores
+    assembled = md.assembler
+    monkeypatch.setattr(md, "assembler", lambda cols: made.append(1) or assembled(cols))
+    monkeypatch.setattr(md, "member_scores", lambda df, models: scored.append(len(models)) or one(df, models))
+    ranges = {"regParam": parzen.Range(1e-5, 1.0, log=True)}
+    make = lambda v: md.logistic(1.0).copy().setParams(**v)
+    best, table = parzen.parzen_search(separable, COLS, make, ranges, trials=4, startup=4, batch=4, folds=2)
+    assert len(made) == 1 and scored == [4, 4]
+    rows = sampling.stratified_folds(separable.select("txn_id", "Class", *COLS), 2, "Class")
+    for r in table.collect():
+        found = []
+        for k in range(2):
+            m = md.fit(rows.where(F.col("fold") != k), COLS, make({"regParam": r.regParam}))
+            found.append(ev.average_precision(md.score(rows.where(F.col("fold") == k), m)).first()[0])
+        assert math.isclose(r.metric, sum(found) / 2, rel_tol=1e-6)
