@@ -678,3 +678,47 @@ def test_parzen_search_reads_each_fold_once_for_a_batch(spark, separable, monkey
             m = md.fit(rows.where(F.col("fold") != k), COLS, make({"regParam": r.regParam}))
             found.append(ev.average_precision(md.score(rows.where(F.col("fold") == k), m)).first()[0])
         assert math.isclose(r.metric, sum(found) / 2, rel_tol=1e-6)
+
+
+def _links_by_hand(pdf, features):
+    x = pdf[features].to_numpy()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    near, label, ids = d.argmin(axis=1), pdf.Class.to_numpy(), pdf.txn_id.to_numpy()
+    return {(ids[i], ids[near[i]]) for i in range(len(x)) if label[i] == 1 and label[near[i]] == 0 and near[near[i]] == i}
+
+
+def test_tomek_links_from_either_class_and_from_fewer_pairs(spark):
+    rng = np.random.default_rng(31)
+    centres = rng.normal(0, 6, (40, 6))
+    negative = centres[rng.integers(0, 40, 900)] + rng.normal(0, 0.05, (900, 6))
+    u = rng.random((900, 1))  # as synthetic rows lie: between the clusters
+    positive = centres[rng.integers(0, 40, 900)] * u + centres[rng.integers(0, 40, 900)] * (1 - u)
+    pdf = pd.DataFrame(np.vstack([negative, positive]), columns=list("abcdef"))
+    pdf["txn_id"], pdf["Class"] = np.arange(1800), np.repeat([0, 1], 900)
+    df = spark.createDataFrame(pdf)
+    want = _links_by_hand(pdf, list("abcdef"))
+    for start in (0, 1):
+        got = neighbours.tomek_links(df, list("abcdef"), start=start).toPandas()
+        assert want and {(r.positive_id, r.negative_id) for r in got.itertuples()} == want
+    met = []
+    for c in (0, 1):
+        pairs = []
+        neighbours.nearest(df.where(F.col("Class") == c), df, list("abcdef"), 1, pairs=pairs)
+        met.append(sum(pairs))
+    assert met[0] < met[1]
+
+
+def test_a_known_bound_leaves_out_cells_and_changes_no_neighbour(spark):
+    rng = np.random.default_rng(32)
+    pdf = pd.DataFrame(rng.normal(0, 1, (6000, 3)), columns=list("abc"))
+    pdf["txn_id"], pdf["Class"] = np.arange(6000), 0
+    df = spark.createDataFrame(pdf)
+    index = neighbours.indexed(df, list("abc"))
+    free, bound = [], []
+    asked = df.where("txn_id < 500")
+    near = neighbours.nearest(asked, df, list("abc"), 2, pairs=free, index=index).cache()
+    known = asked.join(near.where("place = 1").select(F.col("query_id").alias("txn_id"), F.col("sq_dist").alias("far")), "txn_id")
+    again = neighbours.nearest(known, df, list("abc"), 2, pairs=bound, index=index, within="far")
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, again.collect()))
+    assert sum(bound) < sum(free)
