@@ -20,7 +20,7 @@ from rareflow.operators import selection as sel
 from rareflow.operators import tuning as tn
 from rareflow.operators.information import nearest_mutual_information
 from rareflow.session import fresh_path
-from rareflow.sources import tables
+from rareflow.sources import tables, views
 from rareflow.sources.views import labelled_events, transactions
 from rareflow.streaming import state
 
@@ -722,3 +722,22 @@ def test_a_known_bound_leaves_out_cells_and_changes_no_neighbour(spark):
     again = neighbours.nearest(known, df, list("abc"), 2, pairs=bound, index=index, within="far")
     assert sorted(map(tuple, near.collect())) == sorted(map(tuple, again.collect()))
     assert sum(bound) < sum(free)
+
+
+@pytest.mark.parametrize("limit, join", [(10**6, "BroadcastHashJoin"), (0, "ShuffledHashJoin")])
+def test_transactions_never_build_on_the_events(spark, sf_dir, monkeypatch, capsys, limit, join):
+    monkeypatch.setattr(views, "BROADCAST_VECTORS", limit)
+    df = views.transactions(spark, sf_dir)
+    for narrow in (df.select("txn_id", "Class"), df.groupBy("Class").count(), df):
+        narrow.explain()
+        plan = capsys.readouterr().out
+        assert join in plan and "BuildRight" in plan and "BuildLeft" not in plan
+
+
+def test_cuts_from_a_narrow_copy_equal_cuts_from_the_rows(spark, sf_dir):
+    df = views.labelled_events(spark, sf_dir)
+    fractions = (("train", 0.6), ("test", 0.4))
+    keys = df.select("txn_id", "Class")
+    a, b = sampling.stratified_split(df, fractions), sampling.stratified_split(df, fractions, counted=keys)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.select("txn_id", "split").collect())) == sorted(map(tuple, b.select("txn_id", "split").collect()))
