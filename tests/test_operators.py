@@ -741,3 +741,18 @@ def test_cuts_from_a_narrow_copy_equal_cuts_from_the_rows(spark, sf_dir):
     a, b = sampling.stratified_split(df, fractions), sampling.stratified_split(df, fractions, counted=keys)
     assert a.columns == b.columns
     assert sorted(map(tuple, a.select("txn_id", "split").collect())) == sorted(map(tuple, b.select("txn_id", "split").collect()))
+
+
+@pytest.mark.parametrize("cells", [7, 100_000])
+def test_kendall_counts_over_ranges_and_hot_values(spark, monkeypatch, cells):
+    monkeypatch.setattr(sel, "CELLS", cells)
+    rng = np.random.default_rng(3)
+    n = 300
+    x = np.where(rng.random(n) < 0.4, 5, rng.integers(0, 200, n))
+    y = np.where(rng.random(n) < 0.3, 7, x // 2 + rng.integers(0, 60, n))
+    dx, dy = (np.sign(v[:, None] - v[None, :]) for v in (x, y))
+    want = (dx * dy).sum() / math.sqrt((dx != 0).sum() * (dy != 0).sum())
+    assert sel.pair_counter()(x, y, np.ones(n)) == ((dx < 0) & (dy < 0)).sum()
+    df = spark.createDataFrame([(int(a), int(b), int(a) % 3) for a, b in zip(x, y)], "x int, y int, z int")
+    got = {(r.left, r.right): r["corr"] for r in sel.kendall_pairs(df, ["x", "y", "z"]).collect()}
+    assert len(got) == 3 and math.isclose(got["x", "y"], want, abs_tol=1e-12)
