@@ -756,3 +756,17 @@ def test_kendall_counts_over_ranges_and_hot_values(spark, monkeypatch, cells):
     df = spark.createDataFrame([(int(a), int(b), int(a) % 3) for a, b in zip(x, y)], "x int, y int, z int")
     got = {(r.left, r.right): r["corr"] for r in sel.kendall_pairs(df, ["x", "y", "z"]).collect()}
     assert len(got) == 3 and math.isclose(got["x", "y"], want, abs_tol=1e-12)
+
+
+def test_spearman_joins_each_column_once(spark, monkeypatch):
+    rows = [(float(i % 7), None if i % 3 == 0 else float(i * i % 11), None if i % 4 == 0 else float(-i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    frame = pd.DataFrame(rows, columns=["a", "b", "c"])
+    joined, lookup = [], sel.lookup_by_value
+    monkeypatch.setattr(sel, "lookup_by_value", lambda df, of, c, *a: joined.append(c) or lookup(df, of, c, *a))
+    for limit in (500, 6):
+        monkeypatch.setattr(sel, "BROADCAST_VALUES", limit)
+        for r in sel.spearman_pairs(df, ["a", "b", "c"]).collect():
+            both = frame[[r.left, r.right]].dropna().rank()
+            assert math.isclose(r["corr"], both[r.left].corr(both[r.right]), abs_tol=1e-12)
+    assert sorted(joined) == sorted(c for c in "abc" if frame[c].nunique() > 6)
