@@ -41,8 +41,13 @@ class FittedFeatures:
 RAW = [*V_COLS, "Amount"]
 
 
+def has_rolling(df: DataFrame) -> bool:
+    """Whether the rolling features are there already, so that windows run once for fit and apply."""
+    return any(c.startswith("positive_rate_rolling_") for c in df.columns)
+
+
 def _derived(df: DataFrame, s: Switches, p: fitted.AmountParams) -> DataFrame:
-    if s.rolling:  # needs raw columns only, so it moves the narrow rows
+    if s.rolling and not has_rolling(df):  # needs raw columns only, so it moves the narrow rows
         df = rolling.rolling(df)
     if s.row_statistics:
         df = rowstats.add_row_statistics(df, V_COLS)

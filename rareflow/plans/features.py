@@ -11,7 +11,9 @@ from rareflow.functions.bands import AMOUNT_BINS_4, AMOUNT_BINS_6, right_closed_
 from rareflow.functions.shape import V_COLS
 from rareflow.operators import fitted
 from rareflow.operators.chain import ADVANCED, BASELINE, apply_features, fit_features
+from rareflow.operators.rolling import rolling
 from rareflow.plans.catalog import EV, R, T, V_ARRAY, query, rounded
+from rareflow.session import stored
 from rareflow.sources.views import labelled_events, transactions, with_round_amounts
 
 H = "((Time/3600.0) - 24.0*floor(Time/86400.0))"
@@ -359,5 +361,5 @@ def _(spark, sf):
 
 @query("N8_advanced_features")
 def _(spark, sf):
-    df = transactions(spark, sf)
+    df = stored(rolling(transactions(spark, sf)), "rolling-rows")
     return apply_features(df, fit_features(df, ADVANCED))

@@ -770,3 +770,30 @@ def test_spearman_joins_each_column_once(spark, monkeypatch):
             both = frame[[r.left, r.right]].dropna().rank()
             assert math.isclose(r["corr"], both[r.left].corr(both[r.right]), abs_tol=1e-12)
     assert sorted(joined) == sorted(c for c in "abc" if frame[c].nunique() > 6)
+
+
+def test_row_statistics_compile_to_short_methods(spark):
+    """The JVM interprets methods beyond 8,000 bytes, which made a row ten times as slow."""
+    from rareflow.functions import rowstats
+    from rareflow.functions.shape import V_COLS
+
+    df = spark.range(10).select("id", *[(F.col("id") * i).cast("double").alias(c) for i, c in enumerate(V_COLS)])
+    plan = rowstats.add_row_statistics(df, V_COLS)._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    assert all(stages.apply(i)._3().maxMethodCodeSize() <= 8000 for i in range(stages.size()))
+
+
+def test_features_take_rolling_columns_that_are_there(spark, sf_dir):
+    from rareflow.operators.chain import ADVANCED, apply_features, fit_features
+    from rareflow.operators.rolling import rolling
+    from rareflow.sources.views import transactions
+    from rareflow.session import stored
+
+    df = transactions(spark, sf_dir)
+    once = stored(rolling(df), "rolling-rows")
+    fitted = fit_features(once, ADVANCED)
+    got, want = apply_features(once, fitted), apply_features(df, fitted)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.columns == want.columns
+    assert sorted(map(str, got.select("txn_id", "Amount_rolling_std_50").collect())) == sorted(map(str, want.select("txn_id", "Amount_rolling_std_50").collect()))
