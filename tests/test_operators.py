@@ -797,3 +797,14 @@ def test_features_take_rolling_columns_that_are_there(spark, sf_dir):
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert got.columns == want.columns
     assert sorted(map(str, got.select("txn_id", "Amount_rolling_std_50").collect())) == sorted(map(str, want.select("txn_id", "Amount_rolling_std_50").collect()))
+
+
+def test_rows_of_the_net_are_spread_evenly(spark):
+    from rareflow.operators.models import rebalanced_for_net
+
+    df = spark.range(40000).select(F.col("id").alias("txn_id"), (F.col("id") % 50 == 0).cast("int").alias("Class"), F.rand(1).alias("x"))
+    got = rebalanced_for_net(df)
+    counts = {r["Class"]: r["count"] for r in got.groupBy("Class").count().collect()}
+    assert counts == {0: 39200, 1: 39200}
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
