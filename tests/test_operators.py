@@ -808,3 +808,21 @@ def test_rows_of_the_net_are_spread_evenly(spark):
     assert counts == {0: 39200, 1: 39200}
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 1 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+
+
+def test_boosting_adds_up_batches_without_a_row_a_bin(spark):
+    rng = np.random.default_rng(5)
+    codes, label = rng.integers(0, 300, (500, 3)), rng.integers(0, 2, 500)
+    df = spark.createDataFrame([(int(y), False, [int(c) for c in x], 0.5) for x, y in zip(codes, label)], "label int, held boolean, codes array<int>, margin double")
+    for bins, mine in ((400, codes), (64, codes % 60)):
+        s = boosting.Settings(depth=2, bins=bins, positive_weight=3.0)
+        tree = boosting.Tree.empty(2)
+        tree.feature[0], tree.cut[0], tree.value[1], tree.value[2] = 1, 20, -0.25, 0.5
+        rows = boosting._packed(df.withColumn("codes", F.transform("codes", lambda c: c if bins == 400 else c % 60)), s)
+        groups = boosting._groups(rows, tree, [2], s, [tree])
+        assert "Generate" not in groups._jdf.queryExecution().optimizedPlan().toString()
+        right = mine[:, 1] > 20
+        p = 1 / (1 + np.exp(-1.0))
+        want = pd.Series(np.where(label == 1, 3.0 * (p - 1), p)[right]).groupby(mine[right, 0]).sum()
+        got = groups.where("feature = 0").toPandas().set_index("bin").sort_index()
+        assert (got.index == want.index).all() and np.allclose(got.g, want) and (got.node == 2).all()
