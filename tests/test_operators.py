@@ -19,6 +19,8 @@ from rareflow.operators import scoring as sc
 from rareflow.operators import selection as sel
 from rareflow.operators import tuning as tn
 from rareflow.operators.information import nearest_mutual_information
+from rareflow.plans import models as plans
+from rareflow.plans.catalog import QUERIES
 from rareflow.session import fresh_path
 from rareflow.sources import tables, views
 from rareflow.sources.views import labelled_events, transactions
@@ -367,6 +369,26 @@ def test_permutation_importance_finds_the_moved_column(separable):
     assert drop["V1"] > drop["V2"]
 
 
+def test_permutation_importance_covers_every_column_and_row(separable, spark, sf_dir):
+    m = md.fit(separable, COLS, md.logistic(1.0, n=1000))
+    keyless = separable.withColumn("txn_id", F.when(F.col("txn_id") % 5 != 0, F.col("txn_id")))
+    drop = md.permutation_importance(keyless, m, COLS).collect()
+    assert [r.feature for r in drop] == list(COLS)
+    rows = md._exchanged(keyless, COLS, ["Class", *COLS], "txn_id", 42, 64).toPandas()
+    assert len(rows) == separable.count()
+    for i, c in enumerate(COLS):  # each value goes to exactly one other row
+        assert sorted(rows[f"_new_{i}"]) == sorted(rows[c]) and (rows[f"_new_{i}"] != rows[c]).mean() > 0.9
+    # the same exchange, rank by rank in NumPy
+    whole = md._exchanged(separable, COLS, ["Class", *COLS], "txn_id", 42, 64)
+    ranks = sampling.class_ranks(separable, "txn_id", 42).orderBy("rank").toPandas()
+    n = len(ranks)
+    for i, c in enumerate(COLS):
+        want = ranks[c].to_numpy()[(np.arange(n) - (n // 2 + i * 7 + 1)) % n]
+        assert sorted(zip(ranks[c], want)) == sorted(whole.select(c, f"_new_{i}").toPandas().itertuples(index=False, name=None))
+    found = plans.COLS
+    assert [r.feature for r in QUERIES["M14_permutation_importance"](spark, sf_dir).collect()] == found
+
+
 def test_anomaly_scores(separable):
     forest = anomaly.fit_isolation_forest(separable, COLS, trees=20, sample=64)
     out = anomaly.score_isolation_forest(separable, forest).toPandas()
