@@ -1,19 +1,24 @@
 """Phrases whose words go together, mined level by level from relations of occurrences (SETM).
 
-The relation of level m has a row (part, at, id) for each occurrence of a frequent phrase
-of m words: ``part`` is the part of the corpus that one task reads, ``at`` the position in
-it; neighbours in a piece have neighbouring positions, and between pieces there is a gap.
-Each relation is a table bucketed by part and sorted by position, so a merge join of the
-relation with itself at the next position needs no shuffle. It gives the occurrences of
+The relation of level m has a row (at, id) for each occurrence of a frequent phrase of m
+words, sorted by position ``at``; neighbours in a piece have neighbouring positions, and
+between pieces there is a gap. It is cut into runs of whole texts, each packed into one
+row: texts are split into words once, and a merge join of a run with itself at the next
+position is a comparison of two arrays, with no sort and no shuffle. It gives the occurrences of
 phrases one word longer: both parts are frequent and overlap in all words but the outer
 two. Grouping counts them, and a semi-join with the frequent groups leaves the next
 level's relation.
 
+More frequent groups than are broadcast as arrays are joined as rows: from that level on a
+relation is a table of (part, at, id) bucketed by part, the part of the corpus that one task
+reads, and sorted by position, and Spark joins, counts and semi-joins it.
+
 Only sub-phrases of frequent phrases are needed for the scores, and these are frequent.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -29,14 +34,21 @@ from rareflow.llm.common import whole, written
 LEAST, LONGEST, REPORTED = 30, 4, 2000
 #: A phrase goes if a longer one has at least this share of its occurrences.
 SHARE = (80, 100)
-#: Frequent groups that are broadcast to the semi-join; beyond it both sides are shuffled.
+#: Frequent groups that are broadcast as arrays (12 bytes each) to packed runs; beyond it occurrences become rows.
+PACKED_ROWS = 4_000_000
+#: Frequent groups that are broadcast to the semi-join of rows; beyond it both sides are shuffled.
 BROADCAST_ROWS = 600_000
+#: Runs that go to Python in one batch, and pairs that are counted at once.
+RUNS_AT_ONCE, PAIRS_AT_ONCE = 16, 1 << 22
+#: Pairs that meet in one range of their hash, and the odd factor of that hash with the one that undoes it, modulo 2**64.
+PAIRS_A_RANGE, MIX = 1 << 21, 0x9E3779B97F4A7C15
+BACK = pow(MIX, -1, 1 << 64)
 
 #: Buckets for each part, so that few parts share one, and the most that Spark allows.
 BUCKETS_A_PART, MOST_BUCKETS = 4, 100_000
 BLANKS, MARKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 #: Bytes of text that are split into words at a time.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 22
 RESULT = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
@@ -113,66 +125,203 @@ def _codes(words: pa.Array, rows: np.ndarray, langs: pa.Array) -> tuple[list, pa
     return lang.dictionary.to_pylist(), word.dictionary, of, word.indices.to_numpy(zero_copy_only=False)
 
 
-def count_words(texts: DataFrame) -> DataFrame:
-    """(lang, phrase, n): occurrences of every word, counted in each task before they are shuffled."""
+#: One row for each language of a slice of texts: its distinct words, how often each occurs, and for every
+#: occurrence the word's number and the gap to the occurrence before.
+RUNS = "lang string, names array<string>, counts array<long>, codes binary, gaps binary"
+#: One row for each run: the occurrences' gaps and ids.
+PACKED = "gaps binary, ids binary"
+
+
+def word_runs(texts: DataFrame) -> DataFrame:
+    """``RUNS`` of the texts, which are split into words once.
+
+    Neighbours are in the same run, as a slice holds whole texts. Of a gap only matters whether it is one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Words()
         for batch in batches:
             for part in _slices(batch):
-                words, rows, _ = split.split(part.column(0))
+                words, rows, at = split.split(part.column(0))
                 langs, names, of, word = _codes(words, rows, part.column(1))
                 for i, lang in enumerate(langs):
-                    counts = np.bincount(word[of == i], minlength=len(names))
+                    mine = np.flatnonzero(of == i)
+                    if not len(mine):
+                        continue
+                    counts = np.bincount(word[mine], minlength=len(names))
                     seen = np.flatnonzero(counts)
+                    code = np.zeros(len(names), np.int32)
+                    code[seen] = np.arange(len(seen), dtype=np.int32)
+                    whole_list = pa.array([0, len(seen)], pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(seen), pa.string()), names.take(pa.array(seen)).cast(pa.string()), pa.array(counts[seen])],
-                        ["lang", "phrase", "n"],
+                        [
+                            pa.array([lang], pa.string()),
+                            pa.ListArray.from_arrays(whole_list, names.take(pa.array(seen)).cast(pa.string())),
+                            pa.ListArray.from_arrays(whole_list, pa.array(counts[seen], pa.int64())),
+                            pa.array([code[word[mine]].tobytes()], pa.binary()),
+                            pa.array([_gaps(at[mine])], pa.binary()),
+                        ],
+                        ["lang", "names", "counts", "codes", "gaps"],
                     )
 
-    part = texts.mapInArrow(run, "lang string, phrase string, n long")
-    return part.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, RUNS)
 
 
-def word_places(texts: DataFrame, known: Broadcast) -> DataFrame:
-    """(part, at, id) of the occurrences of the broadcast words."""
+def _gaps(at: np.ndarray) -> bytes:
+    """From each position back to the one before, in a byte: one, or two for anything more."""
+    return np.minimum(np.diff(at, prepend=at[:1] - 2), 2).astype(np.uint8).tobytes()
+
+
+def _numbers(values: pa.Array, i: int, kind: type) -> np.ndarray:
+    return np.frombuffer(values[i].as_buffer(), kind)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, number, ids = Words(), TaskContext.get().partitionId(), known.value
-        for batch in batches:
-            for part in _slices(batch):
-                words, rows, at = split.split(part.column(0))
-                langs, names, of, word = _codes(words, rows, part.column(1))
-                for i, lang in enumerate(langs):
-                    if lang not in ids:
-                        continue
-                    table, numbers = ids[lang]
-                    place = pc.index_in(names, value_set=table).fill_null(-1).to_numpy(zero_copy_only=False)
-                    mine = np.flatnonzero(of == i)
-                    place = place[word[mine]]
-                    mine, place = mine[place >= 0], place[place >= 0]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(mine), number, np.int32)), pa.array(at[mine]), pa.array(numbers[place])],
-                        ["part", "at", "id"],
-                    )
 
-    return texts.mapInArrow(run, "part int, at long, id long")
+def count_words(runs: DataFrame) -> DataFrame:
+    """(lang, phrase, n): occurrences of every word, counted in each run and task before they are shuffled."""
+    words = runs.select("lang", F.inline(F.arrays_zip(F.col("names").alias("phrase"), F.col("counts").alias("n"))))
+    return words.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def word_rows(texts: DataFrame) -> DataFrame:
+def _packed(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """A row for each (positions, ids)."""
+    gaps = pa.array([_gaps(at) for at, _ in found], pa.binary())
+    return pa.RecordBatch.from_arrays([gaps, pa.array([i.astype(np.int32).tobytes() for _, i in found], pa.binary())], ["gaps", "ids"])
+
+
+def word_places(runs: DataFrame, known: Broadcast) -> DataFrame:
+    """``PACKED`` occurrences of the broadcast words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = known.value
+        for batch in batches:
+            langs = np.array(batch.column(0).to_pylist(), object)
+            for lang in set(langs) & set(ids):
+                table, numbers = ids[lang]
+                part = batch.take(pa.array(np.flatnonzero(langs == lang)))
+                names = part.column(1)
+                place = pc.index_in(names.flatten().cast(table.type), value_set=table).fill_null(-1).to_numpy(zero_copy_only=False)
+                number = np.where(place >= 0, numbers[place], -1) if len(numbers) else np.full(len(place), -1)
+                starts = np.concatenate(([0], np.cumsum(names.value_lengths().to_numpy())))
+                found = []
+                for i in range(part.num_rows):
+                    word = number[starts[i] : starts[i + 1]][_numbers(part.column(2), i, np.int32)]
+                    kept = np.flatnonzero(word >= 0)
+                    if len(kept):
+                        found.append((np.cumsum(_numbers(part.column(3), i, np.uint8), dtype=np.int64)[kept], word[kept]))
+                if found:
+                    yield _packed(found)
+
+    return runs.select("lang", "names", "codes", "gaps").mapInArrow(run, PACKED)
+
+
+def word_rows(runs: DataFrame) -> DataFrame:
     """(part, at, lang, phrase) of every occurrence, for vocabularies too large to broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, number = Words(), TaskContext.get().partitionId()
+        number, last = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in _slices(batch):
-                words, rows, at = split.split(part.column(0))
+            for i in range(batch.num_rows):
+                words = batch.column(1)[i].values.take(pa.array(_numbers(batch.column(2), i, np.int32)))
+                at = last + np.cumsum(_numbers(batch.column(3), i, np.uint8), dtype=np.int64)
+                last = int(at[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), number, np.int32)), pa.array(at), part.column(1).take(pa.array(rows)), words.cast(pa.string())],
+                    [pa.array(np.full(len(at), number, np.int32)), pa.array(at), pa.array([batch.column(0)[i].as_py()] * len(at), pa.string()), words],
                     ["part", "at", "lang", "phrase"],
                 )
 
-    return texts.mapInArrow(run, "part int, at long, lang string, phrase string")
+    return runs.select("lang", "names", "codes", "gaps").mapInArrow(run, "part int, at long, lang string, phrase string")
+
+
+def _pairs(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The merge join of a run with itself at the next position: (positions, pairs of ids)."""
+    at, ids = np.cumsum(_numbers(batch.column(0), i, np.uint8), dtype=np.int64), _numbers(batch.column(1), i, np.int32).astype(np.int64)
+    first = np.flatnonzero(at[1:] - at[:-1] == 1)
+    return at[first], (ids[first] << 32) | ids[first + 1]
+
+
+def count_pairs(packed: DataFrame, occurrences: int, least: int) -> DataFrame:
+    """(pair, n) of the pairs that occur ``least`` times, grouped by ranges of a hash that can be turned back.
+
+    A task sorts ``PAIRS_AT_ONCE`` hashes at a time and sends each range's as one row. ``occurrences`` are all
+    that may be there: at most ``PAIRS_A_RANGE`` meet in a range on average.
+    """
+    bits = max(0, min(16, math.ceil(math.log2(max(1, occurrences) / PAIRS_A_RANGE))))
+    edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+
+    def ranges(pairs: list[np.ndarray]) -> pa.RecordBatch:
+        hashes, counts = np.unique(np.concatenate(pairs).view(np.uint64) * np.uint64(MIX), return_counts=True)
+        cuts = np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
+        some = np.flatnonzero(np.diff(cuts))
+        counts = counts.astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(some.astype(np.int32)),
+                pa.array([hashes[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary()),
+                pa.array([counts[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary()),
+            ],
+            ["range", "hashes", "counts"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                waiting.append(_pairs(batch, i)[1])
+                size += len(waiting[-1])
+                if size >= PAIRS_AT_ONCE:
+                    yield ranges(waiting)
+                    waiting, size = [], 0
+        if size:
+            yield ranges(waiting)
+
+    def total(rows: pa.Table) -> pa.Table:
+        hashes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in rows["hashes"]])
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in rows["counts"]])
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+        n = np.add.reduceat(counts[order].astype(np.int64), first)
+        often = np.flatnonzero(n >= least)
+        pairs = (hashes[first[often]] * np.uint64(BACK)).view(np.int64)
+        return pa.table({"pair": pa.array(pairs), "n": pa.array(n[often])})
+
+    parts = packed.mapInArrow(run, "range int, hashes binary, counts binary")
+    return parts.groupBy("range").applyInArrow(total, "pair long, n long")
+
+
+def frequent_pairs(packed: DataFrame, known: Broadcast) -> DataFrame:
+    """``PACKED`` occurrences of the broadcast (pairs in order, their ids): the semi-join where the runs lie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, numbers = known.value
+        for batch in batches:
+            found = []
+            for i in range(batch.num_rows):
+                at, pairs = _pairs(batch, i)
+                place = np.minimum(np.searchsorted(table, pairs), len(table) - 1)
+                kept = np.flatnonzero(table[place] == pairs)
+                if len(kept):
+                    found.append((at[kept], numbers[place[kept]]))
+            if found:
+                yield _packed(found)
+
+    return packed.mapInArrow(run, PACKED)
+
+
+def pair_rows(packed: DataFrame) -> DataFrame:
+    """(part, at, pair) of the runs, for more frequent pairs than are broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, start = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                at, pairs = _pairs(batch, i)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), number, np.int32)), pa.array(start + at), pa.array(pairs)], ["part", "at", "pair"]
+                )
+                start += 2 * len(batch.column(0)[i].as_buffer()) + 2  # no gap is more than two
+
+    return packed.mapInArrow(run, "part int, at long, pair long")
 
 
 def with_dense_ids(rows: DataFrame, label: str) -> DataFrame:
@@ -215,6 +364,15 @@ class Relations:
         for name in self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
+    def batches(self, rows: int) -> None:
+        """From now on so many rows go to Python at a time."""
+        self.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+    def deal(self, parts: DataFrame) -> None:
+        """Buckets for the parts that this table is read in."""
+        found = parts.select(F.spark_partition_id().alias("part")).distinct().count()
+        self.buckets = min(MOST_BUCKETS, BUCKETS_A_PART * max(1, found))
+
     def keep(self, rows: DataFrame, level: int) -> DataFrame:
         name = f"occurrences_{level}_{self.run}"
         self.names.append(name)
@@ -298,7 +456,7 @@ def without_covered(level: DataFrame, longer: DataFrame | None) -> DataFrame:
 
 def collocations(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST,
-    reported: int = REPORTED, broadcast_rows: int = BROADCAST_ROWS,
+    reported: int = REPORTED, broadcast_rows: int = BROADCAST_ROWS, packed_rows: int = PACKED_ROWS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``reported`` phrases.
 
@@ -310,7 +468,7 @@ def collocations(
     spark = docs.sparkSession
     texts = docs.select(whole(docs[text_col]).alias("text"), F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"))
     with Relations(spark) as relations:
-        totals, levels = _mined(docs, texts, relations, least, longest, broadcast_rows)
+        totals, levels = _mined(docs, texts, relations, least, longest, broadcast_rows, packed_rows)
     scored = None
     for level, longer in zip(levels[1:], [*levels[2:], None]):
         some = score_cuts(without_covered(level, longer))
@@ -323,34 +481,48 @@ def collocations(
 
 
 def _mined(
-    docs: DataFrame, texts: DataFrame, relations: Relations, least: int, longest: int, broadcast_rows: int
+    docs: DataFrame, texts: DataFrame, relations: Relations, least: int, longest: int, broadcast_rows: int, packed_rows: int
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(words of each language, frequent phrases of one word, two words and so on)."""
     spark = docs.sparkSession
-    vocabulary = written(count_words(texts), "words-counted")
+    runs = written(word_runs(texts), "words-in-runs")
+    relations.batches(RUNS_AT_ONCE)
+    vocabulary = written(count_words(runs), "words-counted")
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
     levels = [with_dense_ids(frequent_words(vocabulary, least), "phrases-1")]
-    parts = docs.select(F.spark_partition_id().alias("part")).distinct().count()
-    buckets = relations.buckets = min(MOST_BUCKETS, BUCKETS_A_PART * max(1, parts))
-    if levels[0].count() <= broadcast_rows:
+    occurrences = totals.agg(F.sum("total")).first()[0] or 0
+    packed, rows = None, None
+    if levels[0].count() <= packed_rows:
         table = levels[0].select("lang", "phrase", "id").toArrow()
         known = {}
         for lang in pc.unique(table["lang"]).to_pylist():
             mine = table.filter(pc.equal(table["lang"], lang))
             known[lang] = (mine["phrase"].combine_chunks().cast(pa.large_string()), mine["id"].to_numpy())
-        found = word_places(texts, spark.sparkContext.broadcast(known))
+        packed = written(word_places(runs, spark.sparkContext.broadcast(known)), "occurrences-1")
     else:
-        found = semi_join(word_rows(texts), levels[0].select("lang", "phrase", "id"), ["lang", "phrase"], True, buckets)
-    rows = relations.keep(found, 1)
+        relations.deal(runs)
+        found = semi_join(word_rows(runs), levels[0].select("lang", "phrase", "id"), ["lang", "phrase"], True, relations.buckets)
+        rows = relations.keep(found, 1)
     for m in range(2, longest + 1):
-        pairs = adjacent(rows)
-        counted = pairs.groupBy("pair").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-        level = with_dense_ids(longer_phrases(counted, levels[-1]), f"phrases-{m}")
+        pairs = adjacent(rows) if packed is None else None
+        counted = count_pairs(packed, occurrences, least) if pairs is None else pairs.groupBy("pair").agg(F.count("*").alias("n"))
+        level = with_dense_ids(longer_phrases(counted.where(F.col("n") >= least), levels[-1]), f"phrases-{m}")
         groups = level.count()
         if not groups:
             break
         levels.append(level)
-        if m < longest:
-            keys = level.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("pair"), "id")
-            rows = relations.keep(semi_join(pairs, keys, ["pair"], groups > broadcast_rows, buckets), m)
+        if m == longest:
+            break
+        keys = level.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("pair"), "id")
+        if packed is not None and groups <= packed_rows:
+            table = keys.toArrow()
+            pair = table["pair"].to_numpy()
+            order = np.argsort(pair)
+            known = (pair[order], table["id"].to_numpy()[order].astype(np.int32))
+            packed = written(frequent_pairs(packed, spark.sparkContext.broadcast(known)), f"occurrences-{m}")
+            continue
+        if packed is not None:
+            relations.deal(packed)
+            pairs, packed = pair_rows(packed), None
+        rows = relations.keep(semi_join(pairs, keys, ["pair"], groups > broadcast_rows, relations.buckets), m)
     return totals, levels

@@ -165,6 +165,27 @@ def test_collocations_equal_brute_force(spark, prose, broadcast_rows):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("occurrences_")]
 
 
+@pytest.mark.parametrize("packed_rows, broadcast_rows", [(0, 0), (0, 600_000), (60, 0), (60, 600_000), (600_000, 0)])
+def test_collocations_as_rows_and_packed(spark, prose, packed_rows, broadcast_rows, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(collocations, "PAIRS_AT_ONCE", 100)
+    monkeypatch.setattr(collocations, "PAIRS_A_RANGE", 1000)
+    df = spark.createDataFrame([(t, l, 1) for t, l in prose], "text string, lang string, names int").repartition(3)
+    got = collocations.collocations(df, least=12, reported=25, broadcast_rows=broadcast_rows, packed_rows=packed_rows)
+    assert sorted(map(tuple, got.collect())) == brute_phrases(prose, 12, 25)
+
+
+def test_packed_relations_join_without_a_shuffle(spark, prose):
+    texts = spark.createDataFrame(prose, "text string, lang string").select(F.coalesce("text", F.lit("")).alias("text"), "lang")
+    runs = collocations.word_runs(texts.na.fill("und", ["lang"]))
+    assert runs.agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] == runs.agg(F.sum(F.length("gaps"))).first()[0]
+    packed = runs.select("gaps", F.col("codes").alias("ids"))
+    table = spark.sparkContext.broadcast((np.array([1 << 32 | 2]), np.array([7], np.int32)))
+    kept = collocations.frequent_pairs(packed, table)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
 def test_collocations_of_the_table(spark, sf_dir):
     docs = documents(spark, sf_dir)
     rows = [(r.text, r.lang) for r in docs.select("text", "lang").collect()]
