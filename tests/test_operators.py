@@ -13,7 +13,7 @@ from rareflow.functions.keys import normal_draw
 from rareflow.operators import anomaly, boosting, drift, neighbours, quality, sampling, scaling
 from rareflow.operators import evaluation as ev
 from rareflow.operators import models as md
-from rareflow.operators import parzen
+from rareflow.operators import parzen, perceptron
 from rareflow.operators import registry as rg
 from rareflow.operators import scoring as sc
 from rareflow.operators import selection as sel
@@ -363,6 +363,40 @@ def test_searches_and_selection(separable):
     assert freq.frequency["V1"] == 1.0
 
 
+def test_perceptron_is_trained_like_sparks_own_and_not_by_it(separable, monkeypatch):
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.feature import StandardScaler
+
+    rows = md.rebalanced_for_net(separable)
+    scaler, net = md.perceptron(len(COLS), (8, 3), 12)
+    assert isinstance(scaler, StandardScaler)
+    own = MultilayerPerceptronClassifier(featuresCol="scaled", layers=[len(COLS), 8, 3, 2], maxIter=12, seed=42)
+    want = md.fit(rows, COLS, [scaler, own], weights=None).stages[-1]
+    monkeypatch.setattr(perceptron, "AT_ONCE", 100)
+    monkeypatch.setattr(perceptron, "MATRIX_ROWS", 256)
+    fit, rounds = MultilayerPerceptronClassifier._fit, []
+    monkeypatch.setattr(MultilayerPerceptronClassifier, "_fit", lambda self, df: rounds.append((self.getMaxIter(), df.count())) or fit(self, df))
+    got = md.fit(rows, COLS, [scaler, net], weights=None).stages[-1]
+    assert rounds == [(0, 2), (0, 2)]  # Spark's passes over rows see none of the table
+    assert type(got) is type(want) and got.getMaxIter() == 12 and not got.isSet("initialWeights")
+    assert np.allclose(got.weights.toArray(), want.weights.toArray(), rtol=1e-7, atol=1e-9)
+
+
+def test_perceptron_gradient_and_steps():
+    rng = np.random.default_rng(3)
+    x, y, layers = rng.normal(size=(40, 3)), rng.integers(0, 2, 40), [3, 4, 2]
+    w = rng.normal(size=3 * 4 + 4 + 4 * 2 + 2)
+    slope = np.zeros(len(w))
+    loss = perceptron.gradient(x, y, w, layers, slope)
+    for i in range(len(w)):
+        near = w.copy()
+        near[i] += 1e-6
+        assert math.isclose((perceptron.gradient(x, y, near, layers, np.zeros(len(w))) - loss) / 1e-6, slope[i], abs_tol=1e-3)
+    bowl = np.array([1.0, 50.0, 3.0])
+    least = perceptron.minimized(lambda p: (float(bowl @ np.square(p - 2.0)) + 1.0, 2 * bowl * (p - 2.0)), np.zeros(3), 60, 1e-12)
+    assert np.allclose(least, 2.0, atol=1e-4)
+
+
 def test_permutation_importance_finds_the_moved_column(separable):
     m = md.fit(separable, COLS, md.logistic(1.0, n=1000))
     drop = md.permutation_importance(separable, m, COLS, ["V1", "V2"]).toPandas().set_index("feature").ap_drop
