@@ -134,6 +134,35 @@ def test_visited_pairs_grow_slower_than_all_pairs(spark):
     assert met[1] < 0.6 * met[0] and met[0] < 0.6
 
 
+def test_points_lie_in_matrices_and_first_visits_are_planned_at_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i if i % 9 else None, int(i % 2), *map(float, rng.normal(size=3).round(1))) for i in range(600)]
+    df = spark.createDataFrame(rows, "txn_id bigint, Class int, a double, b double, c double")
+    index = neighbours.indexed(df, list("abc"))
+    held = index.placed.collect()
+    assert len(held) == len({r["group"] for r in held}) <= len(index.sizes)
+    got = sorted((str(i), y, *x) for r in held for i, y, x in zip(r["ids"], r["labels"], np.frombuffer(r["x"]).reshape(-1, 3)))
+    assert got == sorted((str(i), y, *x) for i, y, *x in rows)
+    # many queries at once and one by one, with ties among the bounds
+    cells = neighbours.Cells(rng.normal(size=(40, 3)), rng.integers(0, 4, 40), np.zeros(40), rng.choice([0.1, 3.0], 40))
+    x, inf, none = rng.normal(size=(50, 3)), np.full(50, np.inf), np.zeros(50, int)
+    visits = cells.visits(x, inf, none, 2, 5)
+    d = cells.distances(x)
+    bounds = cells.bounds(x, d)
+    for i, found in enumerate(visits):
+        order = [c for c in np.lexsort((d[i], bounds[i])) if np.isfinite(bounds[i, c])]
+        assert list(found) == order[: max(2, int(np.searchsorted(np.cumsum(cells.count[order]), 6)) + 1)]
+    groups = neighbours.Groups(rng.integers(0, 5, 40), rng.integers(1, 3, 40), rng.integers(0, 62, 40))
+    some, masks = groups.of([*visits, np.zeros(0, int)])
+    assert len(some) == len(masks) == 51 and not len(some[-1])
+    for cs, gs, ms in zip(visits, some, masks):
+        want = Counter()
+        for c in cs:
+            for g in range(groups.first[c], groups.first[c] + groups.number[c]):
+                want[g] |= 1 << int(groups.bit[c])
+        assert dict(zip(gs.tolist(), ms.tolist())) == dict(want)
+
+
 def test_visits_are_planned_in_bounded_memory_and_sent_once_a_group():
     """Thousands of queries and pivots: no task holds all their distances, and near cells share a group."""
     import tracemalloc
