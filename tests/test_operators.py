@@ -163,6 +163,16 @@ def test_points_lie_in_matrices_and_first_visits_are_planned_at_once(spark):
         assert dict(zip(gs.tolist(), ms.tolist())) == dict(want)
 
 
+def test_synthetic_variants_read_their_train_rows_where_they_were_written(spark, sf_dir, monkeypatch):
+    seen = []
+    for name in ("smote_rows", "adasyn_rows"):
+        make = getattr(neighbours, name)
+        monkeypatch.setattr(neighbours, name, lambda df, features, make=make: seen.append(df.inputFiles()) or make(df, features))
+    found = QUERIES["IO5_synthetic_variants"](spark, sf_dir).collect()
+    assert {r.variant for r in found} == {"smote", "adasyn"} and len(seen) == 2
+    assert all("train-rows" in f for files in seen for f in files) and seen[0] == seen[1]
+
+
 def test_visits_are_planned_in_bounded_memory_and_sent_once_a_group():
     """Thousands of queries and pivots: no task holds all their distances, and near cells share a group."""
     import tracemalloc
