@@ -775,6 +775,14 @@ def test_parzen_search_reads_each_fold_once_for_a_batch(spark, separable, monkey
         assert math.isclose(r.metric, sum(found) / 2, rel_tol=1e-6)
 
 
+def test_parzen_search_ranks_all_models_of_a_batch_together(separable, monkeypatch):
+    ranked, one = [], ev.average_precision
+    monkeypatch.setattr(ev, "average_precision", lambda df, by=(): ranked.append((list(by), df.select(*by).distinct().count() if by else 1)) or one(df, by))
+    make = lambda v: md.logistic(1.0).copy().setParams(**v)
+    parzen.parzen_search(separable, COLS, make, {"regParam": parzen.Range(1e-5, 1.0, log=True)}, trials=3, startup=3, batch=3, folds=2)
+    assert ranked == [(["candidate"], 3)] * 2
+
+
 def _links_by_hand(pdf, features):
     x = pdf[features].to_numpy()
     d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
